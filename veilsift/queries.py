@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import text as T
@@ -26,8 +26,10 @@ def _spans(spark, d, shift: int = 0, step: int = 1) -> DataFrame:
     x = _t(spark, d, "lineitem").where(F.col("l_linenumber") % step == 0)
     start = (F.col("l_partkey") % 97 * 3 + F.when(F.lit(shift > 0), F.col("l_suppkey") % 3).otherwise(0)).cast("int")
     kind = F.when(F.col("l_returnflag") == "A", "SSN").when(F.col("l_returnflag") == "N", "PERSON").otherwise("EMAIL")
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    n = F.row_number().over(order).cast("int")
     return x.select(
-        F.col("l_orderkey").cast("string").alias("id"), F.col("l_linenumber").cast("int").alias("idx"), F.col("l_linenumber").cast("int").alias("seq"),
+        F.col("l_orderkey").cast("string").alias("id"), n.alias("idx"), n.alias("seq"),
         kind.alias("type"), start.alias("start"), (start + 4 + (F.col("l_quantity").cast("int") % 9)).cast("int").alias("end"),
         F.lit(0.5).alias("score"), F.concat(F.lit("w"), F.col("l_linenumber").cast("string")).alias("text"),
     )
@@ -35,7 +37,8 @@ def _spans(spark, d, shift: int = 0, step: int = 1) -> DataFrame:
 
 def _spans_sql(shift: int = 0, step: int = 1) -> str:
     return f"""SELECT *, start_ + 4 + q % 9 AS end_ FROM (
-      SELECT l_orderkey::VARCHAR AS id, l_linenumber::INT AS idx, l_linenumber::INT AS seq, l_quantity::INT AS q,
+      SELECT l_orderkey::VARCHAR AS id, trunc(l_quantity)::INT AS q, (row_number() OVER (
+          PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice))::INT AS idx, idx AS seq,
         CASE l_returnflag WHEN 'A' THEN 'SSN' WHEN 'N' THEN 'PERSON' ELSE 'EMAIL' END AS type,
         (l_partkey % 97 * 3 + {"l_suppkey % 3" if shift else "0"})::INT AS start_, 'w' || l_linenumber AS text
       FROM lineitem WHERE l_linenumber % {step} = 0)"""
@@ -196,7 +199,8 @@ def eval_misses(spark, d):
 
 
 def latency_quantiles(spark, d):
-    return evaluate.quantiles(_t(spark, d, "orders"), "o_totalprice")
+    q = evaluate.quantiles(_t(spark, d, "orders"), "o_totalprice")
+    return q.select(*[F.round(c, 4).alias(c) for c in q.columns])
 
 
 def _index(spark, d) -> DataFrame:
@@ -363,8 +367,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT id, idx, CASE WHEN predicted_type IS NOT NULL THEN 'wrong_type' WHEN little THEN 'partial_overlap'
               WHEN nearest BETWEEN 1 AND 50 THEN 'near_miss' ELSE 'no_prediction' END AS category, predicted_type, nearest::INT AS nearest FROM a""",
         "latency_quantiles": """
-            SELECT quantile_cont(x, 0.5) AS p50, quantile_cont(x, 0.9) AS p90, quantile_cont(x, 0.95) AS p95, quantile_cont(x, 0.99) AS p99,
-              avg(x) AS mean, min(x) AS min, max(x) AS max FROM (SELECT o_totalprice::DOUBLE AS x FROM orders)""",
+            SELECT round(quantile_cont(x, 0.5), 4) AS p50, round(quantile_cont(x, 0.9), 4) AS p90, round(quantile_cont(x, 0.95), 4) AS p95,
+              round(quantile_cont(x, 0.99), 4) AS p99, round(avg(x), 4) AS mean, round(min(x), 4) AS min, round(max(x), 4) AS max FROM (SELECT o_totalprice::DOUBLE AS x FROM orders)""",
         "index_filter": f"""
             WITH {_INDEX_SQL}, k AS (SELECT *, row_number() OVER (PARTITION BY pdf_id ORDER BY line) AS n FROM i WHERE line % 31 <> 0 AND bytes > 0)
             SELECT line, page_count, size_bucket FROM k WHERE n = 1 AND page_count BETWEEN 2 AND 25 AND size_bucket IN ('tiny', 'normal')""",
