@@ -89,6 +89,9 @@ def _patterns(name: str):
 _ASCII = r"regexp_replace(text, '[^\x00-\x7F]', '_', 'g')"
 
 
+_TOKEN = T.TOKEN.replace("'", "''")
+
+
 def _any_sql(text: str, words) -> str:
     quote = lambda w: "'" + w.replace("'", "''") + "'"
     return "(" + " OR ".join(f"contains({text}, {quote(w)})" for w in words) + ")" if words else "FALSE"
@@ -398,6 +401,18 @@ def oracle_sql() -> dict[str, str]:
                 CASE WHEN i = 1 AND n % 5 = 0 AND e IS NOT NULL THEN 'DUPLICATE_ENTITY' END]) AS code FROM e)
             SELECT code, CASE WHEN code IN ('SHORT_SPAN', 'NEWLINE_IN_SPAN', 'DUPLICATE_ENTITY') THEN 'WARNING' ELSE 'ERROR' END AS level, count(*) AS n, count(DISTINCT id) AS records
             FROM k WHERE code IS NOT NULL GROUP BY code""",
+        "gold_fix": rf"""
+            WITH {_RECORDS_SQL}, k AS (SELECT *, e IS NOT NULL AND s < e AND e <= len AS ok, substr(text, s + 1, e - s) AS span FROM e),
+            h AS (SELECT *, length(regexp_extract(span, '^\s*')) AS head, length(regexp_extract(span, '\s*$')) AS tail FROM k),
+            m AS (SELECT *, ok AND s + head < e - tail AS moves FROM h),
+            f AS (SELECT id, n, i, type, ok, CASE WHEN moves THEN s + head ELSE s END AS s2, CASE WHEN moves THEN e - tail ELSE e END AS e2 FROM m)
+            SELECT type, count(*) AS n, sum(s2)::BIGINT AS starts, (sum(e2 - s2) FILTER (ok))::BIGINT AS chars FROM f WHERE NOT (ok AND i = 1 AND n % 5 = 0) GROUP BY type""",
+        "dictionary_words": rf"""
+            WITH n AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z]{{7,}}'))) AS name FROM benchmark),
+            x AS (SELECT doc_id AS id, regexp_extract_all(text, '{_TOKEN}') AS m, string_split_regex(text, '{_TOKEN}') AS b FROM documents WHERE lang = 'en'),
+            y AS (SELECT id, m, b, unnest(range(1, len(m) + 1)) AS i FROM x),
+            z AS (SELECT id, lower(m[i]) AS name, list_sum(list_transform(b[1:i], lambda v: length(v))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda v: length(v))), 0) AS s FROM y)
+            SELECT id, count(*) AS n, sum(s)::BIGINT AS starts FROM z JOIN n USING (name) GROUP BY id""",
         "gold_corrections": f"""
             WITH s AS ({g}) SELECT id, idx, type FROM s a WHERE NOT EXISTS (
               SELECT 1 FROM s b WHERE b.idx % 2 = 1 AND a.id = b.id AND a.type = b.type AND a.start_ = b.start_ AND a.end_ = b.end_)""",
