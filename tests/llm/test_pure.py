@@ -150,6 +150,16 @@ def test_extract_takes_the_article_and_leaves_frames():
     assert html_extract.extract(page, score) == "Head&line\nOne two three four five\nAnd é so on it goes"
     assert html_extract.extract(None, score) == html_extract.extract("", score) == html_extract.extract("<script>a b c</script>", score) == ""
     assert html_extract.extract("just some text <p", score) == "just some text"
+    page = (
+        "<body><header><h1>Site</h1></header><div class='with-sidebar'><div id=content><h2>Head</h2><p>Words and words and words.</p>"
+        "<div class=cookie-notice>We use cookies</div><p>Even more words.</p></div></div><div id=comments><p>Reader text one two</p></div><footer>c</footer>"
+    )
+    assert html_extract.extract(page, score) == "Head\nWords and words and words.\nEven more words."
+    page = (
+        "<div id=wrap class=sidebar><article><div class=entry-header><h1>Title of it</h1></div><p>Text goes on and on.</p>"
+        "<ol class=comment-list><li><article class=comment-body><p>A reader says something long here.</p></article></ol></article></div>"
+    )
+    assert html_extract.extract(page, score) == "Title of it\nText goes on and on."
 
 
 def test_ftrl_learns_a_word():

@@ -47,20 +47,30 @@ FRAME_WORDS = re.compile(
     r"search|share|sharing|social|related|recommend\w*|pagination|pager|toolbar|copyright|legal|disclaimer|complementary|contentinfo|navigation)(?:$|[\s_\-\d])",
     re.I,
 )
+#: Names of readers' comments.
+COMMENTS = re.compile(r"(?:^|[\s_\-])(?:comments?|commentlist|disqus|replies|reply|respond|discussion)(?:$|[\s_\-\d])", re.I)
+#: Inside of an article these are parts of it.
+HEADS = re.compile(r"header|masthead", re.I)
+#: Names of a layout that has a part are no part.
+LAYOUT = re.compile(r"\b(?:with|has|no|without|is)[-_]\S+", re.I)
 MARK = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 HIDDEN = re.compile(r"\shidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 #: Scores of words by place, where no labelled page shows it.
 PRIOR = {"frame": -1.5, "article": 2.0, "beside": -1.0, "plain": 1.0}
-TAG_PRIOR, TAG_MOST, LIMIT = -0.3, -0.05, 3.0
+TAG_PRIOR, TAG_MOST, TAG_LEAST, LIMIT = -0.3, -0.05, -1.0, 3.0
 #: What one framing element, which is left out of the text anyway, can cost a run at most.
-FRAME_MOST = 4.0
+FRAME_MOST = 1.5
 
 
-def tokens(page: str | None):
-    """(kind, value, place, frame?) of a page: kind "tag" with a name, or "text" with raw text."""
+def tokens(page: str | None, by_name: bool = True):
+    """(kind, value, place) of a page: kind "tag" with a name, or "text" with raw text.
+
+    Elements frame by tag or as readers' comments, and with ``by_name`` by class, id or role. A wrapper that frames by name
+    gives way to an article or main element in it, unless its name speaks of readers' comments.
+    """
     page = page or ""
     out = []
-    stack: list[tuple[str, bool, bool]] = []  # name, frame, article
+    stack: list[tuple[str, int, bool]] = []  # name, frame (1 by name, 2 for good), article
     for m in TOKEN.finditer(page):
         name = m[3]
         if name is None:
@@ -68,7 +78,7 @@ def tokens(page: str | None):
             if m[1] is not None:
                 out.append(("tag", m[1].lower(), "frame" if stack and stack[-1][1] else None))
             elif t[:2] not in ("<!", "<?"):
-                frame = bool(stack) and stack[-1][1]
+                frame = bool(stack) and stack[-1][1] > 0
                 article = bool(stack) and stack[-1][2]
                 out.append(("text", t, "frame" if frame else "article" if article else "out"))
             continue
@@ -92,9 +102,17 @@ def tokens(page: str | None):
                     del stack[at:]
             above = stack[-1] if stack else ("", False, False)
             inside = above[2] or name in ARTICLES
-            frame = above[1] or (name in FRAMES and not (name == "header" and inside)) or bool(HIDDEN.search(m[4]))
-            if not frame and name not in ("html", "body", *ARTICLES) and m[4]:
-                frame = any(FRAME_WORDS.search(x.strip("\"'")) for x in MARK.findall(m[4]))
+            frame = above[1]
+            if (name in FRAMES and not (name == "header" and inside)) or (m[4] and HIDDEN.search(m[4])):
+                frame = 2
+            if m[4] and frame < 2 and name not in ("html", "body"):
+                marks = [LAYOUT.sub(" ", x.strip("\"'")) for x in MARK.findall(m[4])]
+                if any(COMMENTS.search(x) for x in marks):
+                    frame = 2
+                elif by_name and name not in ARTICLES and any(FRAME_WORDS.search(HEADS.sub(" ", x) if inside else x) for x in marks):
+                    frame = 1
+            if name in ARTICLES and frame == 1:
+                frame = 0
             stack.append((name, frame, inside))
         out.append(("tag", ("/" if m[2] else "") + name, "frame" if stack and stack[-1][1] else None))
     return out
@@ -134,7 +152,7 @@ def weights(inside: Counter, outside: Counter) -> dict[tuple[str, str], float]:
     for key in {*inside, *outside}:
         odds = math.log((inside[key] + 0.5) / (outside[key] + 0.5) * n_out / n_in)
         if key[0] == "tag":
-            out[key] = max(-LIMIT, min(TAG_MOST, odds))
+            out[key] = max(TAG_LEAST, min(TAG_MOST, odds))
         else:
             low, high = (0.2, LIMIT) if PRIOR[key[1]] > 0 else (-LIMIT, -0.2)
             out[key] = max(low, min(high, odds))
@@ -142,8 +160,14 @@ def weights(inside: Counter, outside: Counter) -> dict[tuple[str, str], float]:
 
 
 def extract(page: str | None, score: dict[tuple[str, str], float]) -> str:
-    """The text of the best run, its blocks joined by line ends; empty if no run scores above zero."""
-    found = tokens(page)
+    """The text of the best run, its blocks joined by line ends; empty if no run scores above zero.
+
+    A page whose every word stands in elements that frame by name is read again without names.
+    """
+    return _extract(tokens(page), score) or (_extract(tokens(page, False), score) if page else "")
+
+
+def _extract(found: list, score: dict[tuple[str, str], float]) -> str:
     places = _places(found)
     best, best_at, total, start, framed = 0.0, (0, 0), 0.0, 0, FRAME_MOST
     for i, ((kind, value, _), place) in enumerate(zip(found, places, strict=True)):
