@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import bisect
 import json
+import re
 import zlib
 
 from pyspark import TaskContext
@@ -22,6 +23,7 @@ from .common import map_rows
 POOL_TOKENS = 4_000_000
 #: Tokens of a step group.
 STEP_TOKENS = 65_536
+SPACES = re.compile(r"\s+")
 #: The word pattern of byte-level vocabularies (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -31,9 +33,14 @@ class DocTokenizer:
 
     A plain byte-level vocabulary (no normaliser, the usual word pattern, ids in the order of
     merges) is run by ``tiktoken``, which gives the same ids four times as fast; any other by
-    ``tokenizers`` itself.
+    ``tokenizers`` itself. Texts with a run of white space that the pattern of ``tiktoken`` can't
+    go back over (its limit is near 998,000 characters; LONG_RUN stays far below) and texts that it
+    fails on for any other reason are encoded by ``tokenizers`` too.
     """
 
+    #: Longest run of white space that ``tiktoken`` is given.
+    LONG_RUN = 50_000
+
     PROBE = "It's 12 o'clock,  caf\u00e9\t\u65e5\u672c \U0001f600\r\n x<|endoftext|> y \x85 don't"
 
     def __init__(self, path: str):
@@ -72,10 +79,22 @@ class DocTokenizer:
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         import numpy as np
 
-        if self.fast:
-            return [self.fast.encode_to_numpy(t or "", allowed_special="all").astype("<u4").tobytes() for t in texts]
-        found = self.slow.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        def by_library(texts):
+            return [np.array(e.ids, "<u4").tobytes() for e in self.slow.encode_batch_fast(texts, add_special_tokens=False)]
+
+        if not self.fast:
+            return by_library([t or "" for t in texts])
+        out = []
+        for t in texts:
+            t = t or ""
+            if len(t) > self.LONG_RUN and max(map(len, SPACES.findall(t)), default=0) > self.LONG_RUN:
+                out += by_library([t])
+                continue
+            try:
+                out.append(self.fast.encode_to_numpy(t, allowed_special="all").astype("<u4").tobytes())
+            except ValueError:  # a limit of its pattern engine
+                out += by_library([t])
+        return out
 
 
 class _Pool:
