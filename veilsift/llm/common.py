@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
 import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -17,7 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests in local mode) a temporary folder is set.
+    Only in local mode, where driver and executor are one process, a temporary folder stands in for
+    an absent setting; on a cluster that is an error.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -25,12 +30,30 @@ def shared_dir(spark: SparkSession) -> str:
         known = sc._jsc.sc().getCheckpointDir()
         if known.isDefined():
             return known.get().rsplit("/", 1)[0]
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError(f"spark.checkpoint.dir names no folder, and {sc.master} has no local one that all share")
         where = "file://" + tempfile.mkdtemp(prefix="veilsift-")
+        atexit.register(_remove, where)
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(where)
     return where
 
 
+def own_folder(spark: SparkSession, kind: str) -> str:
+    """A new name below the shared folder; what lies there goes when the driver's program ends."""
+    folder = f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    atexit.register(_remove, folder)
+    return folder
+
+
+def _remove(folder: str) -> None:
+    from pyarrow import fs
+
+    with contextlib.suppress(OSError, pa.ArrowException):  # it may be gone, or never have been made
+        files, path = fs.FileSystem.from_uri(folder)
+        files.delete_dir(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise to the shared folder: later readers survive the loss of any executor."""
     shared_dir(df.sparkSession)

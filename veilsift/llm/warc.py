@@ -14,11 +14,13 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_rows, shared_dir
+from .common import cut, map_rows, own_folder
 
 #: Bytes of records after which a task begins another archive; a longer record gets one of its own.
 ARCHIVE_BYTES = 32 << 20
@@ -26,6 +28,8 @@ CHUNK = 1 << 20
 #: Payloads below it are never revisits.
 LEAST_REVISIT = 100
 LEVEL = 6
+#: The profile of revisits (a fixed value of the standard).
+REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def _open(path: str):
@@ -99,14 +103,46 @@ def deflate(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
-def write_archives(rows: DataFrame, folder: str) -> DataFrame:
-    """(path, n_records) of monolithic archives of ``rows``: record_id, url, kind, digest, refers_to, payload.
+def record_id(page, digest: str) -> str:
+    """The URN of a page's record: of its id and digest, so a revisit can name it without looking it up."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page}:{digest}')}>"
 
-    A revisit carries no payload: its record names digest, length and the record it refers to.
+
+def page_record(page, url: str | None, kind: str, digest: str, size: int, first, payload: bytes, date: str) -> bytes:
+    """A response, or a revisit of the page ``first`` of equal payload, with the HTTP block that WARC asks for.
+
+    The block of a revisit is the HTTP header alone. A page without a URL is told by a URN; ``Page-ID``
+    is an extension field, as the standard allows.
+    """
+    headers = {"WARC-Type": kind, "WARC-Record-ID": record_id(page, digest), "WARC-Date": date, "WARC-Target-URI": url or f"urn:page:{quote(str(page), safe='')}"}
+    if page is not None:
+        headers["Page-ID"] = quote(str(page), safe="")
+    if kind == "revisit":
+        headers |= {"WARC-Profile": REVISIT, "WARC-Refers-To": record_id(first, digest), "Refers-To-Page-ID": quote(str(first), safe="")}
+    headers |= {"WARC-Payload-Digest": f"sha256:{digest}", "Content-Type": "application/http; msgtype=response"}
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
+    return record(headers, http + (payload if kind == "response" else b""))
+
+
+def page_of(headers: dict[str, str], block: bytes) -> tuple:
+    """record_id (the page's), url, kind, digest, size, refers_to and payload of a parsed record."""
+    head, _, payload = block.partition(b"\r\n\r\n")
+    size = next(int(x.partition(b":")[2]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:"))
+    url = headers["warc-target-uri"]
+    page, first = (unquote(x) if (x := headers.get(n)) is not None else None for n in ("page-id", "refers-to-page-id"))
+    return (page, None if url.startswith("urn:page:") else url, headers["warc-type"], headers["warc-payload-digest"].partition(":")[2], size, first, payload)
+
+
+def write_archives(rows: DataFrame, folder: str, date: str | None = None) -> DataFrame:
+    """(path, n_records) of monolithic archives of ``rows``: record_id, url, kind, digest, size, refers_to, payload.
+
+    ``date`` is the WARC-Date of all records: by default the time of this call, told by the driver,
+    so a repeated task writes the same bytes. Null and repeated ids are written like others.
     """
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def run(batches):
-        files, out, made = None, None, {"path": [], "n_records": []}
+        out, made = None, {"path": [], "n_records": []}
 
         def close():
             stream, zipper, path, n, _ = out
@@ -116,17 +152,8 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
             made["n_records"].append(n)
 
         for b in batches:
-            for rid, url, kind, digest, size, ref, payload in zip(
-                *(b[c] for c in ("record_id", "url", "kind", "digest", "size", "refers_to", "payload")), strict=True
-            ):
-                headers = {
-                    "WARC-Type": kind, "WARC-Record-ID": f"<urn:page:{"" if rid is None else rid}>", "WARC-Target-URI": url or "",
-                    "WARC-Payload-Digest": f"sha256:{digest}", "WARC-Payload-Length": str(size),
-                    "Content-Type": "text/html; charset=utf-8",
-                }
-                if ref is not None:
-                    headers["WARC-Refers-To"] = f"<urn:page:{ref}>"
-                data = record(headers, (payload or b"") if kind == "response" else b"")
+            for page, url, kind, digest, size, first, payload in zip(*(b[c] for c in columns), strict=True):
+                data = page_record(page, url, kind, digest, size, first, payload or b"", date)
                 if out and out[4] + len(data) > ARCHIVE_BYTES:
                     close()
                     out = None
@@ -198,18 +225,13 @@ def read_records(archives: DataFrame) -> DataFrame:
                 with files.open_input_file(source) as f:
                     for e in entries:
                         f.seek(e["offset"])
-                        headers, payload = parse(zlib.decompress(f.read(e["length"]), 31))
+                        headers, block = parse(zlib.decompress(f.read(e["length"]), 31))
                         if headers["warc-record-id"] != e["id"]:
                             raise ValueError(f"{index} does not fit {path}")
-                        ref = headers.get("warc-refers-to")
-                        row = (
-                            headers["warc-record-id"][len("<urn:page:") : -1], headers.get("warc-target-uri"), headers["warc-type"],
-                            headers["warc-payload-digest"].partition(":")[2], int(headers["warc-payload-length"]),
-                            ref and ref[len("<urn:page:") : -1], payload,
-                        )
+                        row = page_of(headers, block)
                         for n, v in zip(names, row, strict=True):
                             made[n].append(v)
-                        held += len(payload)
+                        held += len(block)
                         if held > 8 << 20:
                             yield made
                             made, held = {n: [] for n in names}, 0
@@ -222,10 +244,11 @@ def read_records(archives: DataFrame) -> DataFrame:
 def plan_records(pages: DataFrame, id_col: str = "page_id", body_col: str = "html", url_col: str = "url") -> DataFrame:
     """The record of each row: response, or a revisit of the row with the smallest id of equal payloads.
 
-    Null bodies are empty payloads. Payloads under 100 bytes are all responses. Ids must not be null
-    or repeated to be told apart; rows with a null id are responses. Only digests that occur more
-    than once are joined back, and those of more than ``hot`` rows (of which there are 4096 at most)
-    are broadcast, so that no join key holds many rows.
+    Null bodies are empty payloads. Payloads under 100 bytes are all responses, and so are rows with a
+    null id. Rows out are rows in: a row is told by id and digest, so of repeated ids each goes by its
+    own payload, and rows equal in both have one fate (both are the response, if their id is the
+    smallest). Only digests that occur more than once are joined back, and those of more than ``hot``
+    rows (of which there are 4096 at most) are broadcast, so that no join key holds many rows.
     """
     payload = F.encode(F.coalesce(F.col(body_col), F.lit("")), "UTF-8")
     rows = pages.select(
@@ -241,9 +264,11 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", body_col: str = "htm
         found.join(often, "digest", "left_anti")
         .join(firsts.where(F.col("n") <= hot).select("digest", "first"), "digest")
         .where("record_id <> first")
-        .select(F.col("record_id").alias("rid"), "first")
+        .select(F.col("record_id").alias("rid"), F.col("digest").alias("rdigest"), "first")
+        .distinct()
     )
-    rows = rows.join(often, "digest", "left").join(seldom, rows["record_id"] == seldom["rid"], "left")
+    rows = rows.join(often, "digest", "left")
+    rows = rows.join(seldom, (rows["record_id"] == seldom["rid"]) & (rows["digest"] == seldom["rdigest"]), "left")
     big = (F.col("size") >= LEAST_REVISIT) & F.col("record_id").isNotNull()
     ref = F.when(big, F.coalesce("first", F.when(F.col("often") != F.col("record_id"), F.col("often"))))
     return rows.select(
@@ -252,8 +277,11 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", body_col: str = "htm
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", body_col: str = "html", url_col: str = "url") -> DataFrame:
-    """All rows written to monolithic archives, normalised, and read back through the index."""
-    folder = f"{shared_dir(pages.sparkSession).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    """All rows written to monolithic archives, normalised, and read back through the index.
+
+    The folder of the archives goes when the driver's program ends.
+    """
+    folder = own_folder(pages.sparkSession, "warc")
     files, base = _open(folder)
     for name in ("raw", "members"):
         files.create_dir(f"{base}/{name}", recursive=True)
@@ -272,7 +300,7 @@ def report(pages: DataFrame) -> DataFrame:
     back = round_trip(pages)
     got = F.col("kind") == "response"
     return back.select(
-        F.nullif("record_id", F.lit("")).cast(kind).alias("page_id"),
+        F.col("record_id").cast(kind).alias("page_id"),
         F.when(got, F.octet_length("payload")).otherwise(F.col("size")).cast("long").alias("payload_bytes"),
         F.when(got, F.sha2("payload", 256)).otherwise(F.col("digest")).alias("payload_digest"),
         F.col("kind").alias("record_type"),
