@@ -36,6 +36,28 @@ def test_document_ids_equal_the_library():
     assert packing.DocTokenizer(P.path("word_bpe_49k.json")).fast is None
 
 
+@pytest.mark.parametrize("space", [" ", "\t", "\u00a0"])
+def test_document_ids_of_very_long_white_space(space):
+    t = packing.DocTokenizer(P.path("byte_bpe_50k.json"))
+    n = 2_000_000 if space == " " else 1_100_000
+    for text in (space * n, "x" + space * n + "y", "a b" + space * n):
+        assert t([text]) == [np.array(t.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+
+
+def test_page_records_are_whole_warc():
+    date = "2026-01-02T03:04:05Z"
+    a = warc.page_record(7, None, "response", "ab" * 32, 3, None, b"<p>", date)
+    b = warc.page_record("7/\r\n8", "http://h/\r\nx", "revisit", "ab" * 32, 3, 7, b"", date)
+    for data in (a, b):
+        head, block = warc.parse(data)
+        assert {"warc-record-id", "warc-date", "warc-type", "content-length"} <= set(head) and head["warc-date"] == date
+        assert block.startswith(b"HTTP/1.1 200 OK\r\n") and head["content-type"] == "application/http; msgtype=response"
+    first, again = warc.parse(a), warc.parse(b)
+    assert again[0]["warc-refers-to"] == first[0]["warc-record-id"] and again[0]["warc-profile"] == warc.REVISIT
+    assert warc.page_of(*first) == ("7", None, "response", "ab" * 32, 3, None, b"<p>")
+    assert warc.page_of(*again) == ("7/\r\n8", "http://h/ x", "revisit", "ab" * 32, 3, "7", b"")
+
+
 def test_packer_keeps_every_id_once_and_fills_windows():
     rng = random.Random(3)
     packer, rests = packing.Packer((64, 32, 16)), []

@@ -178,3 +178,45 @@ def test_models(docs, none, spark):
     pages = spark.createDataFrame([(1, "u", None), (None, None, "<p>some words stand here</p>")], "page_id long, url string, html string")
     assert sorted(r["text"] for r in html_extract.report(pages).collect()) == ["", "some words stand here"]
     assert html_extract.report(pages.where("false")).count() == 0
+
+
+def test_repeated_pages(spark):
+    x, y = "X" * 150, "Y" * 150
+    rows = [(1, x), (5, x), (5, x), (6, y), (5, "Z" * 150), (None, y), (6, y), (None, None)]
+    frame = spark.createDataFrame([(i, f"http://h/{k}", t) for k, (i, t) in enumerate(rows)], "page_id long, url string, html string")
+    got = sorted(((r["page_id"] or 0, r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.report(frame).collect()), key=str)
+    import hashlib
+
+    sha = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    kinds = ["response", "revisit", "revisit", "response", "response", "response", "response", "response"]
+    assert got == sorted(((i or 0, sha(t), k, 1 if k == "revisit" else None) for (i, t), k in zip(rows, kinds, strict=True)), key=str)
+
+
+def test_shared_folder_is_no_local_one_on_a_cluster(monkeypatch):
+    from veilsift.llm import common
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        class _jsc:
+            @staticmethod
+            def sc():
+                class Sc:
+                    @staticmethod
+                    def getCheckpointDir():
+                        class No:
+                            isDefined = staticmethod(lambda: False)
+
+                        return No
+
+                return Sc
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        common.shared_dir(Session())
