@@ -115,6 +115,29 @@ def test_between_blocks_finds_all_connections():
         assert all(bin(int(x) ^ int(y)).count("1") <= 4 for x, y in zip(left, right, strict=True))
 
 
+def test_count_filter_rejects_what_verification_would_and_no_link():
+    rng = random.Random(9)
+    base = rng.getrandbits(64)
+    met = passed = links = 0
+    for _ in range(4000):
+        other = base
+        for bit in rng.sample(range(64), rng.randint(0, 7)):
+            other ^= 1 << bit
+        a, b = np.array([base], np.uint64), np.array([other], np.uint64)
+        tally = sum(base >> 8 * p & 255 == other >> 8 * p & 255 for p in range(8))
+        assert simhash.TALLY[simhash.shared_bytes(a, b)[0]] == tally
+        first = int(simhash.FIRST[simhash.shared_bytes(a, b)[0]])
+        met += first >= 0
+        kept = sum(len(simhash.retained(a, b, c, 4)) for c in range(len(simhash.CHOICES)))
+        assert kept == (tally >= 4)  # a pair counts under one choice
+        passed += kept
+        near = bin(base ^ other).count("1") <= 4
+        found = sum(int(simhash._linked(a, b, c, 4)[0]) for c in range(len(simhash.CHOICES)))
+        assert found == near and (not near or kept)
+        links += near
+    assert links < passed < met  # the filter works before verification does
+
+
 def test_repeated_words_by_brute_force():
     rng = random.Random(5)
     for _ in range(300):

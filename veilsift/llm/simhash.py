@@ -3,7 +3,7 @@
 A fingerprint's 64 bits are 8 bytes. Two fingerprints that differ in at most ``d`` bits differ in at
 most ``d`` bytes, so they share at least ``8 - d`` positional bytes. The index posts every distinct
 fingerprint under each choice of three (position, byte) entries; where two meet, the positional bytes
-that they share are tallied, pairs below the guaranteed minimum are dropped, and the others are
+that they share are tallied, pairs below the guaranteed minimum are dropped, and only the others are
 verified bit by bit. A pair that meets under several choices counts under the first of them only.
 Links leave a posting as a forest (links that connect the same fingerprints), never as all pairs.
 A posting longer than BLOCK is set aside and compared block against block in tasks of their own.
@@ -25,11 +25,11 @@ BLOCK = 4096
 #: Byte positions posted together.
 TOGETHER = 3
 CHOICES = list(combinations(range(8), TOGETHER))
-#: For the set of shared positions (a bit each): the first choice that lies in it.
+#: For the set of shared positions (a bit each): the first choice that lies in it, and how many they are.
 FIRST = np.array(
     [next((i for i, c in enumerate(CHOICES) if all(s >> p & 1 for p in c)), -1) for s in range(256)], np.int16
 )
-TALLY = np.array([bin(s).count("1") for s in range(256)], np.int8)
+TALLY = np.bitwise_count(np.arange(256, dtype=np.uint8))
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -66,14 +66,26 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_rows(docs, [id_col, text_col], f"{id_col} {kind}, fp long", run)
 
 
+def shared_bytes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The set of positional bytes that fingerprints share, a bit each (position 0 is the lowest byte)."""
+    a, b = np.broadcast_arrays(a, b)
+    same = np.ascontiguousarray(a, "<u8").view(np.uint8) == np.ascontiguousarray(b, "<u8").view(np.uint8)
+    return np.packbits(same.reshape(-1, 8), axis=1, bitorder="little").ravel()
+
+
+def retained(a: np.ndarray, b: np.ndarray, choice, bits: int) -> np.ndarray:
+    """Numbers of the pairs that count under this choice and reach the guaranteed minimum of shared bytes."""
+    shared = shared_bytes(a, b)
+    return np.flatnonzero((TALLY[shared] >= 8 - bits) & (FIRST[shared] == choice))
+
+
 def _linked(a: np.ndarray, b: np.ndarray, choice, bits: int) -> np.ndarray:
-    """Which pairs are links that count under this choice."""
-    x = a ^ b
-    shared = np.zeros(x.shape, np.uint8)
-    for p in range(8):
-        shared |= ((x >> np.uint64(8 * p) & np.uint64(255)) == 0).astype(np.uint8) << np.uint8(p)
-    ok = (FIRST[shared] == choice) & (TALLY[shared] >= 8 - bits)
-    return ok & (np.bitwise_count(x) <= bits)
+    """Which pairs are links that count under this choice: the tally first, the bits of what it retains after it."""
+    a, b = np.broadcast_arrays(a, b)
+    ok = np.zeros(a.shape, bool)
+    kept = retained(a, b, choice, bits)
+    ok[kept] = np.bitwise_count(a[kept] ^ b[kept]) <= bits
+    return ok
 
 
 def _forest(fp: np.ndarray, choice: int, bits: int) -> tuple[list, list]:
