@@ -136,6 +136,39 @@ def test_mix(spark, docs, none):
     assert mixing.mixed(docs, mixing.words()).columns == docs.columns
 
 
+def test_mix_odds_are_unequal(spark, monkeypatch):
+    """Longer documents are likelier, at the rate that p tells; rows without an id are told by their text."""
+    rows = [(i if i % 2 else None, "s", " ".join([f"w{i}"] + ["w"] * (9 if i % 4 < 2 else 599))) for i in range(4000)] + [(9000, "t", "a b " * 900_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.allot(frame, mixing.words(), share=0.4, pattern=(1, 30)).where("source = 's'").select("mix.*").collect()
+    need, total = got[0]["target"], sum(r["size"] for r in got)
+    assert abs(sum(r["taken"] for r in got) - need) <= 600
+    r = need / total
+    mean = sum(x["size"] * (x["size"] * 1024 // (x["size"] + 256)) for x in got) / total / 1024
+    for size in (10, 600):
+        share = sum(x["taken"] > 0 for x in got if x["size"] == size) / 2000
+        assert abs(share - (r + r * (1 - r) * (size * 1024 // (size + 256) / 1024 - mean))) < 0.04
+    again = mixing.allot(frame.repartition(5), mixing.words(), share=0.4, pattern=(1, 30)).where("source = 's'").select("doc_id", "text", "mix.taken").collect()
+    first = mixing.allot(frame, mixing.words(), share=0.4, pattern=(1, 30)).where("source = 's'").select("doc_id", "text", "mix.taken").collect()
+    assert sorted(map(str, again)) == sorted(map(str, first))
+
+
+@pytest.mark.parametrize("name", ["op1_pareto_mix", "op3_rule_ledger", "op8_warc"])
+def test_reports_equal_sql(spark, name):
+    import duckdb
+
+    from veilsift.llm import queries
+
+    duck = duckdb.connect()
+    for t in ("documents", "pages"):
+        duck.execute(f"create view {t} as select * from '/root/testdata/sf0.001/{t}.parquet'")
+    cur = duck.execute(queries.oracle_sql()[name])
+    names = [x[0] for x in cur.description]
+    got = queries.queries()[name](spark, "/root/testdata/sf0.001")
+    assert sorted(names) == sorted(got.columns)
+    assert sorted(repr(tuple(r[c] for c in names)) for r in got.collect()) == sorted(map(repr, cur.fetchall()))
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(2)
     v = rng.normal(size=(300, 6))

@@ -3,13 +3,19 @@
 Targets: sources in code point order (null last) weigh by a repeating pattern and share a budget of
 words; a source's target stops at a number of copies of it, and the excess is shared again by weight
 among the others until none is above. A document then gets ``floor(target / size of source)`` certain
-whole copies, and at most one more: documents are ranked by random odds u/(1-u) divided by their
-inclusion odds p/(1-p), with p the fraction that is left of the source's target (times a weight of
-the document, if there is one), and the head of this order whose words come nearest to the words that
-are left is taken. Source sizes differ, so p differs from source to source.
+whole copies, and at most one more, with an inclusion probability of its own:
 
-The order is never sorted as a whole. Ranks are cut into BINS bins by u, words are summed by source
-and bin, and only documents of the bin in which a source's head ends are ordered among each other.
+    p = r + r * (1 - r) * (g - mean of g)
+
+where r is the part of the source's words that is still wanted, g in [0, 1) grows with the
+document's size (or is a preference that the caller gives), and the mean is over the source's words. So
+p lies between 0 and 1, longer documents are likelier, and the words expected are the words wanted.
+Documents are ranked by random odds u/(1-u) divided by their inclusion odds p/(1-p), and the head of
+this order whose words come nearest to the words wanted is taken.
+
+The order is never sorted as a whole. Ranks are cut into BINS bins, words are summed by source and
+bin, the bin in which a source's head ends is cut into BINS bins again, and only documents of the
+last such bin (one in 16 million) are ordered among each other.
 """
 
 from __future__ import annotations
@@ -20,6 +26,10 @@ from pyspark.sql import functions as F
 from .common import WORD, cut, top_hash
 
 BINS = 4096
+#: How often the bin where a head ends is cut again.
+LEVELS = 2
+#: Size at which g is a half, and the whole number that stands for a g of one: sums of it are exact.
+HALF, UNIT = 256, 1024
 #: Most rows of the table of sources that are broadcast; beyond it the join is salted.
 BROADCAST_SOURCES = 20_000
 SALTS = 64
@@ -70,53 +80,73 @@ def targets(sizes: DataFrame, pattern: tuple[int, ...], share: float, most: int)
     return s.select("source", "source_size", "weight", target.alias("target"))
 
 
-def _ranked(docs: DataFrame, size: Column, id_col: str, source_col: str, odds_weight: Column | None, seed: int) -> DataFrame:
-    """``docs`` plus one struct ``_mix`` with id, source, size, u and odds_weight."""
+def preference(size: Column) -> Column:
+    """g of a document by its size: 0 to 1 as a whole number of UNIT."""
+    return F.floor(size * UNIT / (size + HALF)).cast("long")
+
+
+def _ranked(docs: DataFrame, size: Column, id_col: str, source_col: str, text_col: str, prefer: Column | None, seed: int) -> DataFrame:
+    """``docs`` plus one struct ``_mix`` with id, source, size, u and g."""
+    size = size.cast("long")
+    # rows without an id are told by their text
+    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
     return docs.withColumn(
         "_mix",
         F.struct(
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
-            size.cast("long").alias("size"),
-            top_hash(F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).alias("u"),
-            (odds_weight if odds_weight is not None else F.lit(1.0)).cast("double").alias("odds_weight"),
+            size.alias("size"),
+            top_hash(F.lit(str(seed)), key).alias("u"),
+            (preference(size) if prefer is None else F.least(F.greatest(prefer.cast("long"), F.lit(0)), F.lit(UNIT))).alias("g"),
         ),
     )
 
 
 def _placed(rows: DataFrame) -> DataFrame:
-    """Adds rank and bin to rows with u, odds_weight and the source's p."""
+    """Adds p, rank and the place of the rank in 0 to 1 to rows with u, g and the source's r and mean."""
+    r = F.col("r")
+    p = r + r * (F.lit(1.0) - r) * (F.col("g") / F.lit(float(UNIT)) - F.col("mean"))
+    p = F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))
     u = (F.col("u") + F.lit(0.5)) / F.lit(float(2**52))
-    rank = (u / (F.lit(1.0) - u)) / (F.col("p") / (F.lit(1.0) - F.col("p")) * F.col("odds_weight"))
-    at = F.floor(F.col("rank") / (F.lit(1.0) + F.col("rank")) * BINS)
-    return rows.withColumn("rank", rank).withColumn("bin", F.least(at, F.lit(BINS - 1)).cast("int"))
+    rank = (u / (F.lit(1.0) - u)) / (F.col("p") / (F.lit(1.0) - F.col("p")))
+    at = F.col("rank") / (F.lit(1.0) + F.col("rank")) * float(BINS**LEVELS)
+    return rows.withColumn("p", p).withColumn("rank", rank).withColumn("at", F.least(F.floor(at), F.lit(BINS**LEVELS - 1)).cast("long"))
 
 
 def plan_mix(slim: DataFrame, pattern: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2) -> DataFrame:
     """One row a source: target, certain copies, and where its head of the Pareto order ends.
 
-    ``slim`` has id, source, size, u and odds_weight of every document; it is read several times.
+    ``slim`` has id, source, size, u and g of every document; it is read once for each level and once more.
     """
-    sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = targets(sizes, pattern, share, most)
+    sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("g")).alias("liked"))
+    sizes = cut(sizes)
+    plan = targets(sizes.select("source", "source_size"), pattern, share, most)
     full = F.col("source_size") > 0
+    plan = _extend(plan, sizes.select("source", F.when(full, F.col("liked") / F.col("source_size") / F.lit(float(UNIT))).otherwise(F.lit(0.0)).alias("mean")))
     whole = F.when(full, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))).otherwise(F.lit(0))
     plan = plan.withColumn("whole", whole.cast("long"))
     plan = plan.withColumn("need", F.col("target") - F.col("whole") * F.col("source_size"))
-    p = F.when(full, F.col("need") / F.col("source_size")).otherwise(F.lit(0.0))
-    plan = cut(plan.withColumn("p", F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))))
-
-    rows = _placed(_by_source(slim, plan))
-    bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"), F.first("need").alias("need"))
-    upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bins = bins.withColumn("before", F.sum("bin_size").over(upto) - F.col("bin_size"))
-    # the bin where the head ends: the last one that begins before the words needed are reached
-    edge = bins.where(F.col("before") < F.col("need")).groupBy("source").agg(
-        F.max("bin").alias("edge"), F.max_by("before", "bin").alias("edge_before")
-    )
-    plan = _extend(plan, edge)
-
-    rows = _placed(_by_source(slim, plan)).where(F.col("bin") == F.col("edge"))
+    r = F.when(full, F.col("need") / F.col("source_size")).otherwise(F.lit(0.0))
+    # the edge: places from edge_first on, edge_width of them, before which edge_before words lie
+    plan = cut(plan.withColumns({"r": r, "edge_first": F.lit(0).cast("long"), "edge_before": F.lit(0).cast("long")}))
+
+    for level in range(LEVELS):
+        width = BINS ** (LEVELS - 1 - level)
+        inside = F.col("at").between(F.col("edge_first"), F.col("edge_first") + (width * BINS - 1))
+        rows = _placed(_by_source(slim, plan)).where(inside).withColumn("bin", F.floor((F.col("at") - F.col("edge_first")) / width).cast("int"))
+        bins = rows.groupBy("source", "bin").agg(
+            F.sum("size").alias("bin_size"), F.first("need").alias("need"), F.first("edge_first").alias("first"), F.first("edge_before").alias("before")
+        )
+        # at most BINS rows a source
+        upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        bins = bins.withColumn("before", F.col("before") + F.sum("bin_size").over(upto) - F.col("bin_size"))
+        # the bin where the head ends: the last one that begins before the words needed are reached
+        edge = bins.where(F.col("before") < F.col("need")).groupBy("source").agg(
+            F.max_by(F.col("first") + F.col("bin").cast("long") * width, "bin").alias("edge_first"), F.max_by("before", "bin").alias("edge_before")
+        )
+        plan = _extend(plan.drop("edge_first", "edge_before"), edge)
+
+    rows = _placed(_by_source(slim, plan)).where(F.col("at") == F.col("edge_first"))
     order = Window.partitionBy("source").orderBy("rank", "size", "id").rowsBetween(Window.unboundedPreceding, -1)
     head = F.coalesce(F.sum("size").over(order), F.lit(0)) + F.col("edge_before")
     # a document is in the head if its middle word is: the head then ends as near as can be
@@ -135,29 +165,30 @@ def allot(
     size: Column,
     id_col: str = "doc_id",
     source_col: str = "source",
-    odds_weight: Column | None = None,
+    prefer: Column | None = None,
     pattern: tuple[int, ...] = (3, 1, 2),
     share: float = 1.5,
     most: int = 2,
     seed: int = 7,
     out: str = "mix",
+    text_col: str = "text",
 ) -> DataFrame:
     """``docs`` plus a struct named ``out``: size, source_size, target, copies, taken (copies times size).
 
-    Two passes over ``docs``: one writes id, source, size and random number, the other applies the
+    Two passes over ``docs``: one writes id, source, size, random number and g, the other applies the
     plan (a row a source) in place, so texts are never shuffled. Deterministic: the random number is
-    md5 of seed and id. Ties of rank are broken by size, then id; rows equal in all three share one
-    fate. Null ids share one random number. Null source is a source of its own, ordered last.
-    Documents without words are never taken. An empty table gives an empty result.
-    ``odds_weight`` (positive) multiplies a document's inclusion odds.
+    md5 of seed and id, or of the text where the id is null. Ties of rank are broken by size, then
+    id; rows equal in all three share one fate. Null source is a source of its own, ordered last.
+    Documents without words are never taken. An empty table gives an empty result. ``prefer`` (0 to
+    UNIT) takes the place of g.
     """
-    ranked = _ranked(docs, size, id_col, source_col, odds_weight, seed)
+    ranked = _ranked(docs, size, id_col, source_col, text_col, prefer, seed)
     plan = plan_mix(cut(ranked.select("_mix.*")), pattern, share, most)
     names = docs.columns
     rows = ranked.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), "_mix.*")
     rows = _placed(_by_source(rows, plan))
-    inside = (F.col("bin") == F.col("edge")) & (F.struct("rank", "size", "id") <= F.col("last"))
-    more = F.coalesce((F.col("bin") < F.col("edge")) | inside, F.lit(False)).cast("long")
+    inside = (F.col("at") == F.col("edge_first")) & (F.struct("rank", "size", "id") <= F.col("last"))
+    more = F.coalesce((F.col("at") < F.col("edge_first")) | inside, F.lit(False)).cast("long")
     copies = F.when(F.col("size") > 0, F.col("whole") + more).otherwise(F.lit(0)).cast("long")
     rows = rows.withColumn("copies", copies)
     mix = F.struct("size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
@@ -185,11 +216,12 @@ def report(docs: DataFrame) -> DataFrame:
 
 #: The report in SQL: the level is found by ordering sources by limit per weight.
 REPORT_SQL = r"""
-WITH d AS (
+WITH w0 AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    (('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+    (('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
   FROM documents
 ),
+d AS (SELECT *, floor(size * 1024::DOUBLE / (size + 256))::BIGINT AS g FROM w0),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (
   SELECT *, 2 * source_size AS most,
@@ -210,12 +242,20 @@ t AS (
 ),
 p AS (
   SELECT *, least(CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END, 2) AS whole,
-    target - whole * source_size AS need FROM t
+    target - whole * source_size AS need, CASE WHEN source_size > 0 THEN need / source_size ELSE 0 END AS r,
+    CASE WHEN source_size > 0 THEN liked::DOUBLE / source_size / 1024::DOUBLE ELSE 0 END AS mean
+  FROM t JOIN (SELECT source AS s, sum(size * g)::BIGINT AS liked FROM d GROUP BY source) ON source IS NOT DISTINCT FROM s
+),
+i AS (
+  SELECT doc_id, size, d.source, source_size, target, whole, need, u,
+    least(greatest(r + r * (1::DOUBLE - r) * (g / 1024::DOUBLE - mean), 1e-12::DOUBLE), (1 - 1e-12)::DOUBLE) AS p
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
 ),
+k AS (SELECT *, (u / (1::DOUBLE - u)) / (p / (1::DOUBLE - p)) AS rank FROM i),
 q AS (
   SELECT doc_id, size, source_size, target, whole, need,
-    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY u, size, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS head
-  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+    coalesce(sum(size) OVER (PARTITION BY source ORDER BY rank, size, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS head
+  FROM k
 )
 SELECT doc_id, size, source_size, target,
   (CASE WHEN size > 0 THEN whole + CASE WHEN head < need AND 2 * head + size <= 2 * need THEN 1 ELSE 0 END ELSE 0 END * size)::BIGINT AS taken
