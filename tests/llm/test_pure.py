@@ -207,6 +207,67 @@ def test_extract_takes_the_article_and_leaves_frames():
     assert html_extract.extract(page, score) == "Title of it\nText goes on and on."
 
 
+def test_best_run_equals_all_runs():
+    rng = random.Random(10)
+    for _ in range(300):
+        g = [rng.choice([-3, -1, -0.5, 0, 0.5, 1, 2]) for _ in range(rng.randint(0, 25))]
+        most = max((sum(g[i:j]) for i in range(len(g)) for j in range(i + 1, len(g) + 1)), default=0)
+        a, b = html_extract.best_run(g)
+        assert (sum(g[a:b]) == most and b > a) if most > 0 else (a, b) == (0, 0)
+
+
+def _pages(n, seed):
+    """Pages with a marked article, and the text of each."""
+    rng = random.Random(seed)
+    words = lambda k: " ".join("".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(2, 8))) for _ in range(k))
+    out = []
+    for _ in range(n):
+        blocks = [words(rng.randint(3, 8))] + [words(rng.randint(2, 60)) for _ in range(rng.randint(2, 6))]
+        links = "".join(f"<li><a href=/>{words(1)}</a></li>" for _ in range(6))
+        head, rest = blocks[0], "".join(f"<p>{x}</p>" for x in blocks[1:])
+        out.append((f"<html><body><nav><ul>{links}</ul></nav><div class='ad'>{words(3)}</div><article><h1>{head}</h1>{rest}</article><footer>{words(5)}</footer></body></html>", "\n".join(blocks)))
+    return out
+
+
+def test_learnt_weights_find_articles_that_nothing_marks():
+    learnt = html_extract.weights(*html_extract.learn(p for p, _ in _pages(60, 1)))
+    pages, priors = _pages(40, 2), dict(html_extract.PRIOR)
+    assert all(html_extract.extract(p, w) == t for p, t in pages for w in (learnt, priors))
+    renamed = [(p.replace("article", "div"), t) for p, t in pages]
+    assert all(html_extract.extract(p, learnt) == t for p, t in renamed)
+    bare = [(p.replace("<nav", "<div").replace("</nav", "</div").replace("footer", "div").replace(" class='ad'", ""), t) for p, t in renamed]
+    assert all(html_extract.extract(p, learnt) == t for p, t in bare)
+    assert not all(html_extract.extract(p, priors) == t for p, t in bare)
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p>before</p><svg/><p>after</p></article>", "before\nafter"),
+        ("<article><p>before</p><svg><text>no</text><svg/></svg><math/><p>after</p></article>", "before\nafter"),
+        ('<p title="a hidden gem">text</p>', "text"),
+        ('<p data-x="display:none">text</p><p hidden>no</p><p style="display: none">no</p>', "text"),
+        ('<article><p>one</p><div class="related-work"><p>two</p></div><div class="legal-news">three</div></article>', "one\ntwo\nthree"),
+        ('<div class="related-work"><p>some text in here</p></div>', "some text in here"),
+        ('<article><p>one</p><div class="related-posts">no</div><div class="newsletterSignup">no</div><div id="share-links">no</div></article>', "one"),
+        ("<article><p>one</p><noscript>no</noscript><template><p>no</p></template><select><option>no</select><p>two</p></article>", "one\ntwo"),
+        ('<article><p>a &lt;b&gt; &#233;&nbsp;c</p><div class="comment-list"><p>no</p></div></article>', "a <b> é c"),
+    ],
+)
+def test_pages_come_out_whole(page, text):
+    for score in (dict(html_extract.PRIOR), html_extract.weights(*html_extract.learn(p for p, _ in _pages(30, 3)))):
+        assert html_extract.extract(page, score) == text
+
+
+def test_framing_elements_cost_little_all_told():
+    score = dict(html_extract.PRIOR)
+    page = "<p>" + "word " * 12 + "</p><form>" + "<div><p>no no no no</p></div>" * 50 + "</form><p>" + "more " * 12 + "</p>"
+    found = html_extract.tokens(page)
+    gain = html_extract.gains(found, score)
+    assert sum(g for g, x in zip(gain, found, strict=True) if x[2] == "frame") == pytest.approx(-html_extract.FRAME_MOST)
+    assert html_extract.extract(page, score) == ("word " * 12).strip() + "\n" + ("more " * 12).strip()
+
+
 def test_ftrl_learns_a_word():
     h = toxicity.Hasher()
     rng = random.Random(8)

@@ -211,6 +211,9 @@ def test_models(docs, none, spark):
     pages = spark.createDataFrame([(1, "u", None), (None, None, "<p>some words stand here</p>")], "page_id long, url string, html string")
     assert sorted(r["text"] for r in html_extract.report(pages).collect()) == ["", "some words stand here"]
     assert html_extract.report(pages.where("false")).count() == 0
+    long = "<article>" + "<p>word</p>" * 50_000 + "</article>"
+    odd = spark.createDataFrame([(1, "u", long), (1, "u", long), (None, None, None)], "page_id long, url string, html string").withColumns({"text": F.lit(1), "n_chars": F.lit("x")})
+    assert sorted(r["n_chars"] for r in html_extract.report(odd).collect()) == [0, 249_999, 249_999]
 
 
 def test_repeated_pages(spark):
