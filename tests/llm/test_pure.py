@@ -172,6 +172,28 @@ def test_exact_tree_search_equals_brute_force_and_relaxed_recall_is_high():
     assert np.allclose(score, np.sort(q @ tree.points.T, axis=1)[:, ::-1][:, :5]) and want.shape[1] == 5
     _, relaxed = tree.search(q, 5)
     assert (relaxed >= score[:, -1:] - 1e-9).mean() >= 0.9
+    # a limit from elsewhere keeps nothing better out
+    _, limited = tree.search(q, 5, 1.0, vptree.distance(q, score[:, 1:2], tree.top)[:, 0])
+    assert np.allclose(limited[:, :2], score[:, :2])
+
+
+def test_triangle_bounds_pass_over_leaves_and_shards():
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(16, 8)) * 40
+    v = centres[rng.integers(16, size=4000)] + rng.normal(size=(4000, 8))
+    tree, top = vptree.VPTree(np.arange(4000), v), (v**2).sum(axis=1).max()
+    q = v[:50]
+    _, score = tree.search(q, 5, 1.0)
+    assert np.allclose(score, np.sort(q @ v.T, axis=1)[:, ::-1][:, :5])
+    assert tree.visited < 0.7 * len(q) * len(tree.leaves)
+    balls = vptree.Balls(v[::4], top, 8)
+    home, bound = balls.shard(v), balls.bounds(q)
+    assert len(np.unique(home)) == 8
+    d = vptree.distance(q, q @ v.T, top)
+    for s in range(8):  # a bound is never above a distance
+        assert (bound[:, s] <= d[:, home == s].min(axis=1) + 1e-6).all()
+    open_ = bound <= vptree.distance(q, score[:, -1:], top)
+    assert open_.mean() < 0.9
 
 
 def test_gzip_stream_to_members():

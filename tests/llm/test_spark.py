@@ -183,6 +183,19 @@ def test_nearest(spark):
         want = sorted(((-round(s[i], 9), i) for i in range(300) if i != q))[:20]
         assert [g[1] for g in got[q]] == [i for _, i in want] and [g[0] for g in got[q]] == list(range(1, 21))
     assert set(got) == set(range(0, 300, 20))
+    # clusters far apart: whole shards are passed over, and the answers are still exact
+    centres = rng.normal(size=(4, 6)) * 50
+    w = centres[np.arange(400) % 4] + rng.normal(size=(400, 6))
+    many = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(w)] + [(i + 1000, w[7].tolist()) for i in range(300)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in vptree.nearest(many, many.where("vec_id < 40 or vec_id = 1005"), 5, factor=1.0, shard_rows=50).collect():
+        found.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    every = {**dict(enumerate(w)), **{i + 1000: w[7] for i in range(300)}}
+    ids, vs = np.array(list(every)), np.array(list(every.values()))
+    for q in [*range(40), 1005]:
+        s = (vs @ every[q]).round(9)
+        want = sorted((-x, i) for x, i in zip(s.tolist(), ids.tolist(), strict=True) if i != q)[:5]
+        assert [found[q][k] for k in range(1, 6)] == [i for _, i in want]
     assert vptree.nearest(frame.where("false"), frame.where("false")).count() == 0
 
 
