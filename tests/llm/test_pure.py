@@ -158,6 +158,21 @@ def test_viterbi_is_the_best_path():
         path = lab.path(s)
         value = lambda p, s=s: sum(s[i, k] for i, k in enumerate(p)) - 2.0 * sum(a != b for a, b in zip(p, p[1:], strict=False))
         assert value(path) == pytest.approx(max(map(value, itertools.product(range(3), repeat=6))))
+    for _ in range(100):  # long ones, whose stretches lie apart
+        s = np.where(rng.random((400, 1)) < 0.9, [[0.0, -1.0, -2.0]], rng.normal(size=(400, 3)) * 3)
+        at = rng.integers(0, 390)
+        s[at : at + 8] = [-3.0, -1.0, 0.0]
+        value = lambda p, s=s: s[np.arange(400), p].sum() - 2.0 * (np.diff(p) != 0).sum()
+        assert value(lab.path(s)) == pytest.approx(value(lab._stretch(s, None, None)))
+
+
+def test_scripts_narrow_the_candidates():
+    uses = np.zeros((2, len(langid.NAMES)), bool)
+    uses[0, langid.NAMES.index("latin")] = uses[1, langid.NAMES.index("cyrillic")] = True
+    lab = langid.Labeller((["aa", "bb"], np.zeros((1 << langid.BITS, 2), np.float32), uses))
+    assert [lab.labelled([t])[0][0] for t in ("word", "слово", "日本 слово", "123 ...", None, "日本")] == ["aa", "bb", "bb", "und", "und", "aa"]
+    langs, share, spans = lab.labelled(["one two three four five 7 слово и ещё слово здесь"])
+    assert [(x["first"], x["end"], x["lang"]) for x in spans[0]] == [(0, 6, "aa"), (6, 11, "bb")] and langs == ["aa"] and share == [0.5]
 
 
 def test_exact_tree_search_equals_brute_force_and_relaxed_recall_is_high():

@@ -8,8 +8,6 @@ sequence of languages, where each change costs SWITCH. The longest labelled shar
 
 from __future__ import annotations
 
-import bisect
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,15 +37,25 @@ _STARTS = [s for s, _ in SCRIPTS]
 NAMES = sorted({n for _, n in SCRIPTS})
 
 
-def script(char: str) -> int:
-    """Number of a letter's script in NAMES."""
-    return NAMES.index(SCRIPTS[bisect.bisect_right(_STARTS, ord(char)) - 1][1])
+_NUMBER = np.array([NAMES.index(n) for _, n in SCRIPTS])
+
+
+def scripts_of(code: np.ndarray) -> np.ndarray:
+    """Numbers in NAMES of the scripts of code points."""
+    return _NUMBER[np.searchsorted(_STARTS, code, side="right") - 1]
+
+
+#: ASCII marks and digits, deleted at once.
+_MARKS = {i: None for i in range(128) if not chr(i).isalpha()}
 
 
 def letters(word: str) -> str:
     """The lower-cased letters of a word, with marks between them kept out."""
     low = word.lower()
-    return low if low.isalpha() else "".join(c for c in low if c.isalpha())
+    if low.isalpha():
+        return low
+    low = low.translate(_MARKS)
+    return low if not low or low.isalpha() else "".join(c for c in low if c.isalpha())
 
 
 def gram_places(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -75,15 +83,18 @@ def gram_places(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def fit(docs: DataFrame, usable: Column | None = None, train_rows: int = TRAIN_ROWS):
     """(languages, log scores by place and language, scripts by language) from rows with text and lang.
 
-    About ``train_rows`` rows are taken, by md5 of the id and lang. What comes to the driver is
-    bounded by 2**BITS places for each language. Without a row there is no language.
+    Of each language about ``train_rows / number of languages`` rows are taken, by md5 of the id, and all
+    rows where it has fewer: so a rare language is learnt at every size of the table. What comes to the
+    driver is bounded by 2**BITS places for each language. Without a row there is no language.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.where(usable) if usable is not None else rows
-    n = rows.count()
-    share = min(1.0, train_rows / max(n, 1))
+    n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
+    each = -(-train_rows // max(len(n), 1))
+    least = [F.lit(x) for lang, k in sorted(n.items()) for x in (lang, int(min(1.0, each / k) * 2**52))]
     u = top_hash(F.lit("lang"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "lang")
-    rows = rows.where(u < int(share * 2**52)).select("lang", "text")
+    rows = rows.where(u < F.element_at(F.create_map(*least), F.col("lang"))) if least else rows
+    rows = rows.select("lang", "text")
 
     def tally(batches):
         for b in batches:
@@ -93,12 +104,8 @@ def fit(docs: DataFrame, usable: Column | None = None, train_rows: int = TRAIN_R
                 words = [x for t in texts for w in t.split() if (x := letters(w))]
                 _, place = gram_places(words)
                 places, n = np.unique(place, return_counts=True)
-                chars = {}
-                for c in "".join(words):
-                    chars[c] = chars.get(c, 0) + 1
-                used = {}
-                for c, k in chars.items():
-                    used[-1 - script(c)] = used.get(-1 - script(c), 0) + k
+                code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+                used = {-1 - i: k for i, k in enumerate(np.bincount(scripts_of(code), minlength=len(NAMES)).tolist()) if k}
                 out["lang"] += [lang] * (len(places) + len(used))
                 out["place"] += places.tolist() + list(used)
                 out["n"] += n.tolist() + list(used.values())
@@ -138,25 +145,28 @@ class Labeller:
         n = np.bincount(owner, minlength=len(words)) if len(owner) else np.zeros(len(words))
         s = np.stack([np.bincount(owner, self.logs[place, j], len(words)) for j in range(k)], axis=1)
         s /= np.maximum(n, 1)[:, None] ** 0.5  # overlapping n-grams are no independent evidence
-        for i, w in enumerate(low):
-            if w.isascii():
-                continue
-            scripts = {script(c) for c in w}
-            fits = self.uses[:, list(scripts)].all(axis=1)
-            if fits.any():
-                s[i, ~fits] = -np.inf
-            else:
-                s[i] = 0
-        latin = self.uses[:, NAMES.index("latin")]
-        plain = np.array([w.isascii() and bool(w) for w in low])
-        if latin.any() and not latin.all():
-            s[np.ix_(plain, ~latin)] = -np.inf
-        elif not latin.any():
-            s[plain] = 0
+        # a bit for each script of a word; a language fits if it uses all of them
+        size = np.fromiter(map(len, low), np.int64, len(low))
+        bit = np.int64(1) << scripts_of(np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32))
+        used = np.zeros(len(words), np.int64)
+        some = np.flatnonzero(size)
+        if len(some):
+            used[some] = np.bitwise_or.reduceat(bit, np.cumsum(size[some]) - size[some])
+        known = (self.uses * (np.int64(1) << np.arange(len(NAMES)))).sum(axis=1)
+        fits = (used[:, None] & ~known[None]) == 0
+        s[~fits] = -np.inf
+        s[~fits.any(axis=1)] = 0
         s = np.maximum(s - s.max(axis=1, keepdims=True), FLOOR)
-        self.memo.update(zip(words, range(len(self.rows), len(self.rows) + len(words)), strict=True))
-        self.rows = np.concatenate([self.rows, s.astype(np.float32)])
-        self.has = np.concatenate([self.has, np.array([bool(w) for w in low])])
+        first = len(self.memo) + 1
+        self.memo.update(zip(words, range(first, first + len(words)), strict=True))
+        if len(self.rows) < first + len(words):  # room for as many again
+            more = np.zeros((2 * (first + len(words)), k), np.float32)
+            more[:first] = self.rows[:first]
+            has = np.zeros(len(more), bool)
+            has[:first] = self.has[:first]
+            self.rows, self.has = more, has
+        self.rows[first : first + len(words)] = s
+        self.has[first : first + len(words)] = size > 0
 
     def scores(self, texts: list[str | None]) -> list[np.ndarray]:
         """Row numbers of each text's words in ``rows``."""
@@ -164,7 +174,6 @@ class Labeller:
         new = set().union(*split).difference(self.memo)
         if len(self.memo) + len(new) > self.memo_words:
             self.memo.clear()
-            self.rows, self.has = self.rows[:1], self.has[:1]
             new = set().union(*split)
         if new:
             self._learn(list(new))
@@ -173,59 +182,69 @@ class Labeller:
     def path(self, s: np.ndarray) -> np.ndarray:
         """The best language of each word: Viterbi with an equal cost for each change.
 
-        If no run of words gains as much as one change costs by leaving the best constant
-        language, that language is the best path and the recursion is not run.
+        Away from the best constant language the path goes only where some run of words gains more by it
+        than one change costs; elsewhere leaving it never pays. So the recursion runs over these
+        stretches alone, which begin and end in that language.
         """
-        n = len(s)
+        n, k = s.shape
         if not n:
             return np.empty(0, np.int64)
         best = int(np.argmax(s.sum(axis=0, dtype=np.float64)))
-        if s.shape[1] == 1:
-            return np.zeros(n, np.int64)
+        out = np.full(n, best, np.int64)
+        if k == 1:
+            return out
         others = np.delete(s, best, axis=1).max(axis=1) - s[:, best]
         total = np.concatenate(([0.0], np.cumsum(others, dtype=np.float64)))
-        if (total - np.minimum.accumulate(total)).max() <= self.switch:
-            return np.full(n, best, np.int64)
-        k = s.shape[1]
-        came = np.empty((n, k), np.int8 if k < 128 else np.int32)
-        rows = s.tolist()
-        v, cost, each = rows[0], self.switch, range(k)
+        low = np.minimum.accumulate(total)[:-1]  # least sum before each word
+        high = np.maximum.accumulate(total[::-1])[::-1][1:]  # largest sum after it
+        open_ = high - low > self.switch
+        if not open_.any():
+            return out
+        edges = np.flatnonzero(np.diff(np.concatenate(([False], open_, [False])).astype(np.int8)))
+        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            out[a:b] = self._stretch(s[a:b], best if a else None, best if b < n else None)
+        return out
+
+    def _stretch(self, s: np.ndarray, before: int | None, after: int | None) -> np.ndarray:
+        n, k = s.shape
+        came = np.empty((n, k), np.int32)
+        rows, cost, each = s.tolist(), self.switch, range(k)
+        v = [x - (cost if before is not None and j != before else 0.0) for j, x in enumerate(rows[0])]
         for t in range(1, n):
             top = max(v)
             arg, change = v.index(top), top - cost
             now = rows[t]
             came[t] = [j if v[j] >= change else arg for j in each]
             v = [(v[j] if v[j] >= change else change) + now[j] for j in each]
+        if after is not None:
+            v = [x - (cost if j != after else 0.0) for j, x in enumerate(v)]
         out = np.empty(n, np.int64)
         out[-1] = v.index(max(v))
         for t in range(n - 1, 0, -1):
             out[t - 1] = came[t, out[t]]
         return out
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """The language with most labelled words (ties: the first by name) and its share of them."""
-        langs, share = [], []
+    def labelled(self, texts: list[str | None]) -> tuple[list[str], list[float], list[list[dict]]]:
+        """For each text the language with most labelled words (ties: the first by name), its share of them, and the spans.
+
+        A span is (first word, end word, language); words without letters join what precedes them.
+        """
+        langs, share, spans = [], [], []
         for rows in self.scores(texts):
-            rows = rows[self.has[rows]]
-            if not len(rows) or not self.langs:
+            known = np.flatnonzero(self.has[rows])
+            if not len(known) or not self.langs:
                 langs.append("und")
                 share.append(0.0)
+                spans.append([{"first": 0, "end": len(rows), "lang": "und"}] if len(rows) else [])
                 continue
-            n = np.bincount(self.path(self.rows[rows]), minlength=len(self.langs))
+            path = self.path(self.rows[rows[known]])
+            n = np.bincount(path, minlength=len(self.langs))
             langs.append(self.langs[int(n.argmax())])
             share.append(float(n.max() / n.sum()))
-        return langs, share
-
-    def spans(self, text: str | None) -> list[tuple[int, int, str]]:
-        """(first word, end word, language) of the whole text; words without letters join what precedes them."""
-        rows = self.scores([text])[0]
-        known = np.flatnonzero(self.has[rows])
-        if not len(known) or not self.langs:
-            return [(0, len(rows), "und")] if len(rows) else []
-        path = self.path(self.rows[rows[known]])
-        starts = np.concatenate(([0], np.flatnonzero(np.diff(path)) + 1))
-        bounds = [0, *known[starts[1:]].tolist(), len(rows)]
-        return [(a, b, self.langs[int(path[i])]) for a, b, i in zip(bounds, bounds[1:], starts, strict=False)]
+            starts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist()]
+            bounds = [0, *known[starts[1:]].tolist(), len(rows)]
+            spans.append([{"first": a, "end": z, "lang": self.langs[int(path[i])]} for a, z, i in zip(bounds, bounds[1:], starts, strict=False)])
+        return langs, share, spans
 
 
 def label(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", with_spans: bool = False) -> DataFrame:
@@ -239,11 +258,8 @@ def label(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         labeller = Labeller(shared.value)
         for b in batches:
-            langs, share = labeller.predict(b[text_col])
-            out = {id_col: b[id_col], "lang_pred": langs, "score": share}
-            if with_spans:
-                out["spans"] = [[{"first": a, "end": z, "lang": x} for a, z, x in labeller.spans(t)] for t in b[text_col]]
-            yield out
+            langs, share, spans = labeller.labelled(b[text_col])
+            yield {id_col: b[id_col], "lang_pred": langs, "score": share} | ({"spans": spans} if with_spans else {})
 
     kind = docs.schema[id_col].dataType.simpleString()
     more = ", spans array<struct<first:int,end:int,lang:string>>" if with_spans else ""
@@ -251,6 +267,6 @@ def label(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every document."""
+    """doc_id, held_out, lang_pred, score and the spans of every document."""
     model = fit(docs, usable=~held_out())
-    return label(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return label(docs, model, with_spans=True).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "spans")
