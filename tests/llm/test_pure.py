@@ -320,3 +320,51 @@ def test_ftrl_learns_a_word():
     said = [bias + table[i].sum() > 0 for i, _ in rows]
     assert sum(s == bool(y) for s, (_, y) in zip(said, rows, strict=True)) > 390
     assert len(h("")) == len(h(None)) == 0
+
+
+def plain_ftrl(examples, places, alpha, beta, l1, l2, epochs):
+    """One coordinate at a time, as the published update has it; the intercept by the same rate without L1 or L2."""
+    import math
+
+    z, n, bias, bias_n = [0.0] * places, [0.0] * places, 0.0, 0.0
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(epochs):
+        for idx, y in examples:
+            w = {i: weight(i) for i in idx}
+            p = 1 / (1 + math.exp(-max(-35, min(35, bias + sum(w.values())))))
+            g = p - y
+            for i in idx:
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+            bias_n += g * g
+            bias -= alpha * g / (beta + math.sqrt(bias_n))
+    return [weight(i) for i in range(places)], bias
+
+
+def test_ftrl_equals_the_scalar_rule():
+    rng = random.Random(11)
+    rows = [(sorted(rng.sample(range(64), rng.randint(0, 12))), int(rng.random() < 0.4)) for _ in range(300)]
+    want, bias = plain_ftrl(rows, 64, 0.7, 1.0, 0.5, 0.1, 3)
+    at, w, got = toxicity.train_ftrl([(np.array(i, np.int64), y) for i, y in rows], 6, alpha=0.7, beta=1.0, l1=0.5, l2=0.1, epochs=3)
+    table = np.zeros(64)
+    table[at] = w
+    assert np.allclose(table, want) and got == pytest.approx(bias)
+    assert 0 < len(at) < 64  # L1 leaves some at zero
+
+
+def test_features_are_words_neighbours_and_skips():
+    h = toxicity.Hasher(bits=30)
+    one = lambda *w: set(h(" ".join(w)).tolist())
+    a, b, c = (one(x) for x in ("aa", "bb", "cc"))
+    abc = one("aa", "bb", "cc")
+    assert a | b | c < abc and len(abc) == 6  # three words, two pairs, one pair with a gap
+    assert one("aa", "bb") < abc and one("bb", "cc") < abc and len(one("aa", "xx", "cc") & abc) == 3
+    assert one("AA!") == a
+    long = "word " * 400_000 + "nasty"
+    assert len(h(long)) == 3 * 400_001 - 3 and set(h("nasty").tolist()) < set(h(long).tolist())

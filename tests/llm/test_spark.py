@@ -216,6 +216,8 @@ def test_models(docs, none, spark):
     rows = toxicity.report(docs, labels).collect()
     assert len(rows) == 9 and all(0 <= r["score"] <= 1 for r in rows)
     assert toxicity.report(none, labels).count() == 0 and toxicity.report(docs, labels.where("false")).count() == 9
+    few = toxicity.fit(docs, labels, train_chars=1)  # no room for a text: nothing is learnt
+    assert len(few[0]) == 0 and few[2] == -5.0
     by = {r["doc_id"]: r for r in langid.report(docs).collect()}
     assert by[3]["lang_pred"] == by[4]["lang_pred"] == by[7]["lang_pred"] == "und"
     assert langid.report(none).count() == 0

@@ -12,11 +12,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, map_rows, top_hash
+from .common import cut, held_out, map_rows, top_hash
 
 BITS = 20
 #: Labelled rows that are expected in the training sample at most.
 TRAIN_ROWS = 24_000
+#: Characters of the sample's texts that are expected at most: fewer rows are taken where texts are long, so the
+#: one task that learns holds about as many features, four bytes each.
+TRAIN_CHARS = 96_000_000
 MEMO_WORDS = 1_000_000
 EDGE = b"""!"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"""
 
@@ -81,12 +84,15 @@ def train_ftrl(examples, bits: int, alpha=1.0, beta=1.0, l1=2.0, l2=0.1, epochs:
     return at, w[at], bias
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Column | None = None, bits: int = BITS, train_rows: int = TRAIN_ROWS, **options):
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Column | None = None, bits: int = BITS, train_rows: int = TRAIN_ROWS, train_chars: int = TRAIN_CHARS, **options):
     """Weights (indices, values, intercept) from the labelled rows for which ``usable`` holds.
 
     ``docs`` has doc_id and text, ``labels`` doc_id and the label; null labels and ids are passed
-    over, of repeated label rows the largest counts. About ``train_rows`` rows are taken, by md5 of
-    the id. Without a labelled row all weights are zero and the intercept is far below.
+    over, of repeated label rows the largest counts; each of a repeated document's rows is learnt from.
+    About ``train_rows`` rows are taken, by md5 of the id, and fewer if their whole texts have more than
+    ``train_chars`` characters. Rows are learnt from in the order of that md5, ties in the order of
+    their features, so a run is repeatable. Without a labelled row (and so for empty tables) all weights
+    are zero and the intercept is far below.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     known = known.where(usable) if usable is not None else known
@@ -94,9 +100,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Column
     n = known.count()
     u = top_hash(F.lit("ftrl"), F.col("doc_id").cast("string"))
     share = min(1.0, train_rows / max(n, 1))
-    sample = known.withColumn("u", u).where(F.col("u") < int(share * 2**52))
+    drawn = cut(known.withColumn("u", u).where(F.col("u") < int(share * 2**52)))
     # about train_rows rows of 20 bytes: the size of the broadcast is bounded by the parameter
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("u", "label", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("u", "label", "text")
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    if chars > train_chars:
+        rows = rows.where(F.col("u") < int(share * train_chars / chars * 2**52))
 
     def features(batches):
         hasher = Hasher(bits)
@@ -122,7 +131,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Column
 
 
 def score(docs: DataFrame, model, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """id, the columns of ``keep`` and score (0 to 1) of every whole text; null counts as empty."""
+    """id, the columns of ``keep`` and score (0 to 1) of every whole text; null counts as empty.
+
+    Rows in are rows out, with null and repeated ids and equal texts like any others; columns that are
+    not kept are not read; an empty table gives an empty result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     columns = list(dict.fromkeys([id_col, *(keep or [])]))
     if "score" in columns:
