@@ -114,7 +114,7 @@ def test_whole_plan(spark):
         if r["type"] == "EMAIL":
             assert text[r["start"] : r["end"]] == "jo@ex.org"
     gated = plan.detect_with_gateway(spark.createDataFrame([(1, "no signs"), (2, "call 5551234567 now")], "doc_id long, text string"), options.DetectOptions(detectors=("regex",))).collect()
-    assert {r["trigger"] for r in gated} == {"consecutive_digits"}
+    assert {(r["trigger"], r["trigger_match"]) for r in gated} == {("digits", "5551234567")}
 
 
 def test_boost_trim_filter(spark):
@@ -136,7 +136,7 @@ def test_names(spark):
 
 def test_gateway_and_scan(spark):
     s = gateway.AddressSignals()
-    row = spark.createDataFrame([("12 Oak St, PO Box 9, 90210 in town",)], "t string").select(s.score(F.col("t")).alias("n"), s.signals(F.col("t")).alias("s")).first()
+    row = s.scored(spark.createDataFrame([("12 Oak St, PO Box 9, 90210 in town",)], "t string"), "t").select(F.col("address_score").alias("n"), F.col("address_signals").alias("s")).first()
     assert row["s"] == ["suffix", "zip_us", "po_box", "number_word", "state"] and row["n"] == 10
     m = scan.first_match(F.col("t"), 0.6)
     got = spark.createDataFrame([("on 01/02/2003",), ("Name: Jo Li x",), ("a@b.cc 123-45-6789",)], "t string").select(m.alias("m")).collect()

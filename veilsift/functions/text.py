@@ -125,14 +125,23 @@ def contains_any(text: Column, words: tuple[str, ...] | list[str]) -> Column:
     return text.rlike("|".join(rf"\Q{w}\E" for w in words))
 
 
+# Fixed value: marks that are taken off the ends of a name.
 EDGE = "\"'.,;:!?()[]{}<>"
+# End of the fixed value.
 
 
-def _normalize_any(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def normalized_name(name: str) -> str:
+    """A name in plain Python: NFKC, casefold, white space runs to one space, marks off the ends."""
+    if name.isascii():
+        return " ".join(name.lower().split()).strip(EDGE)
     import unicodedata
 
+    return " ".join(unicodedata.normalize("NFKC", name).casefold().split()).strip(EDGE)
+
+
+def _normalize_any(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in batches:
-        yield s.map(lambda x: None if x is None else " ".join(unicodedata.normalize("NFKC", x).casefold().split()).strip("\"'.,;:!?()[]{}<>"))
+        yield s.map(lambda x: None if x is None else normalized_name(x))
 
 
 def normalize_name(name: Column, ascii_only: bool = False) -> Column:
@@ -146,7 +155,9 @@ def normalize_name(name: Column, ascii_only: bool = False) -> Column:
     return F.btrim(F.btrim(F.regexp_replace(F.lower(name), r"\s+", " "), F.lit(" ")), F.lit(EDGE))
 
 
+# Fixed value: a token of a name.
 TOKEN = r"[A-Za-z0-9À-ɏ]+(?:[-'][A-Za-z0-9À-ɏ]+)*"
+# End of the fixed value.
 
 
 def tokens(text: Column) -> Column:

@@ -1,17 +1,27 @@
-"""Names by dictionary: longest n-gram first, from left to right."""
+"""Names by dictionary: longest n-gram first, from left to right.
+
+A dictionary of bounded size goes to every task, which reads each text once: a token that begins no
+name costs one look-up. A larger one is joined with n-grams that begin with a known first word.
+"""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .regex_detect import keyed
 
 #: A dictionary is broadcast up to this many names; beyond it the join is shuffled.
 BROADCAST_NAMES = 2_000_000
 SCORE = 0.85
+#: Normalised tokens that a task remembers.
+MEMO_TOKENS = 200_000
 
 
 def dictionary(names: DataFrame, stopwords: DataFrame | None = None, column: str = "name", ascii_only: bool = False) -> DataFrame:
@@ -23,28 +33,94 @@ def dictionary(names: DataFrame, stopwords: DataFrame | None = None, column: str
     return out.select("name", F.size(F.split("name", " ")).alias("n_words"))
 
 
-def candidates(docs: DataFrame, names: DataFrame, max_words: int = 3, id_col: str = "doc_id", text_col: str = "text", ascii_only: bool = False) -> DataFrame:
-    """(id, pos, n, start, end): every n-gram of tokens that is a name, the longest one at each position."""
-    rows = docs.select(F.col(id_col).alias("id"), T.tokens(F.col(text_col)).alias("w"))
-
-    def gram(n: int):
-        return lambda i: F.struct(
-            i.alias("pos"), F.lit(n).alias("n"), F.element_at("w", i + 1)["start"].alias("start"), F.element_at("w", i + n)["end"].alias("end"),
-            F.array_join(F.transform(F.slice("w", i + 1, F.lit(n)), lambda t: t["text"]), " ").alias("gram"),
-        )
-
-    grams = []
-    for n in range(1, max_words + 1):
-        count = F.size("w") - (n - 1)
-        places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-        grams.append(F.transform(places, gram(n)))
-    each = rows.select("id", F.explode(F.concat(*grams)).alias("g")).select("id", "g.*")
-    each = each.withColumn("name", T.normalize_name(F.col("gram"), ascii_only)).where(F.length("name") >= 2).drop("gram")
-    known = names.select("name")
-    if names.count() <= BROADCAST_NAMES:
-        known = F.broadcast(known)
-    hit = each.join(known, "name", "left_semi")
-    return hit.groupBy("id", "pos").agg(F.max_by(F.struct("n", "start", "end"), "n").alias("m")).select("id", "pos", "m.*")
+def longest(names: DataFrame) -> int:
+    """Words of the longest name."""
+    return names.agg(F.max("n_words")).first()[0] or 1
+
+
+class Matcher:
+    """Greedy matching of normalised names in a text."""
+
+    TOKEN = re.compile(T.TOKEN)
+
+    def __init__(self, names, max_words: int):
+        self.names = names
+        self.first: dict[str, int] = {}  # first words, and the words of the longest name that they begin
+        for name in names:
+            words = name.split(" ")
+            if len(words) <= max_words:
+                self.first[words[0]] = max(self.first.get(words[0], 0), len(words))
+        self.memo: dict[str, str] = {}
+
+    def _norm(self, token: str) -> str:
+        known = self.memo.get(token)
+        if known is None:
+            if len(self.memo) > MEMO_TOKENS:
+                self.memo.clear()
+            known = self.memo[token] = T.normalized_name(token)
+        return known
+
+    def __call__(self, text: str) -> Iterator[tuple[int, int, int, int]]:
+        """(position, words, start, end) of names, the longest at each place, none within another."""
+        memo, norm, first = self.memo, self._norm, self.first
+        words = [memo[t] if t in memo else norm(t) for t in self.TOKEN.findall(text)]
+        places = [i for i, w in enumerate(words) if w in first]
+        if not places:
+            return
+        found, free = None, 0
+        for i in places:
+            if i < free:
+                continue
+            most = min(first[words[i]], len(words) - i)
+            n = next((n for n in range(most, 0, -1) if " ".join(words[i : i + n]) in self.names), 0)
+            if n:
+                found = found or [m.span() for m in self.TOKEN.finditer(text)]
+                yield i, n, found[i][0], found[i + n - 1][1]
+                free = i + n
+
+
+def _broadcast_matches(rows: DataFrame, names: DataFrame, max_words: int) -> DataFrame:
+    """(id, h, pos, n, start, end, text) of (id, h, t) rows by a dictionary that goes to every task."""
+    known = frozenset(r["name"] for r in names.select("name").collect())
+    shared = rows.sparkSession.sparkContext.broadcast(known)
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        match = Matcher(shared.value, max_words)
+        for b in batches:
+            at, out = [], []
+            for i, text in enumerate(b.column(2).to_pylist()):
+                for pos, n, start, end in match(text or ""):
+                    at.append(i)
+                    out.append((pos, n, start, end, text[start:end]))
+            if out:
+                columns = [pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), [pa.int32()] * 4 + [pa.string()], strict=True)]
+                yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(at)) for i in (0, 1)), *columns], ["id", "h", "pos", "n", "start", "end", "text"])
+
+    return rows.mapInArrow(run, f"id {kind}, h long, pos int, n int, start int, end int, text string")
+
+
+def candidates(rows: DataFrame, names: DataFrame, max_words: int, ascii_only: bool = False) -> DataFrame:
+    """(id, h, pos, n, start, end) of (id, h, t) rows: every n-gram of tokens that is a name, the longest one at each position.
+
+    For dictionaries that fit no task: tokens are exploded, those that begin a name are kept by a join,
+    and only there longer n-grams are formed.
+    """
+    each = rows.select("id", "h", F.posexplode(T.tokens(F.col("t"))).alias("pos", "w"))
+    each = each.select("id", "h", "pos", "w.start", "w.end", T.normalize_name(F.col("w.text"), ascii_only).alias("word"))
+    order = Window.partitionBy("id", "h").orderBy("pos")
+    tail = [F.struct(F.lead("word", n).over(order).alias("word"), F.lead("end", n).over(order).alias("end")) for n in range(max_words)]
+    each = each.select("id", "h", "pos", "start", "word", F.array(*tail).alias("tail"))
+    begin = names.where(F.col("n_words") <= max_words).groupBy(F.substring_index("name", " ", 1).alias("word")).agg(F.max("n_words").alias("most"))
+    each = each.join(begin, "word")
+    sizes = F.sequence(F.lit(1), F.least("most", F.lit(max_words)))
+    grams = each.select("id", "h", "pos", "start", "tail", F.explode(sizes).alias("n"))
+    grams = grams.where(F.element_at("tail", F.col("n"))["word"].isNotNull()).select(
+        "id", "h", "pos", "n", "start", F.element_at("tail", F.col("n"))["end"].alias("end"),
+        F.array_join(F.transform(F.slice("tail", F.lit(1), F.col("n")), lambda x: x["word"]), " ").alias("name"),
+    )
+    hit = grams.join(names.select("name"), "name", "left_semi")
+    return hit.groupBy("id", "h", "pos").agg(F.max_by(F.struct("n", "start", "end"), "n").alias("m")).select("id", "h", "pos", "m.*")
 
 
 def greedy(found: DataFrame) -> DataFrame:
@@ -53,11 +129,11 @@ def greedy(found: DataFrame) -> DataFrame:
     Candidates that do not reach each other are apart, so the fold runs over runs of overlapping
     ones, which have few members.
     """
-    order = Window.partitionBy("id").orderBy("pos")
+    order = Window.partitionBy("id", "h").orderBy("pos")
     reach = F.max(F.col("pos") + F.col("n")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = found.withColumn("new", (F.col("pos") >= F.coalesce(reach, F.lit(0))).cast("int"))
     rows = rows.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    lone = rows.groupBy("id", "run").agg(F.sort_array(F.collect_list(F.struct("pos", "n", "start", "end"))).alias("c"))
+    lone = rows.groupBy("id", "h", "run").agg(F.sort_array(F.collect_list(F.struct("pos", "n", "start", "end"))).alias("c"))
     empty = F.array().cast("array<struct<pos:int,n:int,start:int,end:int>>")
     taken = F.aggregate(
         "c",
@@ -66,17 +142,22 @@ def greedy(found: DataFrame) -> DataFrame:
             x["pos"] >= acc["free"], F.struct(F.array_append(acc["out"], x).alias("out"), (x["pos"] + x["n"]).alias("free"))
         ).otherwise(acc),
     )["out"]
-    return lone.select("id", F.explode(taken).alias("t")).select("id", "t.*")
+    return lone.select("id", "h", F.explode(taken).alias("t")).select("id", "h", "t.*")
 
 
-def detect(docs: DataFrame, names: DataFrame, max_words: int = 3, id_col: str = "doc_id", text_col: str = "text", ascii_only: bool = False) -> DataFrame:
-    """PERSON spans (id, type, text, start, end, score, source); the text is the original's slice."""
-    taken = greedy(candidates(docs, names, max_words, id_col, text_col, ascii_only))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    return taken.join(texts, "id").select(
-        "id", F.lit("PERSON").alias("type"), F.substring("t", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"),
-        "start", "end", F.lit(SCORE).alias("score"), F.lit("dictionary").alias("source"),
-    )
+def matches(rows: DataFrame, names: DataFrame, max_words: int | None = None, ascii_only: bool = False) -> DataFrame:
+    """(id, h, start, end, text) of names in (id, h, t) rows; ``max_words`` is by default the longest name's."""
+    most = max_words or longest(names)
+    if names.count() <= BROADCAST_NAMES:
+        return _broadcast_matches(rows, names, most).select("id", "h", "start", "end", "text")
+    taken = greedy(candidates(rows, names, most, ascii_only))
+    return taken.join(rows.distinct(), ["id", "h"]).select("id", "h", "start", "end", F.substring("t", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
+
+
+def detect(docs: DataFrame, names: DataFrame, max_words: int | None = None, id_col: str = "doc_id", text_col: str = "text", ascii_only: bool = False) -> DataFrame:
+    """PERSON spans (id, h, type, text, start, end, score, source); the text is the original's slice."""
+    found = matches(keyed(docs, id_col, text_col), names, max_words, ascii_only)
+    return found.select("id", "h", F.lit("PERSON").alias("type"), "text", "start", "end", F.lit(SCORE).alias("score"), F.lit("dictionary").alias("source"))
 
 
 def checksum(paths: list[str]) -> str:

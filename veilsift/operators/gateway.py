@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -24,6 +26,22 @@ STATES = (
 # End of the fixed values.
 
 
+# Signals, their weights and patterns, in order; the words of suffixes and states go in.
+SIGNALS = (
+    ("suffix", 2, r"(?i)\b(?:{suffixes})\.?\b"),
+    ("zip_us", 3, r"\b\d{5}(?:-\d{4})?\b"),
+    ("zip_uk", 3, r"(?i)\b[A-Z]{1,2}\d{1,2}[A-Z]?\s*\d[A-Z]{2}\b"),
+    ("zip_ca", 3, r"(?i)\b[A-Z]\d[A-Z]\s*\d[A-Z]\d\b"),
+    ("po_box", 3, r"(?i)\bP\.?O\.?\s*Box\b"),
+    ("unit", 2, r"(?i)\b(?:Apt|Suite|Ste|Unit|#)\s*[A-Z0-9-]+\b"),
+    ("number_word", 1, r"\b\d{1,5}\s+[a-zA-Z]"),
+    ("directional", 1, r"(?i)\b(?:N|S|E|W|North|South|East|West|NE|NW|SE|SW)\s+[A-Za-z]"),
+    ("state", 1, r"(?i)\b(?:{states})\b"),
+    ("city", 2, None),
+)
+# End of the fixed values.
+
+
 @dataclass(frozen=True)
 class AddressSignals:
     suffixes: tuple[str, ...] = SUFFIXES
@@ -32,35 +50,58 @@ class AddressSignals:
 
     def rules(self) -> list[tuple[str, int, str | None]]:
         """Signal, weight and pattern, in order; the city signal has none."""
-        states = "|".join(self.states)
-        return [
-            ("suffix", 2, rf"(?i)\b(?:{'|'.join(self.suffixes)})\.?\b"),
-            ("zip_us", 3, r"\b\d{5}(?:-\d{4})?\b"),
-            ("zip_uk", 3, r"(?i)\b[A-Z]{1,2}\d{1,2}[A-Z]?\s*\d[A-Z]{2}\b"),
-            ("zip_ca", 3, r"(?i)\b[A-Z]\d[A-Z]\s*\d[A-Z]\d\b"),
-            ("po_box", 3, r"(?i)\bP\.?O\.?\s*Box\b"),
-            ("unit", 2, r"(?i)\b(?:Apt|Suite|Ste|Unit|#)\s*[A-Z0-9-]+\b"),
-            ("number_word", 1, r"\b\d{1,5}\s+[a-zA-Z]"),
-            ("directional", 1, r"(?i)\b(?:N|S|E|W|North|South|East|West|NE|NW|SE|SW)\s+[A-Za-z]"),
-            ("state", 1, rf"(?i)\b(?:{states})\b"),
-            ("city", 2, None),
-        ]
-
-    def hits(self, text: Column) -> list[tuple[str, int, Column]]:
-        out = []
-        for name, weight, pattern in self.rules():
-            hit = text.rlike(T.FLAGS + pattern) if pattern else T.contains_any(F.lower(text), tuple(c.lower() for c in self.cities))
-            out.append((name, weight, hit))
-        return out
-
-    def score(self, text: Column) -> Column:
-        total = F.lit(0)
-        for _, weight, hit in self.hits(text):
-            total = total + F.when(hit, weight).otherwise(0)
-        return total
-
-    def signals(self, text: Column) -> Column:
-        return F.filter(F.array(*[F.when(hit, F.lit(name)) for name, _, hit in self.hits(text)]), lambda x: x.isNotNull())
+        words = {"suffix": ("{suffixes}", self.suffixes), "state": ("{states}", self.states)}
+        return [(n, w, p.replace(words[n][0], "|".join(words[n][1])) if n in words else p) for n, w, p in SIGNALS]
+
+    def finder(self):
+        """A function from a text to its signals and their score, by Python's patterns: texts that lack what a pattern needs cost no scan."""
+        import re
+
+        rules = self.rules()
+        fold = str.maketrans({"\u017f": "s", "\u0131": "i"})  # letters that patterns take for s and i when case does not count
+        known = {"suffix": {w.lower() for w in self.suffixes}, "state": {w.lower() for w in self.states}}
+        cities = [c.lower() for c in self.cities]
+        patterns = {n: re.compile(p) for n, _, p in rules if p and n not in known}
+        words, digit = re.compile(r"\w+"), re.compile(r"\d")
+
+        def run(text: str) -> tuple[int, list[str]]:
+            low = text.lower()
+            has_digit = digit.search(text) is not None
+            seen = set(words.findall(low.translate(fold)))
+
+            def hit(name):
+                if name in known:
+                    return not seen.isdisjoint(known[name])
+                if name == "city":
+                    return any(c in low for c in cities)
+                if name in ("zip_us", "zip_uk", "zip_ca", "number_word") and not has_digit:
+                    return False
+                if name == "po_box" and "box" not in low:
+                    return False
+                return patterns[name].search(text) is not None
+
+            found = [(n, w) for n, w, _ in rules if hit(n)]
+            return sum(w for _, w in found), [n for n, _ in found]
+
+        return run
+
+    def scored(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
+        """``docs`` plus address_score and address_signals; a null text has none."""
+        signals = self
+
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            find = signals.finder()
+            for texts in batches:
+                yield pd.DataFrame([find(t or "") for t in texts], columns=["score", "signals"])
+
+        run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+        udf = F.pandas_udf("struct<score:int,signals:array<string>>")(run)
+        rows = docs.withColumn("_address", udf(F.col(text_col)))
+        return rows.withColumns({"address_score": F.col("_address.score"), "address_signals": F.col("_address.signals")}).drop("_address")
+
+
+#: Names of tests in options, and of the triggers that they leave.
+TRIGGERS = {"consecutive_digits": "digits", "name_dictionary": "name", "address_signals": "address"}
 
 
 def tests_of(options: DetectOptions) -> tuple[GatewayTest, ...]:
@@ -69,30 +110,34 @@ def tests_of(options: DetectOptions) -> tuple[GatewayTest, ...]:
 
 
 def decide(docs: DataFrame, options: DetectOptions, named: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` plus trigger (first test that hits, null if none) and trigger_match.
+    """``docs`` plus trigger (of the first test that hits: digits, name or address; null if none) and trigger_match.
 
-    ``named``: (id) of rows with a dictionary hit; without it that test never hits.
+    ``named``: (id, h, text, start) of dictionary hits; without it that test never hits. The match is the first run
+    of digits, the first name as it stands in the text, or the address score and its signals.
     """
     rows = docs
     tests = [t for t in tests_of(options) if t.enabled]
+    for t in tests:
+        if t.name not in TRIGGERS:
+            raise ValueError(f"no gateway test {t.name!r}")
     text = F.col(text_col)
     if named is not None and any(t.name == "name_dictionary" for t in tests):
-        hits = named.select(F.col("id").alias("_named")).distinct()
-        rows = rows.join(hits, rows[id_col] == hits["_named"], "left")
+        hits = named.groupBy(F.col("id").alias("_id"), F.col("h").alias("_h")).agg(F.min_by("text", "start").alias("_named"))
+        on = rows[id_col].eqNullSafe(hits["_id"]) & (F.xxhash64(rows[text_col]) == hits["_h"])
+        rows = rows.join(hits, on, "left").drop("_id", "_h")
     else:
-        rows = rows.withColumn("_named", F.lit(None).cast(docs.schema[id_col].dataType))
+        rows = rows.withColumn("_named", F.lit(None).cast("string"))
+    if any(t.name == "address_signals" for t in tests):
+        rows = AddressSignals().scored(rows, text_col)
     trigger, match = F.lit(None).cast("string"), F.lit(None).cast("string")
     for test in reversed(tests):
         if test.name == "consecutive_digits":
             least = test.threshold or 5
-            hit, what = T.has_consecutive_digits(text, least), F.element_at(T.find_consecutive_digits(text, least), 1)
+            hit, what = T.has_consecutive_digits(text, least), F.try_element_at(T.find_consecutive_digits(text, least), F.lit(1))
         elif test.name == "name_dictionary":
-            hit, what = F.col("_named").isNotNull(), F.lit("name")
-        elif test.name == "address_signals":
-            signals = AddressSignals()
-            hit = signals.score(text) >= (test.threshold or 4)
-            what = F.concat(F.lit("address_signals("), signals.score(text).cast("string"), F.lit("): "), F.array_join(signals.signals(text), ","))
+            hit, what = F.col("_named").isNotNull(), F.col("_named")
         else:
-            raise ValueError(f"no gateway test {test.name!r}")
-        trigger, match = F.when(hit, F.lit(test.name)).otherwise(trigger), F.when(hit, what).otherwise(match)
-    return rows.withColumn("trigger", trigger).withColumn("trigger_match", match).drop("_named")
+            hit = F.col("address_score") >= (test.threshold or 4)
+            what = F.concat(F.lit("address_signals("), F.col("address_score").cast("string"), F.lit("): "), F.array_join("address_signals", ","))
+        trigger, match = F.when(hit, F.lit(TRIGGERS[test.name])).otherwise(trigger), F.when(hit, what).otherwise(match)
+    return rows.withColumn("trigger", trigger).withColumn("trigger_match", match).drop("_named", "address_score", "address_signals")

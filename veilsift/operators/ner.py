@@ -41,32 +41,49 @@ def provider(name: str) -> Provider:
 
 
 def detect(docs: DataFrame, models: dict[str, Provider], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, model, seq, type, start, end, score, text); a model that fails on a text yields no span there."""
+    """(id, h, model, seq, type, start, end, score, text); a model that fails on a text yields no span there.
+
+    A model gets a batch of texts at once; only where that fails it gets them one by one.
+    """
+    from .regex_detect import keyed
+
+    base = keyed(docs, id_col, text_col)
     parts = []
     for name, make in models.items():
 
         def run(batches: Iterator[pd.Series], make=make, name=name) -> Iterator[pd.Series]:
             model = make()
             for texts in batches:
-                out = []
-                for t in texts:
-                    try:
-                        out.append([{"type": k, "start": s, "end": e, "score": float(p)} for k, s, e, p in model([t or ""])[0]])
-                    except Exception:  # one text's failure is no other's
-                        log.exception("model %s", name)
-                        out.append([])
-                yield pd.Series(out)
-
-        spans = F.pandas_udf(SPANS)(_typed(run))(F.col(text_col))
-        parts.append(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.lit(name).alias("model"), F.posexplode(spans).alias("seq", "s")))
+                yield pd.Series([[{"type": k, "start": s, "end": e, "score": float(p)} for k, s, e, p in x] for x in called(model, name, [t or "" for t in texts])])
+
+        spans = F.pandas_udf(SPANS)(_typed(run))(F.col("t"))
+        parts.append(base.select("id", "h", "t", F.lit(name).alias("model"), F.posexplode(spans).alias("seq", "s")))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
     return rows.select(
-        "id", "model", "seq", "s.type", "s.start", "s.end", "s.score", F.substring("t", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("text")
+        "id", "h", "model", "seq", "s.type", "s.start", "s.end", "s.score", F.substring("t", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("text")
     )
 
 
+def called(model, name: str, texts: list[str]) -> list[list[tuple]]:
+    """A model's spans of a batch; if that fails, of each text on its own, and none where it fails again."""
+    try:
+        found = model(texts)
+        if len(found) == len(texts):
+            return found
+    except Exception:  # some text of the batch
+        log.info("model %s failed on a batch of %d", name, len(texts))
+    out = []
+    for t in texts:
+        try:
+            out.append(model([t])[0])
+        except Exception:  # one text's failure is no other's
+            log.exception("model %s", name)
+            out.append([])
+    return out
+
+
 def _typed(run):
     def iterate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield from run(batches)

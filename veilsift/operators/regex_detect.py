@@ -1,20 +1,25 @@
-"""Pattern detection with context rules, wholly in column expressions.
+"""Pattern detection with context rules.
 
-Each pattern is one scan of the text that yields matches with offsets; the text around a match is cut
-out at that point, so rows after the explode carry two short strings and not the text.
+One Arrow function finds the matches of all patterns in both passes, each text scanned once a pattern
+and only for patterns that the text can hold (a digit, an at sign); rows after it carry short strings
+and not the text, and the context rules are column expressions over them.
 """
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..options import BIRTH_WORDS, NEGATIVE_WORDS, ZIP_WORDS, DetectOptions
 
-SPAN = "id, pass, seq, type, text, raw_text, start, end, score, source, pre, post"
+SPAN = "id, h, pass, seq, type, text, raw_text, start, end, score, source, pre, post"
 
 
 def labels(options: DetectOptions) -> list[str]:
@@ -28,33 +33,129 @@ def around(text: Column, start: Column, end: Column, window: int) -> tuple[Colum
     return F.substring(text, first + 1, start - first), F.substring(text, end + 1, F.lit(window))
 
 
-def _found(text: Column, options: DetectOptions) -> Column:
-    """array<struct<seq,label,text,s,e>> of all patterns' matches."""
-
-    def shaped(label: str, i: int, j: int):
-        return lambda m, k: F.struct(
-            F.array(F.lit(i), F.lit(j), k).alias("seq"), F.lit(label).alias("label"), m["text"].alias("text"), m["start"].alias("s"), m["end"].alias("e")
-        )
-
-    return F.concat(
-        *[
-            F.transform(T.matches(text, pattern), shaped(label, i, j))
-            for i, label in enumerate(labels(options))
-            for j, pattern in enumerate(options.patterns[label])
-        ]
-    )
-
-
-def _framed(found: DataFrame, text: str, start: Column, end: Column, options: DetectOptions) -> DataFrame:
-    """What stands around each match, in the scanned text (near) and in the original."""
-    window = max(40, options.context_window)
-    rows = found.withColumn("start", start).withColumn("end", end)
-    near, far = around(F.col(text), F.col("m.s"), F.col("m.e"), window)
-    pre, post = around(F.col("t"), F.col("start"), F.col("end"), window)
-    return rows.select(
-        "id", "pass", "m.seq", "m.label", "m.text", F.substring("t", F.col("start") + 1, F.col("end") - F.col("start")).alias("raw_text"), "start", "end",
-        pre.alias("pre"), post.alias("post"), near.alias("near_pre"), far.alias("near_post"),
-    )
+class Normalized:
+    """A text with ``-\\n`` before a further character dropped and white space runs as one space, and the way back."""
+
+    SPACES = re.compile(r"\s+")
+    #: What normalisation changes: dropped line ends, and white space other than one space.
+    CHANGED = re.compile(r"(?:\s|-\n(?=[\s\S]))+")
+
+    def __init__(self, text: str):
+        self.raw = text
+        joined = text.replace("-\n", "") if not text.endswith("-\n") else text[:-2].replace("-\n", "") + "-\n"
+        self.text = self.SPACES.sub(" ", joined)
+        self.starts: list[int] | None = None
+
+    def _map(self) -> None:
+        """Pieces that lie in both texts: where each starts here and there; the space of a run is a piece."""
+        self.starts, self.there = [0], [0]
+        lost = 0
+        for m in self.CHANGED.finditer(self.raw):
+            run = m[0]
+            if run == " ":
+                continue
+            # a space's place is its first white space character that is not part of a dropped line end
+            kept = next((i for i, c in enumerate(run) if c != "-" and not (c == "\n" and i and run[i - 1] == "-")), None)
+            s, e = m.span()
+            if kept is not None:
+                self.starts.append(s - lost)
+                self.there.append(s + kept)
+            lost += e - s - (kept is not None)
+            self.starts.append(e - lost)
+            self.there.append(e)
+
+    def original(self, at: int) -> int:
+        """Offset in the raw text of the character at ``at``."""
+        if self.starts is None:
+            self._map()
+        i = bisect_right(self.starts, at) - 1
+        return self.there[i] + at - self.starts[i]
+
+
+class Finder:
+    """Matches of all patterns of the options in a text, by pass."""
+
+    DIGIT = re.compile(r"\d")
+
+    def __init__(self, options: DetectOptions):
+        self.window = max(40, options.context_window)
+        self.passes = options.passes
+        self.patterns = [(i, label, j, re.compile(p), self._needs(p)) for i, label in enumerate(labels(options)) for j, p in enumerate(options.patterns[label])]
+
+    @staticmethod
+    def _needs(pattern: str) -> str | None:
+        """What every match holds: "@" or "digit" by the parts that a pattern can't do without; None if these tell nothing."""
+
+        def parts(sequence):
+            for op, value in sequence:
+                op = str(op)
+                if op == "LITERAL" and value == ord("@"):
+                    yield "@"
+                elif op == "IN" and all(str(o) == "CATEGORY" and str(v) == "CATEGORY_DIGIT" for o, v in value):
+                    yield "digit"
+                elif op in ("MAX_REPEAT", "MIN_REPEAT") and value[0] >= 1:
+                    yield from parts(value[2])
+                elif op == "SUBPATTERN":
+                    yield from parts(value[-1])
+
+        found = set(parts(re._parser.parse(pattern)))
+        return "@" if "@" in found else "digit" if found else None
+
+    def holds(self, text: str) -> dict:
+        return {"digit": self.DIGIT.search(text) is not None, "@": "@" in text, None: True}
+
+    def matches(self, text: str, has: dict) -> list[tuple]:
+        return [(i, label, j, k, m) for i, label, j, p, needs in self.patterns if has[needs] for k, m in enumerate(p.finditer(text))]
+
+    def __call__(self, text: str) -> Iterator[tuple]:
+        """(pass, seq, label, text, raw_text, start, end, pre, post, near_pre, near_post) of each match."""
+        w = self.window
+        has = self.holds(text)  # normalisation adds no digit or sign
+        if not any(has[needs] for *_, needs in self.patterns):
+            return
+        known = Normalized(text) if "normalized" in self.passes else None
+        for name in self.passes:
+            if name == "normalized" and known.text == text and "raw" in self.passes:
+                continue  # it finds the same spans
+            scanned = text if name == "raw" else known.text
+            for i, label, j, k, m in self.matches(scanned, has):
+                s, e = m.span()
+                start, end = (s, e) if name == "raw" else (known.original(s), known.original(e - 1) + 1)
+                yield (
+                    name, [i, j, k], label, m[0], text[start:end], start, end, text[max(0, start - w) : start], text[end : end + w],
+                    scanned[max(0, s - w) : s], scanned[e : e + w],
+                )
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, h, t): a row is told by its id and a hash of its text, so rows with one id and other texts stay apart."""
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
+
+
+def _found(rows: DataFrame, options: DetectOptions) -> DataFrame:
+    """Matches of (id, h, t) rows."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    kind = rows.schema["id"].dataType.simpleString()
+    names = ["pass", "seq", "label", "text", "raw_text", "start", "end", "pre", "post", "near_pre", "near_post"]
+    types = {"seq": "array<int>", "start": "int", "end": "int"}
+    ddl = f"id {kind}, h long, " + ", ".join(f"`{n}` {types.get(n, 'string')}" for n in names)
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = Finder(options)
+        for b in batches:
+            at, out = [], []
+            for i, text in enumerate(b.column(2).to_pylist()):
+                for row in find(text):
+                    at.append(i)
+                    out.append(row)
+            if out:
+                columns = [pa.array(c, type=schema.field(n).type) for n, c in zip(names, zip(*out, strict=True), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(at)).cast(schema.field(i).type) for i in (0, 1)), *columns], schema=schema)
+
+    return rows.mapInArrow(run, ddl)
 
 
 def by_label(values: dict[str, Column], default: Column) -> Column:
@@ -108,18 +209,5 @@ def detect(docs: DataFrame, options: DetectOptions, id_col: str = "doc_id", text
     """
     if not labels(options):
         raise ValueError("no label to detect")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where(F.length("t") > 0)
-    passes = []
-    if "raw" in options.passes:
-        found = rows.select("id", F.lit("raw").alias("pass"), "t", F.explode(_found(F.col("t"), options)).alias("m"))
-        passes.append(_framed(found, "t", F.col("m.s"), F.col("m.e"), options))
-    if "normalized" in options.passes:
-        alike = rows.withColumn("n", T.normalize_text(F.col("t")))
-        other = alike.where(F.col("n") != F.col("t")) if "raw" in options.passes else alike
-        found = other.select("id", F.lit("normalized").alias("pass"), "t", "n", F.explode(_found(F.col("n"), options)).alias("m"))
-        # only documents with a match get this far; what normalisation dropped tells the original offsets
-        changed = found.withColumn("r", T.runs(F.col("t")))
-        passes.append(_framed(changed, "n", T.original(F.col("m.s"), F.col("r")), T.original(F.col("m.e") - 1, F.col("r")) + 1, options))
-    found = reduce(DataFrame.unionByName, passes)
-    out = rules(found, options)
-    return out.withColumn("source", F.lit("regex")).select(*SPAN.split(", "))
+    rows = keyed(docs, id_col, text_col).where(F.length("t") > 0)
+    return rules(_found(rows, options), options).withColumn("source", F.lit("regex")).select(*SPAN.split(", "))

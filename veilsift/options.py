@@ -153,12 +153,13 @@ class DetectOptions:
     gateway: tuple[GatewayTest, ...] = (
         GatewayTest("consecutive_digits", True, 5), GatewayTest("name_dictionary"), GatewayTest("address_signals", True, 4),
     )
+    gateway_enabled: bool = True
     context_window: int = 40
     detectors: tuple[str, ...] = DETECTORS
     passes: tuple[str, ...] = ("raw", "normalized")
     entity_types: tuple[str, ...] | None = None
     max_chars: int | None = None
-    max_name_words: int = 3
+    max_name_words: int | None = None
 
     def __post_init__(self):
         unknown = {"dict" if d == "dictionary" else d for d in self.detectors} - set(DETECTORS)
@@ -193,8 +194,8 @@ def override(base: DetectOptions, **request) -> DetectOptions:
         changes["gateway"] = tuple(
             dataclasses.replace(t, threshold=digits) if t.name == "consecutive_digits" else t for t in base.gateway
         )
-    if "gateway_enabled" in request and not request.pop("gateway_enabled"):
-        changes["gateway"] = ()
+    if "gateway_enabled" in request:
+        changes["gateway_enabled"] = bool(request.pop("gateway_enabled"))
     if "detector_order" in request:
         changes["detectors"] = tuple(request.pop("detector_order"))
     for key in ("context_window",):
@@ -246,7 +247,10 @@ def from_mapping(data: dict, config_dir: str | None = None) -> DetectOptions:
     address = (data.get("post_filters") or {}).get("address_ner")
     if address is not None:
         changes["address_filter"] = AddressFilter(**{k: tuple(v) if isinstance(v, list) else v for k, v in address.items()})
-    tests = (data.get("gateway") or {}).get("tests")
+    gate = data.get("gateway") or {}
+    if "enabled" in gate:
+        changes["gateway_enabled"] = bool(gate["enabled"])
+    tests = gate.get("tests")
     if tests is not None:
         changes["gateway"] = tuple(GatewayTest(**t) for t in tests)
     if "context_window" in data:

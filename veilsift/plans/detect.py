@@ -9,59 +9,77 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import dictionary, gateway, ner, regex_detect, spans
-from ..options import DetectOptions
+from ..options import DETECTORS, DetectOptions
 
 OUT = ["id", "type", "text", "start", "end", "score", "sources"]
 
 
 def detected(docs: DataFrame, options: DetectOptions, names: DataFrame | None = None, models: dict | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Spans of all detectors before filters and merges (columns of regex_detect.SPAN)."""
+    """Spans of all detectors before filters and merges (columns of regex_detect.SPAN).
+
+    A detector that is asked for by name but lacks its names or models is an error, unless ``options``
+    leave the detectors at their default: then those that can run do.
+    """
     parts = []
-    detectors = {"dict" if d == "dictionary" else d for d in options.detectors}
+    asked = ["dict" if d == "dictionary" else d for d in options.detectors]
+    lacking = [d for d, given in (("ner", models), ("dict", names)) if d in asked and not given]
+    if lacking and tuple(options.detectors) != DETECTORS:
+        raise ValueError(f"no models or names for {lacking}")
     wanted = options.entity_types
-    if "ner" in detectors and models:
+    rows = regex_detect.keyed(docs, id_col, text_col)
+    if "ner" in asked and models:
         found = ner.detect(docs, models, id_col, text_col)
         if len(models) > 1:
-            texts = found.select("id", "model", "seq", "type", "start", "end", "text")
-            boosted = spans.agreement_boost(found.withColumn("seq", F.struct("model", "seq")), options.scoring)
-            found = boosted.select("id", "model", F.col("seq.seq").alias("seq"), "type", "start", "end", "score").join(texts, ["id", "model", "seq", "type", "start", "end"])
-        texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-        found = spans.trim(found.join(texts, "id").withColumn("source", F.lit("ner")), F.col("t"))
+            texts = found.select("id", "h", "model", "seq", "type", "start", "end", "text")
+            key = found.withColumn("id", F.struct("id", "h")).withColumn("seq", F.struct("model", "seq"))
+            boosted = spans.agreement_boost(key, options.scoring).select("id.id", "id.h", "model", "seq.seq", "type", "start", "end", "score")
+            found = boosted.join(texts, ["id", "h", "model", "seq", "type", "start", "end"])
+        found = spans.trim(_with_texts(found.withColumn("source", F.lit("ner")), rows), F.col("t"))
         parts.append(_framed(spans.filter_addresses(found, options.address_filter), "seq", options))
-    if "regex" in detectors:
+    if "regex" in asked:
         parts.append(regex_detect.detect(docs, options, id_col, text_col))
-    if "dict" in detectors and names is not None and (not wanted or "PERSON" in wanted):
+    if "dict" in asked and names is not None and (not wanted or "PERSON" in wanted):
         found = dictionary.detect(docs, names, options.max_name_words, id_col, text_col)
-        texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-        parts.append(_framed(found.join(texts, "id"), "start", options))
+        parts.append(_framed(_with_texts(found, rows), "start", options))
     if not parts:
         raise ValueError("no detector can run")
     return dictionary.union_of(parts)
 
 
+def _with_texts(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """Spans with their text ``t``; rows equal in id and text are one."""
+    return found.join(rows.dropDuplicates(["id", "h"]), found["id"].eqNullSafe(rows["id"]) & found["h"].eqNullSafe(rows["h"])).drop(rows["id"]).drop(rows["h"])
+
+
 def _framed(found: DataFrame, order: str, options: DetectOptions) -> DataFrame:
     """Spans with text ``t`` at hand to the common columns."""
     pre, post = regex_detect.around(F.col("t"), F.col("start"), F.col("end"), max(40, options.context_window))
     raw = F.substring("t", F.col("start") + 1, F.col("end") - F.col("start"))
     seq = F.array(F.lit(0), F.lit(0), F.col(order).cast("int"))
     return found.select(
-        "id", F.lit("raw").alias("pass"), seq.alias("seq"), "type", "text", raw.alias("raw_text"), "start", "end",
+        "id", "h", F.lit("raw").alias("pass"), seq.alias("seq"), "type", "text", raw.alias("raw_text"), "start", "end",
         F.col("score").cast("double").alias("score"), "source", pre.alias("pre"), post.alias("post"),
     )
 
 
 def finish(found: DataFrame, options: DetectOptions) -> DataFrame:
-    """Score filter, retyping, adjacent merge, overlap merge, type filter: one row each entity."""
+    """Score filter, retyping, adjacent merge, overlap merge, type filter: one row each entity of each (id, h)."""
     kept = spans.disambiguate(found.where(F.col("score") >= options.scoring.min_score), options)
-    rank = F.struct((F.col("pass") != "raw").alias("p"), F.col("source"), F.col("seq"))
-    kept = kept.select("id", rank.alias("seq"), "type", "text", "start", "end", "score", F.array("source").alias("sources"), "pre")
+    detector = F.when(F.col("source") == "ner", 0).when(F.col("source") == "regex", 1).otherwise(2)
+    rank = F.struct((F.col("pass") != "raw").alias("p"), detector.alias("d"), F.col("seq"))
+    key = F.struct("id", "h").alias("id")
+    kept = kept.select(key, rank.alias("seq"), "type", "text", "start", "end", "score", F.array("source").alias("sources"), "pre")
     merged = spans.merge_overlapping(spans.merge_adjacent(kept, 2))
-    out = merged.select(*OUT)
+    out = merged.select("id.id", *OUT[1:])
     return out.where(F.col("type").isin(*options.entity_types)) if options.entity_types else out
 
 
 def detect_entities(docs: DataFrame, options: DetectOptions | None = None, names: DataFrame | None = None, models: dict | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Entities (id, type, text, start, end, score, sources) of every document."""
+    """Entities (id, type, text, start, end, score, sources) of every document.
+
+    Rows with one id and other texts keep their own entities; rows equal in both count once. Null and
+    empty texts have none.
+    """
     options = options or DetectOptions()
     if options.max_chars:
         docs = docs.withColumn(text_col, F.left(text_col, F.lit(options.max_chars)))
@@ -69,9 +87,15 @@ def detect_entities(docs: DataFrame, options: DetectOptions | None = None, names
 
 
 def detect_with_gateway(docs: DataFrame, options: DetectOptions | None = None, names: DataFrame | None = None, models: dict | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """As detect_entities, but rows that no gateway test stops get patterns on the raw text only, filtered and retyped but not merged; plus the trigger."""
+    """As detect_entities, but rows that no gateway test stops get patterns on the raw text only, filtered and retyped but not merged; plus trigger and trigger_match.
+
+    With the gateway switched off every row gets the whole plan, and trigger is null.
+    """
     options = options or DetectOptions()
-    named = dictionary.candidates(docs, names, options.max_name_words, id_col, text_col).select("id") if names is not None else None
+    if not options.gateway_enabled:
+        none = F.lit(None).cast("string")
+        return detect_entities(docs, options, names, models, id_col, text_col).withColumns({"trigger": none, "trigger_match": none})
+    named = dictionary.detect(docs, names, options.max_name_words, id_col, text_col).select("id", "h", "text", "start") if names is not None else None
     rows = gateway.decide(docs, options, named, id_col, text_col)
     full = detect_entities(rows.where("trigger is not null"), options, names, models, id_col, text_col)
     cheap = dataclasses.replace(options, passes=("raw",), detectors=("regex",))
@@ -80,7 +104,8 @@ def detect_with_gateway(docs: DataFrame, options: DetectOptions | None = None, n
     both = full.unionByName(quick.select("id", "type", "text", "start", "end", "score", F.array("source").alias("sources")))
     if options.entity_types:
         both = both.where(F.col("type").isin(*options.entity_types))
-    return both.join(rows.select(F.col(id_col).alias("id"), "trigger"), "id")
+    triggers = rows.select(F.col(id_col).alias("_id"), "trigger", "trigger_match").dropDuplicates(["_id"])
+    return both.join(triggers, both["id"].eqNullSafe(triggers["_id"])).drop("_id")
 
 
 def documents(entities: DataFrame, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:

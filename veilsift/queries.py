@@ -15,10 +15,11 @@ from .functions import text as T
 from .operators import dictionary, evaluate, gateway, gold, regex_detect, sampling, scan, spans, split
 from .options import BIRTH_WORDS, NEGATIVE_WORDS, ZIP_WORDS, DetectOptions, profile
 from .plans import detect as plan
+from .sources import readers
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    return readers.table(spark, f"{d}/{name}.parquet")
 
 
 def _spans(spark, d, shift: int = 0, step: int = 1) -> DataFrame:
@@ -153,8 +154,8 @@ def luhn_numbers(spark, d):
 
 
 def address_score(spark, d):
-    s = gateway.AddressSignals()
-    return _t(spark, d, "documents").select("doc_id", s.score(F.col("text")).cast("int").alias("score"), F.array_join(s.signals(F.col("text")), ",").alias("signals"))
+    rows = gateway.AddressSignals().scored(_t(spark, d, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", F.col("address_score").alias("score"), F.array_join("address_signals", ",").alias("signals"))
 
 
 def consecutive_digits(spark, d):
@@ -271,7 +272,7 @@ def label_map(spark, d):
 
 
 def dictionary_words(spark, d):
-    docs = _t(spark, d, "documents").where("lang = 'en'")
+    docs = _t(spark, d, "documents")
     names = dictionary.dictionary(_t(spark, d, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{7,}"), F.lit(0))).alias("name")), ascii_only=True)
     return dictionary.detect(docs, names, 1, ascii_only=True).groupBy("id").agg(F.count("*").alias("n"), F.sum("start").alias("starts"))
 
@@ -409,7 +410,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT type, count(*) AS n, sum(s2)::BIGINT AS starts, (sum(e2 - s2) FILTER (ok))::BIGINT AS chars FROM f WHERE NOT (ok AND i = 1 AND n % 5 = 0) GROUP BY type""",
         "dictionary_words": rf"""
             WITH n AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z]{{7,}}'))) AS name FROM benchmark),
-            x AS (SELECT doc_id AS id, regexp_extract_all(text, '{_TOKEN}') AS m, string_split_regex(text, '{_TOKEN}') AS b FROM documents WHERE lang = 'en'),
+            x AS (SELECT doc_id AS id, regexp_extract_all(text, '{_TOKEN}') AS m, string_split_regex(text, '{_TOKEN}') AS b FROM documents),
             y AS (SELECT id, m, b, unnest(range(1, len(m) + 1)) AS i FROM x),
             z AS (SELECT id, lower(m[i]) AS name, list_sum(list_transform(b[1:i], lambda v: length(v))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda v: length(v))), 0) AS s FROM y)
             SELECT id, count(*) AS n, sum(s)::BIGINT AS starts FROM z JOIN n USING (name) GROUP BY id""",

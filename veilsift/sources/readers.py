@@ -15,6 +15,27 @@ INDEX = (
 )
 
 
+def table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table; one that lies in fewer row groups than there are cores is dealt out to all of them.
+
+    A task reads whole row groups, so a small table in one of them would keep one core busy. Tables
+    with a row group for each core or more, which is all but small ones, are read as they are.
+    """
+    rows = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if rows._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return rows
+    files = rows.inputFiles()
+    if len(files) >= cores or not all(f.startswith("file:") for f in files):
+        return rows
+    from urllib.parse import unquote, urlsplit
+
+    import pyarrow.parquet as pq
+
+    groups = sum(pq.ParquetFile(unquote(urlsplit(f).path)).num_row_groups for f in files)
+    return rows if groups >= cores else rows.repartition(cores)
+
+
 def text_files(spark: SparkSession, path: str, glob: str = "*.txt", max_chars: int | None = None) -> DataFrame:
     """(path, text) of all files below a folder, each as one text, cut at ``max_chars`` where given."""
     rows = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
