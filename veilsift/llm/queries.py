@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources import readers
 from . import html_extract, langid, mixing, packing, quality, simhash, token_count, toxicity, vptree, warc
 
 
@@ -16,7 +17,7 @@ def _tokenizer(name: str) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return readers.table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
