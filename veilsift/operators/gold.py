@@ -24,12 +24,20 @@ def _when(cond: Column, issue: Column) -> Column:
 
 
 def validate(gold: DataFrame, types: list[str], require_text: bool = True) -> DataFrame:
-    """(id, code, level, entity_index) of every problem; indices count from 0."""
+    """(id, code, level, entity_index) of every problem; indices count from 0.
+
+    A column ``odd`` (array<string>), as ``typed`` leaves it, tells what a typed record can't show: TEXT or
+    ENTITIES of a wrong kind, and the indices of entities that are no objects.
+    """
     text, ents = F.col("text"), F.col("entities")
+    odd = F.col("odd") if "odd" in gold.columns else F.array().cast("array<string>")
+    bad_text, bad_entities = F.array_contains(odd, "TEXT"), F.array_contains(odd, "ENTITIES")
     record = F.array(
         _when(F.coalesce("id", F.lit("")) == "", _issue("MISSING_ID", "ERROR")),
-        _when(text.isNull(), _issue("MISSING_TEXT", "ERROR" if require_text else "WARNING")),
-        _when(ents.isNull(), _issue("MISSING_ENTITIES", "WARNING")),
+        _when(text.isNull() & ~bad_text, _issue("MISSING_TEXT", "ERROR" if require_text else "WARNING")),
+        _when(bad_text, _issue("INVALID_TEXT", "ERROR")),
+        _when(ents.isNull() & ~bad_entities, _issue("MISSING_ENTITIES", "WARNING")),
+        _when(bad_entities, _issue("INVALID_ENTITIES", "ERROR")),
     )
     with_id = F.when(F.coalesce("id", F.lit("")) == "", F.slice(record, 1, 1)).otherwise(record)
 
@@ -39,7 +47,8 @@ def validate(gold: DataFrame, types: list[str], require_text: bool = True) -> Da
         inside = (start >= 0) & (start < end) & (end <= F.length(text))
         span = F.substring(text, start + 1, end - start)
         good = whole & text.isNotNull() & inside
-        return F.array(
+        form = F.array(_issue("INVALID_ENTITY_FORMAT", "ERROR", i))
+        checks = F.array(
             _when(~F.coalesce(e["type"].isin(*types), F.lit(False)), _issue("INVALID_TYPE", "ERROR", i)),
             _when(~whole, _issue("INVALID_OFFSETS", "ERROR", i)),
             _when(whole & text.isNotNull() & ~inside, _issue("BAD_OFFSETS", "ERROR", i)),
@@ -54,12 +63,62 @@ def validate(gold: DataFrame, types: list[str], require_text: bool = True) -> Da
                 _issue("DUPLICATE_ENTITY", "WARNING", i),
             ),
         )
+        return F.when(F.array_contains(odd, i.cast("string")), form).otherwise(checks)
 
     inner = F.when((F.coalesce("id", F.lit("")) != "") & ents.isNotNull(), F.flatten(F.transform(ents, entity)))
     all_issues = F.filter(F.concat(with_id, F.coalesce(inner, F.array().cast("array<struct<code:string,level:string,entity_index:int>>"))), lambda x: x.isNotNull())
     return gold.select("id", F.explode(all_issues).alias("issue")).select("id", "issue.*")
 
 
+def typed(lines: DataFrame) -> DataFrame:
+    """Records (id, text, entities, odd) of JSON lines (n, value), for ``validate``; blank lines and lines that are no JSON are left out.
+
+    Fields of a wrong kind come out null, and ``odd`` tells which.
+    """
+    v = F.col("v")
+    at = lambda x, path: F.try_variant_get(x, path, "variant")
+    kind = lambda x, path: F.coalesce(F.schema_of_variant(at(x, path)), F.lit("VOID"))
+    word = lambda x, path: F.when(kind(x, path) == "STRING", F.try_variant_get(x, path, "string"))
+    whole = lambda x, path: F.when(kind(x, path) == "BIGINT", F.try_variant_get(x, path, "int"))
+    rows = lines.where(F.btrim("value") != "").withColumn("v", F.try_parse_json("value")).where("v is not null")
+    listed = F.when(F.startswith(kind(v, "$.entities"), F.lit("ARRAY")), F.try_variant_get(v, "$.entities", "array<variant>"))
+    rows = rows.withColumn("e", listed)
+    ents = F.transform("e", lambda x: F.struct(word(x, "$.type").alias("type"), whole(x, "$.start").alias("start"), whole(x, "$.end").alias("end"), word(x, "$.text").alias("text")))
+    no_object = F.filter(F.transform("e", lambda x, i: F.when(~F.coalesce(F.startswith(F.schema_of_variant(x), F.lit("OBJECT")), F.lit(False)), i.cast("string"))), lambda x: x.isNotNull())
+    fields = F.array_compact(
+        F.array(
+            F.when(~kind(v, "$.text").isin("STRING", "VOID"), "TEXT"),
+            F.when((kind(v, "$.entities") != "VOID") & ~F.startswith(kind(v, "$.entities"), F.lit("ARRAY")), "ENTITIES"),
+        )
+    )
+    return rows.select(word(v, "$.id").alias("id"), word(v, "$.text").alias("text"), ents.alias("entities"), F.concat(fields, F.coalesce(no_object, F.array().cast("array<string>"))).alias("odd"))
+
+
+def validate_lines(lines: DataFrame, types: list[str], require_text: bool = True) -> DataFrame:
+    """(id, code, level, entity_index) of JSON lines (n, value): what is no JSON, and what is wrong with the records."""
+    bad = lines.where((F.btrim("value") != "") & F.try_parse_json("value").isNull()).select(
+        F.concat(F.lit("LINE_"), F.col("n").cast("string")).alias("id"), F.lit("JSON_PARSE_ERROR").alias("code"), F.lit("ERROR").alias("level"), F.lit(None).cast("int").alias("entity_index")
+    )
+    return bad.unionByName(validate(typed(lines), types, require_text))
+
+
+def merge_adjacent(spans: DataFrame, gap: int = 2) -> DataFrame:
+    """Annotated spans (id, idx, type, start, end, pre): joins a span to the one just before it, if types agree and at most ``gap`` white space lies between.
+
+    ``pre`` is the text before a span. Starts are the first's, ends the last's.
+    """
+    order = Window.partitionBy("id").orderBy("start", "idx")
+    near = F.col("start") - F.lag("end").over(order)
+    blank = F.right("pre", near).rlike(f"{FLAGS}\\A{SPACE}*\\z")
+    joined = (F.lag("type").over(order) == F.col("type")) & (near <= gap) & ((near <= 0) | blank)
+    rows = spans.withColumn("new", (~F.coalesce(joined, F.lit(False))).cast("int"))
+    rows = rows.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    place = F.struct("start", "idx")
+    return rows.groupBy("id", "island").agg(
+        F.min("idx").alias("idx"), F.min_by("type", place).alias("type"), F.min("start").alias("start"), F.max_by("end", place).alias("end")
+    ).drop("island")
+
+
 def parse_errors(lines: DataFrame, schema: str) -> DataFrame:
     """(id LINE_n, code, level) for lines (n, value) that are not blank and no JSON object."""
     bad = F.from_json("value", f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})

@@ -64,3 +64,21 @@ def progress(states: DataFrame) -> DataFrame:
         F.countDistinct("pdf").alias("pdfs"), F.count_if(F.col("done")).alias("done"),
         F.count_if(~F.col("done") & ~F.col("skipped")).alias("todo"), F.count_if(F.col("skipped")).alias("skipped"),
     )
+
+
+def validate_all(store: DataFrame) -> DataFrame:
+    """(path, type, start, end, text_length) of entities in a store (path, text, entities) that lie out of bounds or are empty."""
+    e = store.select("path", F.length("text").alias("text_length"), F.explode("entities").alias("e"))
+    inside = (F.col("start") >= 0) & (F.col("start") < F.col("end")) & (F.col("end") <= F.col("text_length"))
+    return e.select("path", "e.type", "e.start", "e.end", "text_length").where(~F.coalesce(inside, F.lit(False)))
+
+
+def trimmed(selections: DataFrame) -> DataFrame:
+    """Selections (text, start, end) without the white space at their ends; those of nothing else are left out."""
+    from ..functions.text import FLAGS, SPACE
+
+    cut = F.substring("text", F.col("start") + 1, F.col("end") - F.col("start"))
+    head = F.length(F.regexp_extract(cut, f"{FLAGS}\\A{SPACE}*", 0))
+    tail = F.length(F.regexp_extract(cut, f"{FLAGS}{SPACE}*\\z", 0))
+    rows = selections.withColumn("_s", F.col("start") + head).withColumn("_e", F.col("end") - tail).where("_s < _e")
+    return rows.withColumn("start", F.col("_s")).withColumn("end", F.col("_e")).drop("_s", "_e")

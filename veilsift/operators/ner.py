@@ -79,7 +79,7 @@ def called(model, name: str, texts: list[str]) -> list[list[tuple]]:
         try:
             out.append(model([t])[0])
         except Exception:  # one text's failure is no other's
-            log.exception("model %s", name)
+            log.warning("model %s failed on a text", name)
             out.append([])
     return out
 
@@ -109,6 +109,64 @@ def chunks(n_tokens: int) -> list[tuple[int, int]]:
     return [(s, min(n_tokens, s + CHUNK_TOKENS)) for s in range(0, n_tokens, step)]
 
 
+def general_model(load: Callable[[], Callable[[list[str]], list[list[tuple[str, int, int]]]]]) -> Provider:
+    """A model with general labels (label, start, end) as a provider: labels without a type are dropped, scores come from the table."""
+
+    def make():
+        model = load()
+        return lambda texts: [[(*known[:1], s, e, known[1]) for label, s, e in found if (known := general_label(label))] for found in model(texts)]
+
+    return make
+
+
+def token_model(load: Callable[[], tuple[Callable, Callable]]) -> Provider:
+    """A token classifier as a provider. ``load()`` gives (tokenize, classify).
+
+    ``tokenize(text)`` returns the (start, end) of each token, ``classify(text)`` the (label, start, end,
+    score) of a text of bounded length. Long texts are classified in chunks that share tokens with the
+    one before; offsets are moved to the whole text, and a span that two chunks find counts once, with
+    the score of the first. Unknown labels are dropped, scores rounded to two places; a chunk that fails
+    is passed over.
+    """
+
+    def make():
+        tokenize, classify = load()
+
+        def run(text: str) -> list[tuple[str, int, int, float]]:
+            places = tokenize(text)
+            out = {}
+            for a, b in chunks(len(places)) if places else []:
+                first = places[a][0] if a else 0
+                last = len(text) if b == len(places) else places[b - 1][1]
+                try:
+                    found = classify(text[first:last])
+                except Exception:
+                    if (a, b) == (0, len(places)):
+                        raise
+                    log.info("a chunk failed")
+                    continue
+                for label, s, e, p in found:
+                    if label in TOKEN_LABELS:
+                        out.setdefault((s + first, e + first, TOKEN_LABELS[label]), round(float(p), 2))
+            return [(kind, s, e, p) for (s, e, kind), p in out.items()]
+
+        return lambda texts: [run(t) for t in texts]
+
+    return make
+
+
+# Names of profiles, old names among them, and the profile that an unknown name gets.
+PROFILES = {"fast": "spacy-fast", "accurate": "spacy-accurate"}
+DEFAULT_PROFILE = "spacy-fast"
+# End of the fixed values.
+
+
+def models(names: str) -> dict[str, Provider]:
+    """The registered providers of a comma list of profiles; old names are known, an unknown one gets the default profile."""
+    wanted = [PROFILES.get(n, n) for n in (x.strip() for x in names.split(",")) if n]
+    return {n: provider(n) for n in (x if x in _PROVIDERS else DEFAULT_PROFILE for x in wanted)}
+
+
 def parse_answers(answers: DataFrame, id_col: str = "id", text_col: str = "text", answer_col: str = "answer") -> DataFrame:
     """Spans from answers of language models: the first JSON array in each.
 

@@ -94,6 +94,39 @@ SCORES = {
 STREET_SUFFIXES = (
     "st", "street", "rd", "road", "ave", "avenue", "blvd", "lane", "ln", "drive", "dr", "way", "court", "ct", "place", "pl", "circle", "cir",
 )
+# Patterns of list files that a configuration may take in place of its own.
+PHONE_LIST = (
+    r"(?:\+?1[-. ]?)?\(?\d{3}\)?[-. ]?\d{3}[-. ]?\d{4}",
+    r"(?:\+?1[-. ]?)?\(?\d{3}\)?[-. ]?\d{3}[-. ]?\d{4}(?:\s*(?:ext|x|ext\.)\s*\d{1,5})?",
+    r"\+\d{1,4}[-. ]?\(?\d{1,4}\)?[-. ]?\d{1,4}[-. ]?\d{1,4}(?:[-. ]?\d{1,4})?",
+    r"\+?44[-. ]?\d{2,4}[-. ]?\d{3,4}[-. ]?\d{3,4}",
+    r"\+\d{1,4}[-. ]\d{4,6}[-. ]\d{4}",
+    r"\b\d{10}\b",
+    r"\b1?[-. ]?8(?:00|33|44|55|66|77|88)[-. ]?\d{3}[-. ]?\d{4}\b",
+    r"\b1?[-. ]?8(?:00|33|44|55|66|77|88)[-. ]?[A-Z0-9]{3}[-. ]?[A-Z0-9]{4}\b",
+    r"\+49[-. ]?\d{2,5}[-. ]?\d{5,10}",
+    r"\+33[-. ]?\d[-. ]?\d{2}[-. ]?\d{2}[-. ]?\d{2}[-. ]?\d{2}",
+    r"\+61[-. ]?\d[-. ]?\d{4}[-. ]?\d{4}",
+    r"\(\d{2,4}\)[-. ]?\d{3,4}[-. ]?\d{3,4}",
+)
+MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
+SHORT_MONTHS = "Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec"
+DATE_LIST = (
+    r"\b\d{4}-\d{2}-\d{2}\b",
+    r"\b\d{1,2}/\d{1,2}/\d{4}\b",
+    r"\b\d{1,2}-\d{1,2}-\d{4}\b",
+    r"\b\d{1,2}\.\d{1,2}\.\d{4}\b",
+    r"\b\d{1,2}/\d{1,2}/\d{2}\b",
+    r"\b\d{1,2}-\d{1,2}-\d{2}\b",
+    r"\b\d{1,2}\.\d{1,2}\.\d{2}\b",
+    rf"\b(?:{MONTHS})\s+\d{{1,2}},?\s+\d{{4}}\b",
+    rf"\b(?:{SHORT_MONTHS})\.?\s+\d{{1,2}},?\s+\d{{4}}\b",
+    rf"\b\d{{1,2}}(?:st|nd|rd|th)?\s+(?:{MONTHS})\s+\d{{4}}\b",
+    rf"\b\d{{1,2}}(?:st|nd|rd|th)?\s+(?:{SHORT_MONTHS})\.?\s+\d{{4}}\b",
+    rf"\b(?:{MONTHS})\s+\d{{4}}\b",
+    rf"\b(?:{SHORT_MONTHS})\.?\s+\d{{4}}\b",
+    r"\b(?:19|20)\d{6}\b",
+)
 ENTITY_TYPES = tuple(SCORES)
 DETECTORS = ("ner", "regex", "dict")
 # End of the fixed values.
@@ -167,6 +200,62 @@ class DetectOptions:
             raise ValueError(f"unknown detectors {sorted(unknown)}")
 
 
+@dataclass(frozen=True)
+class EvalOptions:
+    """How predictions are matched against gold, and how much of what went wrong is written."""
+
+    match: str = "hybrid"
+    overlap_min_chars: int = 1
+    types: tuple[str, ...] = ("PERSON", "LOCATION", "ADDRESS", "SSN", "PHONE_NUMBER", "ACCOUNT_NUMBER", "DATE", "BIRTHDATE", "EMAIL")
+    max_records: int = 0
+    max_errors: int = 2000
+    context: int = 50
+    max_examples: int = 50
+    proximity: int = 50
+
+
+@dataclass(frozen=True)
+class BenchOptions:
+    glob: str = "*.txt"
+    runs: int = 1
+    warmup: int = 3
+    max_pages: int = 0
+    seed: int = 42
+    shuffle: bool = False
+
+
+@dataclass(frozen=True)
+class SampleOptions:
+    """Candidates of a corpus index."""
+
+    n: int
+    seed: int = 42
+    prefer_text: bool = False
+    scanned_share: float = 0.05
+    page_buckets: str = "1,2-5,6-20,21+"
+    size_buckets: tuple[str, ...] = ("tiny", "normal", "huge")
+    output_field: str = "path"
+    min_pages: int = 1
+    max_pages: int = 0
+    allow_duplicates: bool = False
+
+
+@dataclass(frozen=True)
+class SplitOptions:
+    dev_ratio: float = 0.8
+    seed: int = 42
+    rare_types: tuple[str, ...] = ("SSN", "BIRTHDATE", "ACCOUNT_NUMBER")
+    min_positives: int = 1
+
+
+@dataclass(frozen=True)
+class ValidateOptions:
+    types: tuple[str, ...] = EvalOptions.types
+    require_text: bool = True
+    max_errors: int = 100
+    strict: bool = False
+
+
 def profile(name: str) -> DetectOptions:
     if name == "config":
         return DetectOptions()
