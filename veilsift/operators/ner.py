@@ -74,13 +74,15 @@ def called(model, name: str, texts: list[str]) -> list[list[tuple]]:
             return found
     except Exception:  # some text of the batch
         log.info("model %s failed on a batch of %d", name, len(texts))
-    out = []
+    out, failed = [], 0
     for t in texts:
         try:
             out.append(model([t])[0])
         except Exception:  # one text's failure is no other's
-            log.warning("model %s failed on a text", name)
+            failed += 1
             out.append([])
+    if failed:
+        log.warning("model %s failed on %d of %d texts", name, failed, len(texts))
     return out
 
 
