@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import re
 import tempfile
 import uuid
@@ -60,6 +61,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark drop the shuffle files of what is written already; it does so when the driver's heap is swept."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_rows(
     df: DataFrame,
     columns: list[str],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, release
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -17,7 +17,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (columns a, b of one ordered type, no nulls).
 
     The root is the least node of the component. Self-links and repeated links are allowed. Each
-    round is written to the shared folder; only two numbers of a round come to the driver.
+    round is written to the shared folder; only three numbers of a round come to the driver.
     """
     e = cut(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
@@ -32,9 +32,10 @@ def components(edges: DataFrame) -> DataFrame:
             low.select("u", F.col("m").alias("v"))
         )
         e = cut(small.where("u > v").distinct())
-        now = tuple(e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.countDistinct("u")).first())
-        if now[:2] == before:
+        now = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("long"))).first())
+        if now == before:
             break
-        before = now[:2]
+        before = now
+        release(e.sparkSession)
     stars = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
