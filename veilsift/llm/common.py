@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 #: A word is a run of characters that are neither the space nor one of \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes that Spark takes for a table of unknown size.
+UNKNOWN_SIZE = (1 << 63) - 1
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -56,9 +58,19 @@ def _remove(folder: str) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise to the shared folder: later readers survive the loss of any executor."""
+    """Materialise to the shared folder: later readers survive the loss of any executor.
+
+    Spark estimates a join as the product of its sides and keeps that with the checkpoint. Where rounds join
+    what rounds before have joined, the digits of the estimate double with each join until they fill the
+    driver; so one over UNKNOWN_SIZE is dropped, and the size is unknown again.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    plan = out._jdf.queryExecution().analyzed()
+    if plan.stats().sizeInBytes() > UNKNOWN_SIZE:
+        again = df.sparkSession._jsparkSession.internalCreateDataFrame(plan.rdd(), out._jdf.schema(), False)
+        return DataFrame(again, df.sparkSession)
+    return out
 
 
 def release(spark: SparkSession) -> None:
