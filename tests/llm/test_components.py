@@ -89,3 +89,17 @@ def test_a_chain_of_near_copies_takes_no_rounds(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r["component_id"] for r in near_copies.groups(docs).collect()} == {0}
     assert len(written) <= 6  # two a time
+
+
+def test_a_chain_of_fingerprints_takes_no_rounds(spark, monkeypatch):
+    from veilsift.llm import simhash
+
+    rng, fp, prints = random.Random(7), 0, []
+    for k in range(60):
+        prints.append((k, fp - (1 << 64) if fp >> 63 else fp))
+        for bit in rng.sample(range(64), 4):
+            fp ^= 1 << bit
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *_: spark.createDataFrame(prints, "doc_id long, fp long"))
+    written = _written(monkeypatch)
+    assert {r["component_id"] for r in simhash.near_duplicates(spark.createDataFrame([(0, "")], "doc_id long, text string")).collect()} == {0}
+    assert len(written) <= 2

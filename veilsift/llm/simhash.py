@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, map_rows
-from .components import components
+from .components import connected
 
 #: Entries of a posting that one task compares at once; longer postings go block by block.
 BLOCK = 4096
@@ -256,7 +256,7 @@ def near_duplicates(
     """
     prints = cut(fingerprints(docs, id_col, text_col, shingle))
     nodes = cut(prints.groupBy("fp").agg(F.min(id_col).alias("first")))
-    roots = cut(components(links(nodes.select("fp"), bits)))
+    roots = connected(links(nodes.select("fp"), bits))
     joined = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
