@@ -2,7 +2,7 @@
 
 Rows are dealt by ranges of their order and sorted within them, so a row's place is its place in its
 range after all that ranges before it hold: a prefix sum in two passes. Only one count for each range
-(and group) goes through a window or the driver.
+(and group) goes through the driver, or through a window where there are very many groups.
 """
 
 from __future__ import annotations
@@ -29,14 +29,18 @@ def _placed(rows: DataFrame, order: list[Column]) -> DataFrame:
     return cut(dealt.withColumn("_at", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_at", RANGE_BIT)))
 
 
-def _offsets(parts: DataFrame) -> DataFrame:
-    """(_range, n, ...) with ``before``: the sum of n over ranges before; one row a range, so the driver adds them up."""
-    sums, so_far = [], 0
-    for r in parts.orderBy("_range").collect():
-        sums.append((*r, so_far))
-        so_far += r["n"]
+def _offsets(parts: DataFrame, by: str | None = None) -> DataFrame | None:
+    """``parts`` (_range, n, ...) with ``before``, the sum of n over ranges before, and ``total``, of the same ``by``; None if they are too many for the driver."""
+    found = parts.limit(MOST_COUNTS + 1).collect() if by else parts.collect()  # without groups there is one row a range
+    if len(found) > MOST_COUNTS and by:
+        return None
+    sums, so_far = [], {}
+    for r in sorted(found, key=lambda r: r["_range"]):
+        key = r[by] if by else None
+        sums.append((*r, so_far.get(key, 0)))
+        so_far[key] = so_far.get(key, 0) + r["n"]
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parts.schema.fields)
-    return parts.sparkSession.createDataFrame(sums, f"{fields}, before long").withColumn("total", F.lit(so_far))
+    return parts.sparkSession.createDataFrame([(*x, so_far[x[parts.columns.index(by)] if by else None]) for x in sums], f"{fields}, before long, total long")
 
 
 def numbered(rows: DataFrame, order: list[Column], group: str | None = None, name: str = "place", total: str | None = None) -> DataFrame:
@@ -44,17 +48,17 @@ def numbered(rows: DataFrame, order: list[Column], group: str | None = None, nam
 
     ``total`` names a column for the number of rows of the group. Ties are numbered in any order; a null
     sorts as ``order`` says. An empty table stays empty. Columns named _at, _range and _tie are not kept.
+    ``rows`` is read twice, for a sample and to be dealt, so what is dear to make should be cut before.
     """
     by = [group] if group else []
     placed = _placed(rows, [*map(F.col, by), *order])
-    counts = placed.groupBy(*by, "_range").agg(F.count("*").alias("n"), F.min("_at").alias("_first"))
-    if group:
+    parts = placed.groupBy(*by, "_range").agg(F.count("*").alias("n"), F.min("_at").alias("_first"))
+    counts = _offsets(parts, group)
+    few = counts is not None
+    if not few:
         of_group = Window.partitionBy(group)
         before = F.sum("n").over(of_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
-        counts = cut(counts.withColumns({"before": F.coalesce(before, F.lit(0)), "total": F.sum("n").over(of_group)}))
-        few = counts.count() <= MOST_COUNTS
-    else:
-        counts, few = _offsets(counts.select("_range", "n", "_first")), True
+        counts = parts.withColumns({"before": F.coalesce(before, F.lit(0)), "total": F.sum("n").over(of_group)})
     counts = counts.select(*by, "_range", "_first", "before", F.col("total").alias("_total"))
     joined = placed.join(F.broadcast(counts) if few else counts, [*by, "_range"])
     place = (F.col("before") + F.col("_at") - F.col("_first")).cast("long").alias(name)
