@@ -20,7 +20,10 @@ from .common import cut
 #: Levels between exchanges: with runs of two, a row of a tier holds the digests of 256 leaves and their inner nodes.
 TIER_LEVELS = 8
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+#: Up to so many nodes are one task's work, without an exchange.
+FEW_NODES = 4_096
 NO_LEVELS = "array<array<string>>"
+NO_PATH = "array<struct<before:string,after:string>>"
 
 
 def leaf_digest(*values: Column) -> Column:
@@ -34,15 +37,18 @@ def group_key(group: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), group.cast("string")), F.lit("-"))
 
 
-def tree(nodes: DataFrame, most: int, arity: int = 2, tier_levels: int = TIER_LEVELS) -> tuple[DataFrame, list[DataFrame]]:
+def tree(nodes: DataFrame, most: int, count: int, groups: int, arity: int = 2, tier_levels: int = TIER_LEVELS) -> tuple[DataFrame, list[DataFrame]]:
     """Roots (g, digest) of nodes (g, i, n, digest), and the tiers (g, chunk, levels) from the leaves up.
 
-    ``i`` counts a group's nodes from 0, ``n`` is how many it has, at most ``most``. ``levels`` holds, for
-    each level of the tier from the bottom, the digests of all nodes of the chunk, from left to right.
+    ``i`` counts a group's nodes from 0, ``n`` is how many it has, at most ``most``; in all there are ``count``
+    nodes of ``groups`` groups. ``levels`` holds, for each level of the tier from the bottom, the digests of
+    all nodes of the chunk, from left to right.
     """
     span, tiers = arity**tier_levels, []
     while most > 1:
-        rows = nodes.select("g", F.expr(f"i div {span}").alias("chunk"), "i", "n", "digest", F.array().cast(NO_LEVELS).alias("levels")).repartition("g", "chunk")
+        rows = nodes.select("g", F.expr(f"i div {span}").alias("chunk"), "i", "n", "digest", F.array().cast(NO_LEVELS).alias("levels"))
+        rows = rows.repartition("g", "chunk") if count > FEW_NODES else rows.coalesce(1)
+        count = count // span + groups
         for _ in range(tier_levels):
             if most <= 1:
                 break
@@ -77,21 +83,29 @@ def steps(place: Column, levels: Column, arity: int = 2, tier_levels: int = TIER
     return F.transform(levels, step)
 
 
-def proofs(leaves: DataFrame, tiers: list[DataFrame], tops: DataFrame, arity: int = 2, tier_levels: int = TIER_LEVELS) -> DataFrame:
-    """``leaves`` (g, i, ...) with ``path``: the steps from each leaf to its group's root, then those that ``tops`` (g, path) has."""
+def proofs(leaves: DataFrame, tiers: list[DataFrame], tops: DataFrame | None = None, arity: int = 2, tier_levels: int = TIER_LEVELS) -> DataFrame:
+    """``leaves`` (g, i, ...) with ``path``: the steps from each leaf to its group's root, then those that ``tops`` (g, path, ...) has.
+
+    Further columns of ``tops`` come along. Without ``tops`` paths end at the roots.
+    """
     span = arity**tier_levels
-    above = tops.select("g", F.lit(0).cast("long").alias("chunk"), F.col("path").alias("above"))
+    carried = [c for c in tops.columns if c not in ("g", "path")] if tops is not None else []
+    above = None if tops is None else tops.select("g", F.lit(0).cast("long").alias("chunk"), F.col("path").alias("above"), *carried)
+
+    def under(tier: DataFrame) -> DataFrame:
+        return tier.withColumn("above", F.array().cast(NO_PATH)) if above is None else tier.join(above, ["g", "chunk"])
+
     if not tiers:
-        return leaves.join(above.select("g", F.col("above").alias("path")), "g")
+        return leaves.withColumn("path", F.array().cast(NO_PATH)) if above is None else leaves.join(above.drop("chunk").withColumnRenamed("above", "path"), "g")
     for tier in tiers[:0:-1]:
-        rows = tier.join(above, ["g", "chunk"]).select("g", "chunk", "levels", "above", F.posexplode_outer(F.get("levels", F.lit(0))).alias("at", "_"))
+        rows = under(tier).select("g", "chunk", "levels", "above", *carried, F.posexplode_outer(F.get("levels", F.lit(0))).alias("at", "_"))
         at = F.coalesce("at", F.lit(0))  # a group whose root lies below has no levels here
         path = F.concat(steps(at, F.col("levels"), arity, tier_levels), "above")
-        above = rows.select("g", (F.col("chunk") * span + at).alias("chunk"), path.alias("above"))
-    dealt = leaves.withColumn("chunk", F.expr(f"i div {span}")).repartition("g", "chunk")
-    rows = dealt.join(tiers[0].join(above, ["g", "chunk"]), ["g", "chunk"])
+        above = rows.select("g", (F.col("chunk") * span + at).alias("chunk"), path.alias("above"), *carried)
+    dealt = leaves.withColumn("chunk", F.expr(f"i div {span}"))
+    rows = dealt.join(under(tiers[0]), ["g", "chunk"])
     path = F.concat(steps(F.col("i") % span, F.col("levels"), arity, tier_levels), "above")
-    return rows.select(*leaves.columns, path.alias("path"))
+    return rows.select(*leaves.columns, path.alias("path"), *carried)
 
 
 def fold(leaf: Column, path: Column) -> Column:
@@ -106,20 +120,22 @@ def manifest(rows: DataFrame, group: str, order: list[Column], leaf: Column, kee
     they are read; only what ``keep`` names and the digest go on. Repeated rows are leaves of their own, nulls
     sort first, an empty table gives no rows. ``keep`` may name no g, i, n, digest, chunk or levels.
     """
-    own = rows.select(group_key(F.col(group)).alias("g"), F.struct(*order).alias("_order"), leaf.alias("digest"), *[c.alias(k) for k, c in keep.items()])
-    placed = cut(numbered(own, [F.col("_order"), F.col("digest")], "g", "i", "n").drop("_order"))
-    nodes = placed.select("g", "i", "n", "digest")
-    tops, tiers = tree(nodes, placed.agg(F.max("n")).first()[0] or 0, arity, tier_levels)
+    own = cut(rows.select(group_key(F.col(group)).alias("g"), F.struct(*order).alias("_order"), leaf.alias("digest"), *[c.alias(k) for k, c in keep.items()]))
+    placed = numbered(own, [F.col("_order"), F.col("digest")], "g", "i", "n").drop("_order")
+    most, count, groups = placed.agg(F.max("n"), F.count("*"), F.count_if(F.col("i") == 0)).first()
+    tops, tiers = tree(placed.select("g", "i", "n", "digest"), most or 0, count, groups, arity, tier_levels)
     # the groups' roots, one row each, in the order of their groups
-    tops = cut(tops)
-    count = tops.count()
-    upper = numbered(tops.withColumnRenamed("g", "group"), [F.col("group")], None, "i", "n").withColumn("g", F.lit(""))
-    root, upper_tiers = tree(upper.select("g", "i", "n", "digest"), count, arity, tier_levels)
-    root = root.select("g", F.col("digest").alias("root"))
-    over = proofs(upper, upper_tiers, root.select("g", F.array().cast("array<struct<before:string,after:string>>").alias("path")), arity, tier_levels)
-    over = cut(over.join(root, "g").select(F.col("group").alias("g"), F.col("digest").alias("subroot"), "root", "path"))
-    found = proofs(placed, tiers, over.select("g", "path"), arity, tier_levels)
-    return found.join(over.drop("path"), "g").select(*keep, F.col("digest").alias("leaf"), "subroot", "root", "path")
+    named = tops.select(F.lit("").alias("g"), F.col("g").alias("group"), "digest")
+    if groups <= FEW_NODES:
+        ordered = named.coalesce(1).sortWithinPartitions("group").withColumns({"i": F.monotonically_increasing_id(), "n": F.lit(groups).cast("long")})
+    else:
+        ordered = numbered(named, [F.col("group")], None, "i", "n")
+    upper = cut(ordered)
+    root, upper_tiers = tree(upper.select("g", "i", "n", "digest"), groups, groups, 1, arity, tier_levels)
+    top = root.first()
+    over = proofs(upper, upper_tiers, None, arity, tier_levels).select(F.col("group").alias("g"), F.col("digest").alias("subroot"), "path")
+    found = proofs(placed, tiers, over, arity, tier_levels)
+    return found.select(*keep, F.col("digest").alias("leaf"), "subroot", F.lit(top["digest"] if top else None).cast("string").alias("root"), "path")
 
 
 def report(documents: DataFrame) -> DataFrame:
