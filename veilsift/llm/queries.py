@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import readers
-from . import html_extract, langid, lines, merkle, mixing, packing, quality, simhash, token_count, toxicity, vptree, warc
+from . import html_extract, langid, lines, merkle, mixing, packing, quality, simhash, token_count, toxicity, va_file, vptree, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -60,6 +60,10 @@ def op10_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(_table(spark, sf_dir, "documents"))
 
 
+def op11_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_file.report(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(_table(spark, sf_dir, "documents"))
 
@@ -72,13 +76,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     each = [
         op1_pareto_mix, op2_main_text, op3_rule_ledger, op4_packing, op5_simhash,
         op6_vp_trees, op7_token_counts, op8_warc, op9_toxicity, op10_language_spans,
-        op12_merkle, op13_line_dedup,
+        op11_va_file, op12_merkle, op13_line_dedup,
     ]
     return {q.__name__: q for q in each}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_pareto_mix": mixing.REPORT_SQL, "op3_rule_ledger": quality.REPORT_SQL, "op8_warc": warc.REPORT_SQL, "op12_merkle": merkle.REPORT_SQL,
-        "op13_line_dedup": lines.REPORT_SQL,
+        "op1_pareto_mix": mixing.REPORT_SQL, "op3_rule_ledger": quality.REPORT_SQL, "op8_warc": warc.REPORT_SQL, "op11_va_file": va_file.REPORT_SQL,
+        "op12_merkle": merkle.REPORT_SQL, "op13_line_dedup": lines.REPORT_SQL,
     }
