@@ -19,7 +19,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, top_hash
+from .common import map_rows
 
 #: Expected pages of the training sample at most.
 TRAIN_PAGES = 4_000
@@ -45,12 +45,14 @@ FRAMES = frozenset("head nav header footer aside form menu dialog button noscrip
 #: Of these an end in "/>" ends the element.
 FOREIGN = frozenset(("svg", "math"))
 ARTICLES = frozenset(("article", "main"))
-#: Parts of a name (in class, id, role or aria-label) that tell a frame wherever they stand.
+#: Inside of an article these frame nothing: its own head, and a list.
+PARTS = frozenset(("header", "menu"))
+#: Parts of a name (in class, id, role or aria-label) that tell a frame if the rest of the name is such parts or layout.
 FRAME_PARTS = re.compile(
     r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|sidebar|nav|navbar|navigation|breadcrumbs?|masthead|cookies?|consent|gdpr|popup|modal|"
     r"newsletter|pagination|pager|toolbar|complementary|contentinfo|disqus|commentlist)\Z"
 )
-#: Parts that tell a frame if the rest of the name says no more than LAYOUT_PARTS.
+#: Words that could as well be what a text is about; inside of an article they tell a frame the same way.
 FRAME_ALONE = re.compile(
     r"(?:side|widgets?|menu|footer|header|notices?|overlay|subscribe|subscription|signup|login|search|shar(?:e|ing)|social|related|recommend\w*|copyright|legal|"
     r"disclaimer)\Z"
@@ -59,11 +61,15 @@ FRAME_ALONE = re.compile(
 COMMENT_PARTS = re.compile(r"(?:comments?|commentlist|disqus|replies|reply|respond|discussion)\Z")
 LAYOUT_PARTS = re.compile(
     r"(?:box|list|links?|block|area|section|container|wrap|wrapper|inner|outer|bar|column|col|row|left|right|top|bottom|main|site|page|global|primary|"
-    r"secondary|posts?|articles?|entry|entries|items?|content|body|form|button|buttons|icons?|thread|author|meta|title|heading|text|reader|readers|user|users|"
+    r"secondary|slots?|units?|zones?|placements?|leaderboard|skyscraper|rectangle|mpu|spaces?|panels?|strips?|modules?|components?|boxes|rail|holder|labels?|"
+    r"messages?|banners?|bars|forms?|dialogs?|images?|img|text|desktop|mobile|sticky|fixed|floating|inline|above|below|after|before|middle|center|centre|"
+    r"large|small|big|wide|slim|dark|light|active|open|closed|hide|show|visible|js|posts?|articles?|entry|entries|items?|content|body|form|button|buttons|icons?|thread|author|meta|title|heading|text|reader|readers|user|users|"
     r"and|the|\d+)\Z"
 )
 #: Inside of an article these are parts of it.
 HEADS = frozenset(("header", "masthead"))
+#: Inside of an article the id of such an element is the mark of its heading, so it names a topic.
+TOPICS = frozenset("section h1 h2 h3 h4 h5 h6 p dt dd li figure table blockquote pre a span".split())
 #: Names of a layout that has a part are no part.
 LAYOUT = re.compile(r"\b(?:with|has|no|without|is)[-_]\S+", re.I)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
@@ -83,13 +89,18 @@ TAG_PRIOR, TAG_MOST, TAG_LEAST = -0.3, -0.05, -1.0
 FRAME_MOST, LITTLE = 1.5, 0.001
 
 
-def frame_of(attributes: str, inside: bool) -> int:
-    """2: what has these attributes is hidden or holds readers' comments; 1: its name frames; 0: neither."""
+def frame_of(attributes: str, inside: bool, element: str = "div") -> int:
+    """2: what has these attributes is hidden or holds readers' comments; 1: its name frames; 0: neither.
+
+    A name frames by all its parts: one that says what the text is about ("sponsor-interview") is no frame.
+    """
     given = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
     if "hidden" in given or given.get("aria-hidden", "").lower() == "true" or UNSEEN.search(given.get("style", "")):
         return 2
     found = 0
     for key in ("class", "id", "role", "aria-label"):
+        if key == "id" and inside and element in TOPICS:
+            continue
         for name in LAYOUT.sub(" ", given.get(key, "")).split():
             parts = [x for x in re.split(r"[\W_]+", CAMEL.sub("-", name).lower()) if x]
             rest = [x for x in parts if not LAYOUT_PARTS.match(x)]
@@ -97,8 +108,9 @@ def frame_of(attributes: str, inside: bool) -> int:
                 return 2
             if inside:
                 parts, rest = ([x for x in y if x not in HEADS] for y in (parts, rest))
-            if any(FRAME_PARTS.match(x) for x in parts) or (rest and all(FRAME_ALONE.match(x) or COMMENT_PARTS.match(x) for x in rest)):
-                found = 1
+            if any(FRAME_PARTS.match(x) for x in parts) or rest:
+                if all(FRAME_PARTS.match(x) or FRAME_ALONE.match(x) or COMMENT_PARTS.match(x) for x in rest):
+                    found = 1
     return found
 
 
@@ -108,50 +120,57 @@ def tokens(page: str | None, by_name: bool = True) -> list[tuple]:
     Elements frame by tag, hidden, or as readers' comments, and with ``by_name`` by class, id or role. A wrapper that
     frames by name gives way to an article or main element in it, unless its name speaks of readers' comments.
     """
-    page = page or ""
     out = []
-    stack: list[tuple[str, int, bool]] = []  # name, frame (1 by name, 2 for good), article
-    for m in TOKEN.finditer(page):
+    # name, frame (1 by name, 2 for good), in an article, name of the block, its place in the stack (-1: none), links open
+    stack: list[tuple[str, int, bool, str, int, int]] = []
+    none = ("", 0, False, "", -1, 0)
+    opened: Counter[str] = Counter()
+
+    def cut(at: int) -> None:
+        for name, *_ in stack[at:]:
+            opened[name] -= 1
+        del stack[at:]
+
+    for m in TOKEN.finditer(page or ""):
         name = m[3]
-        frame = "frame" if stack and stack[-1][1] else None
+        above = stack[-1] if stack else none
+        frame = "frame" if above[1] else None
         if name is None:
             t = m[0]
             if m[1] is not None:
                 out.append(("tag", m[1].lower(), frame, "", False))
             elif t[:2] not in ("<!", "<?"):
-                block = next((x for x, _, _ in reversed(stack) if x in BLOCKS), "")
-                out.append(("text", t, frame or ("article" if stack and stack[-1][2] else "out"), block, any(x == "a" for x, _, _ in stack)))
+                out.append(("text", t, frame or ("article" if above[2] else "out"), above[3], above[5] > 0))
             continue
         name = name.lower()
         if m[2]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+            if opened[name]:  # a stray end tag ends nothing
+                at = len(stack) - 1
+                while stack[at][0] != name:
+                    at -= 1
+                cut(at)
         elif not m[0].endswith(">"):
             continue  # a page that is cut inside of a tag
         elif name not in VOID and not (m[4].endswith("/") and name in FOREIGN):
             ends = IMPLIED.get(name)
-            if ends and stack and stack[-1][0] in ends:
-                stack.pop()
-            elif name in BLOCKS and name != "p":
-                at = len(stack) - 1
-                while at >= 0 and stack[at][0] not in BLOCKS:
-                    at -= 1
-                if at >= 0 and stack[at][0] == "p":
-                    del stack[at:]
-            above = stack[-1] if stack else ("", 0, False)
+            if ends and stack and above[0] in ends:
+                cut(len(stack) - 1)
+            elif name in BLOCKS and name != "p" and above[3] == "p":
+                cut(above[4])
+            above = stack[-1] if stack else none
             inside = above[2] or name in ARTICLES
             found = above[1]
-            if name in FRAMES and not (name == "header" and inside):
+            if name in FRAMES and not (name in PARTS and inside):
                 found = 2
             if m[4] and found < 2 and name not in ("html", "body"):
-                said = frame_of(m[4], inside)
+                said = frame_of(m[4], inside, name)
                 if said == 2 or (said and by_name and name not in ARTICLES):
                     found = said
             if name in ARTICLES and found == 1:
                 found = 0
-            stack.append((name, found, inside))
+            block = (name, len(stack)) if name in BLOCKS else above[3:5]
+            stack.append((name, found, inside, *block, above[5] + (name == "a")))
+            opened[name] += 1
         out.append(("tag", ("/" if m[2] else "") + name, "frame" if stack and stack[-1][1] else None, "", False))
     return out
 
@@ -219,7 +238,7 @@ def weights(inside: Counter, outside: Counter) -> dict[tuple[str, str], float]:
 def gains(found: list[tuple], score: dict[tuple[str, str], float]) -> list[float]:
     """What each token adds to a run; a framing element costs FRAME_MOST at most, all told.
 
-    From the first marked word to the last, tags and framing elements cost next to nothing.
+    From the first marked word to the last, tags, framing elements and words without a mark cost next to nothing.
     """
     inside = [i for i, (k, v, p, *_) in enumerate(found) if k == "text" and p == "article" and v.strip()]
     marked = bool(inside)
@@ -241,7 +260,7 @@ def gains(found: list[tuple], score: dict[tuple[str, str], float]) -> list[float
             framed = FRAME_MOST
         out.append(gain)
     for i in range(inside[0], inside[-1]) if marked else ():
-        if found[i][0] == "tag" or found[i][2] == "frame":
+        if found[i][0] == "tag" or found[i][2] != "article":
             out[i] = max(out[i], -LITTLE)
     return out
 
@@ -293,14 +312,14 @@ def _extract(found: list[tuple], score: dict[tuple[str, str], float]) -> str:
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", body_col: str = "html", train_pages: int = TRAIN_PAGES) -> dict[tuple[str, str], float]:
-    """Weights from a sample of about ``train_pages`` pages, chosen by md5 of the id; a table without pages gives the priors.
+    """Weights from a sample of about ``train_pages`` pages, chosen by a hash of id and page; a table without pages gives the priors.
 
     The features are a fixed vocabulary (elements of BLOCKS and VOID and a few more, three lengths, two
     shares of links), so what comes to the driver is bounded whatever the pages hold.
     """
     n = pages.count()
     share = min(1.0, train_pages / max(n, 1))
-    u = top_hash(F.lit("html"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    u = F.shiftrightunsigned(F.xxhash64(F.lit("html"), F.col(id_col).cast("string"), F.col(body_col)), 12)
     sample = pages.where(u < int(share * 2**52)).select(body_col)
 
     def run(batches):
