@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordering import RANGE_BIT, numbered
 from .common import WORD, cut, top_hash
 
 BINS = 4096
@@ -55,12 +56,15 @@ def targets(sizes: DataFrame, pattern: tuple[int, ...], share: float, most: int)
     their limit. Each round saturates all sources whose limit is under the level; two numbers come
     to the driver, and rounds end when none is added.
     """
-    order = Window.orderBy(F.col("source").isNull(), F.col("source"))
-    position = F.row_number().over(order) - 1
+    order = [F.col("source").isNull(), F.col("source")]
+    if sizes.count() <= BROADCAST_SOURCES:
+        placed = sizes.withColumn("position", F.row_number().over(Window.orderBy(*order)) - 1)
+    else:
+        placed = numbered(sizes, order, name="position")
     weights = F.array(*[F.lit(w) for w in pattern])
     s = cut(
-        sizes.withColumn("weight", F.element_at(weights, (position % len(pattern) + 1).cast("int")))
-        .withColumn("most", F.col("source_size") * most)
+        placed.withColumn("weight", F.element_at(weights, (F.col("position") % len(pattern) + 1).cast("int")))
+        .withColumn("most", F.col("source_size") * most).drop("position")
     )
     total = s.agg(F.sum("source_size")).first()[0] or 0
     budget = min(share, most) * total
@@ -146,13 +150,18 @@ def plan_mix(slim: DataFrame, pattern: tuple[int, ...] = (3, 1, 2), share: float
         )
         plan = _extend(plan.drop("edge_first", "edge_before"), edge)
 
-    rows = _placed(_by_source(slim, plan)).where(F.col("at") == F.col("edge_first"))
+    # rows that rank, size and id don't tell apart are one row here, however many they are
+    rows = _placed(_by_source(slim, plan)).where((F.col("at") == F.col("edge_first")) & (F.col("size") > 0))
+    ties = rows.groupBy("source", "rank", "size", "id").agg(F.count("*").alias("n"), F.first("need").alias("need"), F.first("edge_before").alias("before"))
     order = Window.partitionBy("source").orderBy("rank", "size", "id").rowsBetween(Window.unboundedPreceding, -1)
-    head = F.coalesce(F.sum("size").over(order), F.lit(0)) + F.col("edge_before")
+    ties = ties.withColumn("head", F.coalesce(F.sum(F.col("size") * F.col("n")).over(order), F.lit(0)) + F.col("before"))
     # a document is in the head if its middle word is: the head then ends as near as can be
-    taken = rows.withColumn("head", head).where(2 * F.col("head") + F.col("size") <= 2 * F.col("need"))
-    last = taken.groupBy("source").agg(F.max(F.struct("rank", "size", "id")).alias("last"))
-    return _extend(plan, last)
+    fits = lambda k: 2 * (F.col("head") + k * F.col("size")) + F.col("size") <= 2 * F.col("need")  # noqa: E731  after k of the ties
+    guess = F.floor((F.col("need") - F.col("head")) / F.col("size") + 0.5).cast("long")
+    some = F.when(fits(guess), guess + 1).when(fits(guess - 1), guess).otherwise(guess - 1)
+    ties = ties.withColumn("took", F.least(F.greatest(some, F.lit(0)), F.col("n"))).where("took > 0")
+    last = ties.groupBy("source").agg(F.max(F.struct("rank", "size", "id", "took", "n")).alias("last"))
+    return _extend(plan, last.select("source", F.struct("last.rank", "last.size", "last.id").alias("last"), "last.took", F.col("last.n").alias("tied")))
 
 
 def _extend(plan: DataFrame, more: DataFrame) -> DataFrame:
@@ -178,8 +187,8 @@ def allot(
     Two passes over ``docs``: one writes id, source, size, random number and g, the other applies the
     plan (a row a source) in place, so texts are never shuffled. Deterministic: the random number is
     md5 of seed and id, or of the text where the id is null. Ties of rank are broken by size, then
-    id; rows equal in all three share one fate. Null source is a source of its own, ordered last.
-    Documents without words are never taken. An empty table gives an empty result. ``prefer`` (0 to
+    id; of rows equal in all three as many are taken as the head has room for. Null source is a source of its own,
+    ordered last. Documents without words are never taken. An empty table gives an empty result. ``prefer`` (0 to
     UNIT) takes the place of g.
     """
     ranked = _ranked(docs, size, id_col, source_col, text_col, prefer, seed)
@@ -187,14 +196,38 @@ def allot(
     names = docs.columns
     rows = ranked.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), "_mix.*")
     rows = _placed(_by_source(rows, plan))
-    inside = (F.col("at") == F.col("edge_first")) & (F.struct("rank", "size", "id") <= F.col("last"))
-    more = F.coalesce((F.col("at") < F.col("edge_first")) | inside, F.lit(False)).cast("long")
-    copies = F.when(F.col("size") > 0, F.col("whole") + more).otherwise(F.lit(0)).cast("long")
+    key = F.struct("rank", "size", "id")
+    inside = (F.col("at") == F.col("edge_first")) & (key <= F.col("last"))
+    more = F.coalesce((F.col("at") < F.col("edge_first")) | inside, F.lit(False))
+    rows = rows.withColumn("more", more.cast("long"))
+    if not plan.where("took < tied").isEmpty():
+        rows = _first_ties(rows, F.coalesce(inside & key.eqNullSafe(F.col("last")) & F.expr("took < tied"), F.lit(False)))
+    copies = F.when(F.col("size") > 0, F.col("whole") + F.col("more")).otherwise(F.lit(0)).cast("long")
     rows = rows.withColumn("copies", copies)
     mix = F.struct("size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
     return rows.select("_row.*", mix.alias(out))
 
 
+def _first_ties(rows: DataFrame, tied: Column) -> DataFrame:
+    """``rows`` with ``more`` set to 0 for those ``tied`` rows of a source that come after the first ``took`` of them.
+
+    They are numbered where they are read: their place in their partition after all that partitions before it
+    hold of their source. So texts stay where they are; the table must come in the same partitions each time it is
+    read, as files do, or else a few rows more or less are taken.
+    """
+    some = rows.where(tied).sortWithinPartitions("source").withColumn("_at", F.monotonically_increasing_id())
+    some = some.withColumn("_part", F.shiftright("_at", RANGE_BIT))
+    before = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = some.groupBy("source", "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    parts = cut(parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))))
+    parts = parts.select(F.col("source").alias("_source"), F.col("_part").alias("_of"), "_first", "_before")
+    parts = F.broadcast(parts) if parts.count() <= BROADCAST_SOURCES else parts
+    placed = some.join(parts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_part") == F.col("_of")))
+    late = F.col("_before") + F.col("_at") - F.col("_first") >= F.col("took")
+    placed = placed.withColumn("more", F.when(late, F.lit(0)).otherwise(F.col("more")).cast("long"))
+    return rows.where(~tied).unionByName(placed.select(*rows.columns))
+
+
 def mixed(docs: DataFrame, size: Column, **options) -> DataFrame:
     """The mix itself: every document as many times as the plan takes it, with the columns of ``docs``."""
     rows = allot(docs, size, out="_mixed", **options).where("_mixed.copies > 0")
