@@ -83,7 +83,7 @@ def gram_places(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def fit(docs: DataFrame, usable: Column | None = None, train_rows: int = TRAIN_ROWS):
     """(languages, log scores by place and language, scripts by language) from rows with text and lang.
 
-    Of each language about ``train_rows / number of languages`` rows are taken, by md5 of the id, and all
+    Of each language about ``train_rows / number of languages`` rows are taken, by md5 of the id (or of the text where that is null), and all
     rows where it has fewer: so a rare language is learnt at every size of the table. What comes to the
     driver is bounded by 2**BITS places for each language. Without a row there is no language.
     """
@@ -92,7 +92,8 @@ def fit(docs: DataFrame, usable: Column | None = None, train_rows: int = TRAIN_R
     n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
     each = -(-train_rows // max(len(n), 1))
     least = [F.lit(x) for lang, k in sorted(n.items()) for x in (lang, int(min(1.0, each / k) * 2**52))]
-    u = top_hash(F.lit("lang"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "lang")
+    # rows without an id are told by their text
+    u = top_hash(F.lit("lang"), F.coalesce(F.col("doc_id").cast("string"), F.md5("text")), "lang")
     rows = rows.where(u < F.element_at(F.create_map(*least), F.col("lang"))) if least else rows
     rows = rows.select("lang", "text")
 
@@ -230,9 +231,12 @@ class Labeller:
         A span is (first word, end word, language); words without letters join what precedes them.
         """
         langs, share, spans = [], [], []
+        if not self.langs:  # nothing learnt, nothing to tell apart
+            ends = [len((t or "").split()) for t in texts]
+            return ["und"] * len(texts), [0.0] * len(texts), [[{"first": 0, "end": n, "lang": "und"}] if n else [] for n in ends]
         for rows in self.scores(texts):
             known = np.flatnonzero(self.has[rows])
-            if not len(known) or not self.langs:
+            if not len(known):
                 langs.append("und")
                 share.append(0.0)
                 spans.append([{"first": 0, "end": len(rows), "lang": "und"}] if len(rows) else [])
@@ -250,7 +254,7 @@ class Labeller:
 def label(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", with_spans: bool = False) -> DataFrame:
     """id, lang_pred, score and, if asked for, spans of every whole text.
 
-    Null texts and texts without a letter are ``und`` with score 0. Ids may be null or repeated;
+    Null texts and texts without a letter are ``und`` with score 0, and so is every text if no language was learnt. Ids may be null or repeated;
     other columns are not read; an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
