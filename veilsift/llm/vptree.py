@@ -27,7 +27,7 @@ LEAF = 64
 #: How much the triangle inequality is relaxed by default; the fewer the dimensions, the less it may be.
 FACTOR = 1.35
 #: What the report takes for its vectors of 64 components; recall and visits are in the README.
-REPORT_FACTOR = 4.0
+REPORT_FACTOR = 5.0
 QUERY_BLOCK = 256
 #: Finds a query that are held before the best of them are sorted out.
 SETTLE = 4
@@ -82,12 +82,18 @@ def distance(q: np.ndarray, product: np.ndarray, top: float) -> np.ndarray:
 class Balls:
     """The first levels of the tree over all vectors of one length: which shard is whose."""
 
-    def __init__(self, sample: np.ndarray, top: float, shards: int):
-        self.top = top
+    def __init__(self, top: float, pivots: np.ndarray, radius: np.ndarray, paths: list[tuple]):
+        self.top, self.pivots, self.radius, self.paths = top, pivots, radius, paths
+
+    @classmethod
+    def fit(cls, sample: np.ndarray, top: float, shards: int) -> Balls:
         leaf = -(-len(sample) // shards)
-        self.pivots, radii, leaves = _halves(lifted(np.unique(np.asarray(sample, np.float64), axis=0), top), max(leaf, 1))
-        self.radius = radii.mean(axis=1)
-        self.paths = [p for _, p in leaves]
+        pivots, radii, leaves = _halves(lifted(np.unique(np.asarray(sample, np.float64), axis=0), top), max(leaf, 1))
+        return cls(top, pivots, radii.mean(axis=1), [p for _, p in leaves])
+
+    def parts(self) -> tuple:
+        """What makes it again, without a class of this package: a broadcast is unpickled where the package may be absent."""
+        return self.top, self.pivots, self.radius, self.paths
 
     def shard(self, vectors: np.ndarray) -> np.ndarray:
         """The ball that each vector lies in."""
@@ -206,7 +212,7 @@ def _blocks(batches, heads: int):
         for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows], strict=True):
             dim = int(head[0, s])
             more = [b.column(i).to_numpy(zero_copy_only=False)[s:e] for i in range(heads + 2, b.num_columns)]
-            yield head[:, s].tolist(), ids[s:e], flat[ends[s] - dim : ends[e - 1]].reshape(-1, dim).astype(np.float64), more
+            yield head[:, s].tolist(), ids[s:e], flat[ends[s] - dim : ends[e - 1]].reshape(e - s, dim).astype(np.float64), more
 
 
 def nearest(
@@ -218,11 +224,12 @@ def nearest(
     factor: float = FACTOR,
     shard_rows: int | None = None,
 ) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest rows found for each query, its own id left out.
+    """query_id, rank, vec_id, score: the k nearest rows found for each query, its own row left out.
 
     Every usable row is indexed; vectors of another length than the query's are no candidates. Ties go
-    to the smaller id; repeated ids are candidates once each. Of equal vectors the k + 1 smallest ids go
-    on, which is all that an answer can hold, so copies crowd no shard. Shards hold about ``shard_rows``
+    to the smaller id. A row of ``queries`` is a query whatever its id, and gets a list of its own; its own row is one with
+    its id and vector, all other rows are candidates as often as they come, so an id may stand in a list twice. Of equal
+    vectors the k + 1 smallest ids go on, which is all that an answer can hold, so copies crowd no shard. Shards hold about ``shard_rows``
     vectors (by default as SHARD_ROWS tells); each builds its tree in its task and streams the queries
     in blocks, so a task holds one shard and one block. Empty tables give empty results.
     """
@@ -246,93 +253,97 @@ def nearest(
             share = min(1.0, SAMPLE_ROWS / r["n"])
             drawn = points.where((F.col("copy") == 1) & (F.size("vec") == r["dim"]) & (u < int(share * 2**52))).orderBy("id").select("vec").collect()
             sample = np.array([x["vec"] for x in drawn], np.float64) if drawn else sample
-        balls[r["dim"]] = Balls(sample, top, min(shards, len(sample)))
+        balls[r["dim"]] = Balls.fit(sample, top, min(shards, len(sample))).parts()
     shared = spark.sparkContext.broadcast(balls)  # at most 8192 vantage points for each length
     kind = vectors.schema[vec_col].dataType.simpleString()
 
     def dealt(batches):
-        """(dim, id, vec) to (dim, shard, id, vec)."""
+        """(dim, id, vec, row) to (dim, shard, id, vec, row)."""
         for b in batches:
             shard = np.zeros(b.num_rows, np.int32)
             at = 0
             for (dim,), ids, vec, _ in _blocks([b], 1):
-                shard[at : at + len(ids)] = shared.value[dim].shard(vec) if dim in shared.value else 0
+                shard[at : at + len(ids)] = Balls(*shared.value[dim]).shard(vec) if dim in shared.value else 0
                 at += len(ids)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shard), b.column(1), b.column(2)], ["dim", "shard", "id", "vec"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shard), *b.columns[1:]], ["dim", "shard", "id", "vec", "row"])
 
     def open_shards(batches):
-        """(dim, id, vec, home, within) to a row for each other shard that the k-th best leaves open."""
+        """(dim, id, vec, row, home, within) to a row for each other shard that the k-th best leaves open."""
         for b in batches:
             take, shards = [], []
             at = 0
-            for (dim,), ids, vec, (home, within) in _blocks([b], 1):
-                bound = shared.value[dim].bounds(vec)
+            for (dim,), ids, vec, (_, home, within) in _blocks([b], 1):
+                bound = Balls(*shared.value[dim]).bounds(vec)
                 i, s = np.nonzero((bound * factor <= within[:, None]) & (np.arange(bound.shape[1]) != home[:, None]))
                 take.append(i + at)
                 shards.append(s)
                 at += len(ids)
             i, s = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (take, shards))
             some = b.take(pa.array(i))
-            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(s.astype(np.int32)), some.column(1), some.column(2), some.column(4)], ["dim", "shard", "id", "vec", "within"])
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(s.astype(np.int32)), *some.columns[1:4], some.column(5)], ["dim", "shard", "id", "vec", "row", "within"])
 
     def searched(batches):
-        """Rows of (dim, shard, kind, id, vec, within), points before queries, to answers and, vec_id null, what each query was left with."""
+        """Rows of (dim, shard, kind, id, vec, row, within), points before queries, to answers and, vec_id null, what each query was left with."""
         key, held, tree = None, [], None
 
-        def answer(dim, shard, ids, vecs, within):
+        def answer(dim, shard, ids, vecs, rows, within):
             best, score = tree.search(vecs, k + 1, factor, within)
-            out = ([], [], [])
+            out = ([], [], [], [])
             limit = np.full(len(ids), np.inf)
-            for i, q in enumerate(ids.tolist()):
+            for i, (q, row) in enumerate(zip(ids.tolist(), rows.tolist(), strict=True)):
                 found = []
                 for p, s in zip(best[i].tolist(), score[i].tolist(), strict=True):
                     if p >= 0:
-                        found += [(-s, c) for c in tree.copies[p][: k + 1].tolist() if c != q]
+                        copies = tree.copies[p][: k + 1].tolist()
+                        if q in copies and (tree.points[p] == vecs[i]).all():
+                            copies.remove(q)  # the query's own row
+                        found += [(-s, c) for c in copies]
                 found = sorted(found)[:k]
                 for s, c in found:
-                    out[0].append(q), out[1].append(c), out[2].append(-s)
+                    out[0].append(q), out[1].append(c), out[2].append(-s), out[3].append(row)
                 if len(found) == k:
                     limit[i] = distance(vecs[i : i + 1], np.array([[-found[-1][0]]]), tree.top)[0, 0]
             m = len(ids)
             return {
                 "query_id": np.concatenate((np.array(out[0], np.int64), ids)), "vec_id": out[1] + [None] * m, "score": np.concatenate((np.array(out[2], np.float64), limit)),
-                "dim": [None] * len(out[0]) + [dim] * m, "home": [None] * len(out[0]) + [shard] * m, "vec": [None] * len(out[0]) + list(vecs),
+                "row": np.concatenate((np.array(out[3], np.int64), rows)), "dim": [None] * len(out[0]) + [dim] * m, "home": [None] * len(out[0]) + [shard] * m, "vec": [None] * len(out[0]) + list(vecs),
             }
 
-        for (dim, shard, is_query), ids, vec, (within,) in _blocks(batches, 3):
+        for (dim, shard, is_query), ids, vec, (row, within) in _blocks(batches, 3):
             if (dim, shard) != key:
                 key, held, tree = (dim, shard), [], None
             if not is_query:
                 held.append((ids, vec))
                 continue
             if held:
-                tree = VPTree(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]), top=shared.value[dim].top)
+                tree = VPTree(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]), top=shared.value[dim][0])
                 held = []
             for i in range(0, len(ids), QUERY_BLOCK):
                 if tree is None:  # a shard without points: the query goes on to others
                     m = len(ids[i : i + QUERY_BLOCK])
-                    got = {"query_id": ids[i : i + m], "vec_id": [None] * m, "score": np.full(m, np.inf), "dim": [dim] * m, "home": [shard] * m, "vec": list(vec[i : i + m])}
+                    got = {"query_id": ids[i : i + m], "vec_id": [None] * m, "score": np.full(m, np.inf), "row": row[i : i + m], "dim": [dim] * m, "home": [shard] * m, "vec": list(vec[i : i + m])}
                 else:
-                    got = answer(dim, shard, ids[i : i + QUERY_BLOCK], vec[i : i + QUERY_BLOCK], within[i : i + QUERY_BLOCK])
+                    got = answer(dim, shard, ids[i : i + QUERY_BLOCK], vec[i : i + QUERY_BLOCK], row[i : i + QUERY_BLOCK], within[i : i + QUERY_BLOCK])
                 yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in fields], schema=fields)
 
-    fields = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("dim", pa.int32()), ("home", pa.int32()), ("vec", pa.list_(pa.float64()))])
-    out = "query_id long, vec_id long, score double, dim int, home int, vec array<double>"
+    fields = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("row", pa.int64()), ("dim", pa.int32()), ("home", pa.int32()), ("vec", pa.list_(pa.float64()))])
+    out = "query_id long, vec_id long, score double, row long, dim int, home int, vec array<double>"
 
     def search(asked: DataFrame) -> DataFrame:
-        own = placed.select("dim", "shard", F.lit(0).alias("kind"), "id", "vec", F.lit(0.0).alias("within"))
-        both = own.unionByName(asked.select("dim", "shard", F.lit(1).alias("kind"), "id", "vec", "within"))
+        own = placed.select("dim", "shard", F.lit(0).alias("kind"), "id", "vec", "row", F.lit(0.0).alias("within"))
+        both = own.unionByName(asked.select("dim", "shard", F.lit(1).alias("kind"), "id", "vec", "row", "within"))
         return both.repartition(n, "dim", "shard").sortWithinPartitions("dim", "shard", "kind", "id").mapInArrow(searched, out)
 
-    deal = f"dim int, shard int, id long, vec {kind}"
-    placed = cut(points.select(F.size("vec").alias("dim"), "id", "vec").mapInArrow(dealt, deal))
-    asked = usable(queries, id_col, vec_col).select(F.size("vec").alias("dim"), "id", "vec").mapInArrow(dealt, deal)
-    known = F.col("dim").isin(list(balls)) if balls else F.lit(False)
-    first = cut(search(asked.where(known).withColumn("within", F.lit(float("inf")))))
-    left = first.where("vec_id is null").select("dim", F.col("query_id").alias("id"), F.col("vec").cast(kind).alias("vec"), "home", F.col("score").alias("within"))
+    deal = f"dim int, shard int, id long, vec {kind}, row long"
+    placed = cut(points.select(F.size("vec").alias("dim"), "id", "vec", F.lit(0).cast("long").alias("row")).mapInArrow(dealt, deal))
+    known = F.size("vec").isin(list(balls)) if balls else F.lit(False)
+    # queries are told apart by a number that is written before it is used
+    asked = cut(usable(queries, id_col, vec_col).where(known).select(F.size("vec").alias("dim"), "id", "vec", F.monotonically_increasing_id().alias("row")))
+    first = cut(search(asked.mapInArrow(dealt, deal).withColumn("within", F.lit(float("inf")))))
+    left = first.where("vec_id is null").select("dim", F.col("query_id").alias("id"), F.col("vec").cast(kind).alias("vec"), "row", "home", F.col("score").alias("within"))
     second = search(left.mapInArrow(open_shards, f"{deal}, within double"))
-    found = first.unionByName(second).where("vec_id is not null").select("query_id", "vec_id", "score")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = first.unionByName(second).where("vec_id is not null").select("query_id", "vec_id", "score", "row")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
