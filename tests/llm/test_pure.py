@@ -201,7 +201,7 @@ def test_triangle_bounds_pass_over_leaves_and_shards():
     _, score = tree.search(q, 5, 1.0)
     assert np.allclose(score, np.sort(q @ v.T, axis=1)[:, ::-1][:, :5])
     assert tree.visited < 0.7 * len(q) * len(tree.leaves)
-    balls = vptree.Balls(v[::4], top, 8)
+    balls = vptree.Balls.fit(v[::4], top, 8)
     home, bound = balls.shard(v), balls.bounds(q)
     assert len(np.unique(home)) == 8
     d = vptree.distance(q, q @ v.T, top)

@@ -2,6 +2,7 @@
 
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -199,6 +200,44 @@ def test_nearest(spark):
     assert vptree.nearest(frame.where("false"), frame.where("false")).count() == 0
 
 
+def test_nearest_of_repeated_ids(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (3, [0.9, 0.1]), (3, [0.1, 0.9]), (4, [0.5, 0.5]), (40, [2.0, 2.0]), (40, [2.0, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in vptree.nearest(frame, frame.where("vec_id % 20 = 0"), 4, factor=1.0).collect()]
+    want = []
+    for a, (q, v) in enumerate(rows):
+        if q % 20 == 0:
+            found = sorted((-(v[0] * w[0] + v[1] * w[1]), i) for b, (i, w) in enumerate(rows) if b != a)[:4]
+            want += [(q, n, i, -s) for n, (s, i) in enumerate(found, 1)]
+    assert sorted(got) == sorted(want)
+
+
+def test_no_language_is_learnt(spark):
+    docs = spark.createDataFrame([(1, "hello there", None), (2, None, None), (None, "1234", None), (2, "", "en")], "doc_id long, text string, lang string")
+    for rows in (docs.where("lang is null"), docs.where("doc_id = 2")):  # 2 is held out
+        assert {(r["lang_pred"], r["score"]) for r in langid.report(rows).collect()} == {("und", 0.0)}
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [(5, "a", "w " * 20)] * 1000,
+        [(5, "a", "w " * 20)] * 600 + [(5, "b", "w " * 20)] * 300 + [(6, "b", "w " * 7)] * 300 + [(None, None, "z " * 11)] * 200,
+        [(None, "a", "w " * 20)] * 400 + [(None, "a", "w " * 19)] * 300 + [(None, None, f"x{i} y" * (i % 13)) for i in range(300)],
+        [(i % 40, "abc"[i % 3], "w " * (i % 7)) for i in range(1500)] + [(7, "a", "w " * 9)] * 1000,
+    ],
+)
+def test_mix_of_repeated_ids(spark, tmp_path, rows):
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(7).write.parquet(path)
+    got = mixing.report(spark.read.parquet(path)).collect()
+    c = duckdb.connect()
+    c.execute(f"create view documents as select * from '{path}/*.parquet'")
+    cur = c.execute(mixing.REPORT_SQL)
+    names = [x[0] for x in cur.description]
+    assert sorted(repr(tuple(r[k] for k in names)) for r in got) == sorted(map(repr, cur.fetchall()))
+
+
 def test_round_trip(spark):
     big = "<p>" + "x" * 200
     rows = [(1, "u", big), (2, None, big), (3, "u\r\nv", "é" * 60), (4, "u", None), (5, "u", ""), (6, "u", "small"), (7, "u", "small"), (8, "u", "\r\n\r\nWARC/1.1\r\n" * 20)]

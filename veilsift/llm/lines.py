@@ -149,7 +149,7 @@ class LineIndex:
             added, removed, old = now, now.where("false"), self.spark.createDataFrame([], "shard int, bits binary")
         changes = added.select(shard, "k1", F.lit(True).alias("new")).unionByName(removed.select(shard, "k1", F.lit(False).alias("new")))
 
-        def update(key, held: pd.DataFrame, change: pd.DataFrame) -> pd.DataFrame:
+        def update(key: tuple, held: pd.DataFrame, change: pd.DataFrame) -> pd.DataFrame:
             new = change["k1"].to_numpy()[change["new"].to_numpy(bool)]
             if len(held):
                 f = CuckooFilter.from_bytes(held["bits"].iloc[0])
@@ -160,7 +160,7 @@ class LineIndex:
                 bits = CuckooFilter.of(new).to_bytes()
             return pd.DataFrame({"shard": [key[0]], "bits": [bits]})
 
-        def anew(key, rows: pd.DataFrame) -> pd.DataFrame:
+        def anew(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"shard": [key[0]], "bits": [CuckooFilter.of(rows["k1"].to_numpy()).to_bytes()]})
 
         fields = "shard int, bits binary"

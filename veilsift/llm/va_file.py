@@ -43,6 +43,11 @@ def exact(values: np.ndarray, wide: bool) -> np.ndarray:
     return np.array([int(x) for x in values.ravel().tolist()], object).reshape(values.shape)
 
 
+def _long(score: np.ndarray) -> np.ndarray:
+    """Python's integers beyond a long become the end of its range; so scores are compared as they are returned."""
+    return np.minimum(np.maximum(score, -_LONG - 1), _LONG) if score.dtype == object and len(score) else score
+
+
 class Approximation:
     """Rows of one length (integers) in cells; ``scored`` counts rows scored exactly, ``seen`` all that were asked about."""
 
@@ -70,7 +75,7 @@ class Approximation:
         total = np.zeros((codes.shape[1], 2), table.dtype)
         for j in range(len(codes)):
             total += table[j].take(codes[j], axis=0)
-        return total[:, 0], total[:, 1]
+        return _long(total[:, 0]), _long(total[:, 1])
 
     def best(self, anchor: np.ndarray, low: np.ndarray, high: np.ndarray, first: int, order: tuple, k: int, window: tuple) -> tuple[np.ndarray, np.ndarray]:
         """Places and scores of the ``k`` best rows with a score within ``window``, of those from ``first`` on that ``low`` and
@@ -83,7 +88,7 @@ class Approximation:
         at = np.flatnonzero(maybe) + first
         self.seen += len(low)
         self.scored += len(at)
-        score = self.rows[at] @ anchor
+        score = _long(self.rows[at] @ anchor)
         inside = (score >= least) & (score <= most)
         at, score = at[inside], score[inside]
         pick = np.lexsort((*[o[at] for o in order], -score))[:k]
@@ -155,8 +160,8 @@ def hard_negatives(
 
     Anchors are the usable rows for which the condition ``anchors`` on ``id`` holds. Each row stands for itself: repeated rows
     are candidates, and anchors, as often as they come. A null id sorts last among equal scores. Rows of
-    another length than the anchor's are no candidates. Scores are exact integers, whatever their size; one
-    beyond a long comes out as the end of its range. A positive score below zero has no negatives.
+    another length than the anchor's are no candidates. Scores are exact integers; one beyond a
+    long counts as the end of its range. A positive score below zero has no negatives.
     Without anchors, positives or rows there is nothing to return.
     """
     spark = rows.sparkSession
@@ -198,7 +203,7 @@ def hard_negatives(
             if out:
                 at = np.concatenate([x[2] for x in out])
                 size = [len(x[2]) for x in out]
-                score = [min(max(int(s), -_LONG - 1), _LONG) for x in out for s in x[3].tolist()]
+                score = [int(s) for x in out for s in x[3].tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.repeat(np.array([x[0] for x in out], np.int64), size)), pa.array(np.repeat(np.array([x[1] for x in out], np.int32), size)),
