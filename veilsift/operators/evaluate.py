@@ -9,12 +9,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import f1, file_id, length_bucket, safe_div
+from ..sources import shared
 
 # Fixed values.
 EXACT_TYPES = ("SSN", "ACCOUNT_NUMBER")
 GROUP_GAP, GROUP_SPAN = 30, 120
 # End of the fixed values.
 
+#: Characters of a bin of the interval join.
+BIN = 128
+#: Rounds of matching without an exchange, and how often they are begun before the rest is folded.
+ROUNDS, STAGES = 3, 5
+
 
 def select_records(gold: DataFrame, ids: DataFrame | None = None, files: DataFrame | None = None, limit: int | None = None) -> DataFrame:
     """Records whose id is listed, or else whose file is."""
@@ -44,81 +50,133 @@ def overlap(g: str = "g", p: str = "p") -> Column:
     return F.greatest(F.least(F.col(f"{g}.end"), F.col(f"{p}.end")) - F.greatest(F.col(f"{g}.start"), F.col(f"{p}.start")), F.lit(0))
 
 
+def _bins(start: str = "start", end: str = "end") -> Column:
+    """The bins that a span touches; none if it is empty."""
+    first, last = F.floor(F.col(start) / BIN), F.floor((F.col(end) - 1) / BIN)
+    return F.when(F.col(end) > F.col(start), F.sequence(first, last))
+
+
+def touching(g: DataFrame, p: DataFrame, by: list[str], exact: Column | None = None) -> DataFrame:
+    """Pairs of ``g`` and ``p`` (structs of those names with start and end) that share characters, ``by`` equal.
+
+    Spans are cut into the bins they touch and joined bin by bin, so no pair is formed beyond a common bin; a
+    pair that shares several is kept in the first. Rows for which ``exact`` holds meet only where start and end are equal.
+    """
+    exact = F.lit(False) if exact is None else exact
+
+    def cut(rows: DataFrame, side: str) -> DataFrame:
+        bins = F.when(exact, F.array(F.floor(F.col(f"{side}.start")))).otherwise(_bins(f"{side}.start", f"{side}.end"))
+        return rows.withColumn("_bin", F.explode(bins))
+
+    joined = cut(g, "g").join(cut(p, "p"), [*by, "_bin"])
+    same = (F.col("g.start") == F.col("p.start")) & (F.col("g.end") == F.col("p.end"))
+    first = F.col("_bin") == F.floor(F.greatest("g.start", "p.start") / BIN)
+    return joined.where(F.when(exact, same).otherwise(first & (overlap() > 0))).drop("_bin")
+
+
 def pairs(gold: DataFrame, pred: DataFrame, setting: str = "hybrid", least: int = 1) -> DataFrame:
-    """Candidates (id, type, g, p, overlap): an interval join on id and type, with mode by type."""
+    """Candidates (id, type, g, p, overlap): an interval join on id and type, with mode by type.
+
+    With ``least`` below 1 every pair of one id and type is a candidate, as the rule says.
+    """
     g = gold.select("id", "type", F.struct("start", "end", "idx").alias("g"))
     p = pred.select("id", "type", F.struct("start", "end", "idx").alias("p"))
-    exact = (F.col("g.start") == F.col("p.start")) & (F.col("g.end") == F.col("p.end"))
-    near = overlap() >= least
-    joined = g.join(p, ["id", "type"])
-    mode = mode_of(F.col("type"), setting)
-    return joined.where(F.when(mode == "exact", exact).otherwise(near)).withColumn(
-        "overlap", F.when(mode == "exact", F.lit(1_000_000_000)).otherwise(overlap())
-    )
+    exact = mode_of(F.col("type"), setting) == "exact"
+    if least < 1:
+        same = (F.col("g.start") == F.col("p.start")) & (F.col("g.end") == F.col("p.end"))
+        joined = g.join(p, ["id", "type"]).where(~exact | same)
+    else:
+        joined = touching(g, p, ["id", "type"], exact).where(exact | (overlap() >= least))
+    return joined.withColumn("overlap", F.when(exact, F.lit(1_000_000_000)).otherwise(overlap()))
 
 
 def match(gold: DataFrame, pred: DataFrame, setting: str = "hybrid", least: int = 1, group_addresses: bool = True) -> DataFrame:
     """Matches (id, type, g_idx, p_idx, primary): greedy by overlap, gold length and earlier start.
 
-    The fold runs over the candidates of one (id, type), sorted as the rule says. Afterwards an
-    ADDRESS prediction of at most 120 characters takes further unmatched gold spans around its own.
+    A candidate that is the best of its gold span and of its prediction is what the greedy order takes before
+    any other of the two, so all such are taken at once, what they touch goes, and the rest is looked at again.
+    Afterwards an ADDRESS prediction of at most 120 characters takes further unmatched gold spans around its own.
     """
-    c = pairs(gold, pred, setting, least)
     rank = F.struct(
         (-F.col("overlap")).alias("a"), (F.col("g.start") - F.col("g.end")).alias("b"), F.col("g.start").alias("c"),
         F.col("g.idx").alias("g"), F.col("p.idx").alias("p"),
     )
-    folded = c.groupBy("id", "type").agg(F.sort_array(F.collect_list(rank)).alias("c"))
-    empty = F.array().cast("array<struct<g:int,p:int>>")
-    taken = F.aggregate(
-        "c",
-        empty,
-        lambda acc, x: F.when(
-            F.exists(acc, lambda m: (m["g"] == x["g"]) | (m["p"] == x["p"])), acc
-        ).otherwise(F.array_append(acc, F.struct(x["g"].cast("int").alias("g"), x["p"].cast("int").alias("p")))),
+    cands = pairs(gold, pred, setting, least).select("id", "type", "g", "p", rank.alias("rank")).repartition("id", "type")
+    cands = shared.cut(cands)
+    ones = _mutual(cands.select("id", "type", F.col("g.idx").alias("g_idx"), F.col("p.idx").alias("p_idx"), "rank"))
+    out = ones.select("id", "type", F.col("g_idx").cast("int").alias("g_idx"), F.col("p_idx").cast("int").alias("p_idx"), F.lit(True).alias("primary"))
+    if not group_addresses or setting == "exact":
+        return out
+    return out.unionByName(_grouped(cands, ones))
+
+
+def _mutual(cands: DataFrame) -> DataFrame:
+    """The greedy one-to-one choice of (id, type, g_idx, p_idx, rank), smallest rank first, ``cands`` being dealt by id and type.
+
+    ROUNDS rounds run without an exchange; then what is left is written and counted. Nearly all is
+    settled in the first; what forms chains, each link better than the one before, takes a round a
+    link, so after STAGES such stages the rest of a type's spans is folded in order, in one row.
+    """
+    taken = None
+    for _ in range(STAGES):
+        rows = cands.withColumn("state", F.lit(0))  # 0 open, 1 taken, 2 gone
+        for _ in range(ROUNDS):
+            open_ = F.when(F.col("state") == 0, F.col("rank"))
+            of_g, of_p = (Window.partitionBy("id", "type", c) for c in ("g_idx", "p_idx"))
+            rows = rows.withColumn("best_g", F.min(open_).over(of_g)).withColumn("best_p", F.min(open_).over(of_p))
+            won = (F.col("state") == 0) & (F.col("rank") == F.col("best_g")) & (F.col("rank") == F.col("best_p"))
+            rows = rows.withColumn("won", won)
+            lost = F.max("won").over(of_g) | F.max("won").over(of_p)
+            rows = rows.withColumn("state", F.when(F.col("won"), 1).when((F.col("state") == 0) & lost, 2).otherwise(F.col("state"))).drop("best_g", "best_p", "won")
+        rows = shared.cut(rows)
+        new = rows.where("state = 1").drop("state")
+        taken = new if taken is None else taken.unionByName(new)
+        cands = rows.where("state = 0").drop("state")
+        if cands.isEmpty():
+            return taken
+    folded = F.aggregate(
+        F.sort_array(F.collect_list("rank")),
+        F.array().cast(cands.select(F.array("rank")).schema[0].dataType),
+        lambda acc, x: F.when(F.exists(acc, lambda m: (m["g"] == x["g"]) | (m["p"] == x["p"])), acc).otherwise(F.array_append(acc, x)),
     )
-    ones = folded.select("id", "type", F.posexplode(taken).alias("nth", "m")).select(
-        "id", "type", "nth", F.col("m.g").alias("g_idx"), F.col("m.p").alias("p_idx"), F.lit(True).alias("primary")
+    rest = cands.groupBy("id", "type").agg(folded.alias("r")).select("id", "type", F.explode("r").alias("rank"))
+    return taken.unionByName(rest.select("id", "type", F.col("rank.g").alias("g_idx"), F.col("rank.p").alias("p_idx"), "rank"))
+
+
+def _grouped(cands: DataFrame, ones: DataFrame) -> DataFrame:
+    """Further gold spans of ADDRESS predictions.
+
+    Around its own span a prediction takes the unmatched candidates to the left as long as no gap is too wide and none lies
+    too far from the own span's end, then those to the right, measured from where the left side ends. Each side is a running
+    count of what breaks this rule, zero as far as the island goes. A span that several predictions
+    claim goes to the one that was matched first.
+    """
+    own = ones.where("type = 'ADDRESS'").select("id", "p_idx", F.col("g_idx").alias("own"), F.col("rank").alias("nth"))
+    used = ones.where("type = 'ADDRESS'").select("id", "g_idx")
+    near = cands.where((F.col("type") == "ADDRESS") & (F.col("p.end") - F.col("p.start") <= GROUP_SPAN))
+    near = near.select("id", F.col("g.idx").alias("g_idx"), F.col("p.idx").alias("p_idx"), F.col("g.start").alias("start"), F.col("g.end").alias("end"))
+    free = near.join(used, ["id", "g_idx"], "left_anti").join(own, ["id", "p_idx"])
+    mine = near.join(own.withColumn("g_idx", F.col("own")), ["id", "p_idx", "g_idx"]).select(*free.columns)
+    rows = free.unionByName(mine).withColumn("is_own", F.col("g_idx") == F.col("own"))
+
+    of_p = Window.partitionBy("id", "p_idx")
+    up, down = of_p.orderBy("start", "g_idx"), of_p.orderBy(F.desc("start"), F.desc("g_idx"))
+    before, after = (w.rowsBetween(Window.unboundedPreceding, Window.currentRow) for w in (up, down))
+    rows = rows.withColumns({
+        "gap": F.col("start") - F.lag("end").over(up), "next_gap": F.lead("start").over(up) - F.col("end"),
+        "own_end": F.max(F.when(F.col("is_own"), F.col("end"))).over(of_p), "right": F.max("is_own").over(before), "left": F.max("is_own").over(after),
+    })
+    bad = (F.col("next_gap") > GROUP_GAP) | (F.col("own_end") - F.col("start") > GROUP_SPAN)
+    rows = rows.withColumn("breaks", F.sum(F.when(~F.col("right") & bad, 1).otherwise(0)).over(after))
+    rows = rows.withColumn("in_left", F.col("left") & (F.col("is_own") | (F.col("breaks") == 0)))
+    rows = rows.withColumn("first", F.min(F.when(F.col("in_left"), F.col("start"))).over(of_p))
+    bad = (F.col("gap") > GROUP_GAP) | (F.col("end") - F.col("first") > GROUP_SPAN)
+    rows = rows.withColumn("breaks", F.sum(F.when(F.col("right") & ~F.col("is_own") & bad, 1).otherwise(0)).over(before))
+    group = rows.where(~F.col("is_own") & (F.col("in_left") | (F.col("right") & (F.col("breaks") == 0))))
+    claim = F.row_number().over(Window.partitionBy("id", "g_idx").orderBy("nth"))
+    return group.withColumn("n", claim).where("n = 1").select(
+        "id", F.lit("ADDRESS").alias("type"), F.col("g_idx").cast("int").alias("g_idx"), F.col("p_idx").cast("int").alias("p_idx"), F.lit(False).alias("primary")
     )
-    if not group_addresses:
-        return ones.drop("nth")
-    return ones.drop("nth").unionByName(_grouped(gold, ones, c, setting))
-
-
-def _grouped(gold: DataFrame, ones: DataFrame, cands: DataFrame, setting: str) -> DataFrame:
-    """Further gold spans of ADDRESS predictions, found on each document by an Arrow function: the
-    rule is a walk to both sides of the primary span, prediction after prediction."""
-    import pandas as pd
-
-    if setting == "exact":
-        return ones.drop("nth").where("false")
-    near = cands.where(F.col("type") == "ADDRESS").select("id", F.col("g.idx").alias("g_idx"), F.col("p.idx").alias("p_idx"), "g.start", "g.end", (F.col("p.end") - F.col("p.start")).alias("size"))
-    own = ones.where("type = 'ADDRESS'").select("id", "g_idx", "p_idx", "nth")
-    rows = near.join(own, ["id", "g_idx", "p_idx"], "left").join(own.select("id", "g_idx", F.lit(True).alias("used")).distinct(), ["id", "g_idx"], "left")
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        used = set(pdf.loc[pdf["used"].fillna(False).astype(bool), "g_idx"])
-        at_start = set(used)
-        out = []
-        mine = pdf[pdf["nth"].notna()].sort_values("nth")
-        for _, m in mine.iterrows():
-            if m["size"] > GROUP_SPAN:
-                continue
-            near = pdf[(pdf["p_idx"] == m["p_idx"]) & (~pdf["g_idx"].isin(at_start) | (pdf["g_idx"] == m["g_idx"]))].sort_values(["start", "g_idx"])
-            spans = list(near[["g_idx", "start", "end"]].itertuples(index=False, name=None))
-            a = b = next(i for i, s in enumerate(spans) if s[0] == m["g_idx"])
-            while a > 0 and spans[a][1] - spans[a - 1][2] <= GROUP_GAP and spans[b][2] - spans[a - 1][1] <= GROUP_SPAN:
-                a -= 1
-            while b + 1 < len(spans) and spans[b + 1][1] - spans[b][2] <= GROUP_GAP and spans[b + 1][2] - spans[a][1] <= GROUP_SPAN:
-                b += 1
-            for g, _, _ in spans[a : b + 1]:
-                if g not in used:
-                    used.add(g)
-                    out.append((m["id"], "ADDRESS", g, m["p_idx"], False))
-        return pd.DataFrame(out, columns=["id", "type", "g_idx", "p_idx", "primary"])
-
-    kind = ones.schema["id"].dataType.simpleString()
-    return rows.groupBy("id").applyInPandas(walk, f"id {kind}, type string, g_idx int, p_idx int, primary boolean")
 
 
 def outcomes(gold: DataFrame, pred: DataFrame, matches: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -141,23 +199,54 @@ def metrics(gold: DataFrame, pred: DataFrame, matches: DataFrame) -> DataFrame:
     return sums.select("type", "tp", "fn", "fp", F.round(recall, 4).alias("recall"), F.round(precision, 4).alias("precision"), F.round(f1(precision, recall), 4).alias("f1"))
 
 
+def nearest(spans: DataFrame, pred: DataFrame) -> DataFrame:
+    """(columns of ``spans``, nearest): the distance to the nearest prediction of the id; 0 if one overlaps, null if there is none.
+
+    An as-of join: ends and starts of both sides are sorted as events of a document, the last end before a span and the
+    next start after it are carried to it, and a prediction that has begun before the span's end but not ended before its start overlaps.
+    """
+    keys = spans.columns
+    absent = [F.lit(None).cast(spans.schema[c].dataType).alias(c) for c in keys if c != "id"]
+    event = lambda at, k: pred.select("id", *absent, F.col(at).alias("_at"), F.lit(k).alias("_kind"))
+    asked = lambda at, k: spans.select(*keys, F.col(at).alias("_at"), F.lit(k).alias("_kind"))
+    # at one place an end comes before the span that starts there, and a start after the span that ends there
+    events = event("end", 0).unionByName(asked("start", 1)).unionByName(asked("end", 2)).unionByName(event("start", 3))
+    forth = Window.partitionBy("id").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    back = Window.partitionBy("id").orderBy(F.desc("_at"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    is_end, is_start = F.col("_kind") == 0, F.col("_kind") == 3
+    rows = events.withColumns({
+        "_ended": F.count(F.when(is_end, 1)).over(forth), "_begun": F.count(F.when(is_start, 1)).over(forth),
+        "_last": F.max(F.when(is_end, F.col("_at"))).over(forth), "_next": F.min(F.when(is_start, F.col("_at"))).over(back),
+    })
+    at_start, at_end = F.col("_kind") == 1, F.col("_kind") == 2
+    both = rows.where(at_start | at_end).groupBy(*keys).agg(
+        F.max(F.when(at_start, F.col("_ended"))).alias("_ended"), F.max(F.when(at_start, F.col("_last"))).alias("_last"),
+        F.max(F.when(at_end, F.col("_begun"))).alias("_begun"), F.min(F.when(at_end, F.col("_next"))).alias("_next"),
+    )
+    away = F.least(F.col("start") - F.col("_last"), F.col("_next") - F.col("end"))
+    return both.select(*keys, F.when(F.col("_begun") > F.col("_ended"), F.lit(0)).otherwise(away).alias("nearest"))
+
+
 def misses(fn: DataFrame, pred: DataFrame, setting: str = "hybrid", least: int = 1, proximity: int = 50, types: list[str] | None = None) -> DataFrame:
-    """``fn`` plus category, predicted_type, nearest (distance of the nearest prediction, 0 if it overlaps)."""
+    """``fn`` plus category, predicted_type, nearest (distance of the nearest prediction, 0 if it overlaps).
+
+    Overlaps come from the interval join, distances from ``nearest``; gold spans never meet predictions that are neither.
+    Rows of ``fn`` that are equal in all columns come out once.
+    """
     p = pred.where(F.col("type").isin(*types)) if types else pred
-    p = p.select("id", F.struct("type", "start", "end", "idx").alias("p"))
-    rows = fn.join(p, "id", "left")
-    shared = F.when(F.col("p").isNotNull(), F.greatest(F.least("end", F.col("p.end")) - F.greatest("start", F.col("p.start")), F.lit(0))).otherwise(0)
-    gap = F.when(F.col("p.end") <= F.col("start"), F.col("start") - F.col("p.end")).when(F.col("p.start") >= F.col("end"), F.col("p.start") - F.col("end")).otherwise(0)
-    same = F.col("p.type") == F.col("type")
-    rows = rows.withColumn("shared", shared).withColumn("gap", F.when(F.col("p").isNotNull(), gap)).withColumn("same", F.coalesce(same, F.lit(False)))
     keys = fn.columns
-    mode = mode_of(F.col("type"), setting)
-    agg = rows.groupBy(*keys).agg(
-        F.min(F.when(~F.col("same") & (F.col("shared") > 0), F.col("p.type"))).alias("predicted_type"),
-        F.max(F.col("same") & (F.col("shared") > 0)).alias("touched"),
-        F.max(F.col("same") & (F.col("shared") > 0) & (F.col("shared") < least)).alias("little"),
-        F.min("gap").alias("nearest"),
+    g = fn.select("id", F.struct(*keys).alias("g"))
+    met = touching(g, p.select("id", F.struct("type", "start", "end").alias("p")), ["id"])
+    same = F.col("p.type") == F.col("g.type")
+    flags = met.select(
+        "g.*", F.when(~same, F.col("p.type")).alias("other"), same.alias("touched"), (same & (overlap() < least)).alias("little"), F.lit(None).cast("int").alias("nearest")
+    )
+    none = {"other": F.lit(None).cast("string"), "touched": F.lit(False), "little": F.lit(False)}
+    far = nearest(fn, p).withColumns(none).withColumn("nearest", F.col("nearest").cast("int"))
+    agg = far.unionByName(flags).groupBy(*keys).agg(
+        F.min("other").alias("predicted_type"), F.max("touched").alias("touched"), F.max("little").alias("little"), F.max("nearest").alias("nearest")
     )
+    mode = mode_of(F.col("type"), setting)
     category = (
         F.when(F.col("predicted_type").isNotNull(), "wrong_type")
         .when((mode == "exact") & F.col("touched"), "boundary_mismatch")

@@ -353,6 +353,18 @@ def oracle_sql() -> dict[str, str]:
               CASE WHEN g.type = 'SSN' THEN 1000000000 ELSE least(g.end_, p.end_) - greatest(g.start_, p.start_) END AS overlap
             FROM ({g}) g JOIN ({p}) p USING (id, type)
             WHERE CASE WHEN g.type = 'SSN' THEN g.start_ = p.start_ AND g.end_ = p.end_ ELSE least(g.end_, p.end_) > greatest(g.start_, p.start_) END""",
+        "eval_matches": f"""
+            WITH RECURSIVE c AS (
+              SELECT g.id, g.type, g.idx AS g, p.idx AS p, row_number() OVER (PARTITION BY g.id, g.type ORDER BY CASE WHEN g.type = 'SSN' THEN 0
+                ELSE greatest(g.start_, p.start_) - least(g.end_, p.end_) END, g.start_ - g.end_, g.start_, g.idx, p.idx) AS n
+              FROM ({g}) g JOIN ({p}) p USING (id, type)
+              WHERE CASE WHEN g.type = 'SSN' THEN g.start_ = p.start_ AND g.end_ = p.end_ ELSE least(g.end_, p.end_) > greatest(g.start_, p.start_) END),
+            f AS (
+              SELECT id, type, n, [g] AS gs, [p] AS ps, g, p, TRUE AS took FROM c WHERE n = 1
+              UNION ALL SELECT c.id, c.type, c.n, CASE WHEN t THEN list_append(gs, c.g) ELSE gs END, CASE WHEN t THEN list_append(ps, c.p) ELSE ps END, c.g, c.p, t
+              FROM (SELECT f.id, f.type, f.n, gs, ps, NOT list_contains(gs, c.g) AND NOT list_contains(ps, c.p) AS t FROM f JOIN c ON c.id = f.id AND c.type = f.type AND c.n = f.n + 1) s
+              JOIN c ON c.id = s.id AND c.type = s.type AND c.n = s.n + 1)
+            SELECT id, type, g AS g_idx, p AS p_idx, took AS "primary" FROM f WHERE took""",
         "eval_metrics": f"""
             WITH g AS (SELECT DISTINCT id, type, start_, end_ FROM ({g})), p AS (SELECT DISTINCT id, type, start_, end_ FROM ({p})),
             x AS (SELECT type, CASE WHEN a AND b THEN 'tp' WHEN a THEN 'fn' ELSE 'fp' END AS what FROM (
