@@ -192,7 +192,8 @@ class DetectOptions:
     passes: tuple[str, ...] = ("raw", "normalized")
     entity_types: tuple[str, ...] | None = None
     max_chars: int | None = None
-    max_name_words: int | None = None
+    #: Words of the longest name looked for; None: as many as the longest name has.
+    max_name_words: int | None = 3
 
     def __post_init__(self):
         unknown = {"dict" if d == "dictionary" else d for d in self.detectors} - set(DETECTORS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import logging
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,20 +12,23 @@ from ..functions import text as T
 from ..operators import dictionary, gateway, ner, regex_detect, spans
 from ..options import DETECTORS, DetectOptions
 
+LOG = logging.getLogger(__name__)
 OUT = ["id", "type", "text", "start", "end", "score", "sources"]
 
 
-def detected(docs: DataFrame, options: DetectOptions, names: DataFrame | None = None, models: dict | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Spans of all detectors before filters and merges (columns of regex_detect.SPAN).
+def detectors(docs: DataFrame, options: DetectOptions, names: DataFrame | None = None, models: dict | None = None, id_col: str = "doc_id", text_col: str = "text") -> dict[str, DataFrame]:
+    """The spans of each detector (ner, regex, dict) before filters and merges (columns of regex_detect.SPAN).
 
     A detector that is asked for by name but lacks its names or models is an error, unless ``options``
-    leave the detectors at their default: then those that can run do.
+    leave the detectors at their default: then those that can run do, and a line of the log names the others.
     """
-    parts = []
+    parts = {}
     asked = ["dict" if d == "dictionary" else d for d in options.detectors]
     lacking = [d for d, given in (("ner", models), ("dict", names)) if d in asked and not given]
     if lacking and tuple(options.detectors) != DETECTORS:
         raise ValueError(f"no models or names for {lacking}")
+    if lacking:
+        LOG.info("detectors without models or names do not run: %s", ", ".join(lacking))
     wanted = options.entity_types
     rows = regex_detect.keyed(docs, id_col, text_col)
     if "ner" in asked and models:
@@ -35,15 +39,20 @@ def detected(docs: DataFrame, options: DetectOptions, names: DataFrame | None =
             boosted = spans.agreement_boost(key, options.scoring).select("id.id", "id.h", "model", "seq.seq", "type", "start", "end", "score")
             found = boosted.join(texts, ["id", "h", "model", "seq", "type", "start", "end"])
         found = spans.trim(_with_texts(found.withColumn("source", F.lit("ner")), rows), F.col("t"))
-        parts.append(_framed(spans.filter_addresses(found, options.address_filter), "seq", options))
+        parts["ner"] = _framed(spans.filter_addresses(found, options.address_filter), "seq", options)
     if "regex" in asked:
-        parts.append(regex_detect.detect(docs, options, id_col, text_col))
+        parts["regex"] = regex_detect.detect(docs, options, id_col, text_col)
     if "dict" in asked and names is not None and (not wanted or "PERSON" in wanted):
         found = dictionary.detect(docs, names, options.max_name_words, id_col, text_col)
-        parts.append(_framed(_with_texts(found, rows), "start", options))
+        parts["dict"] = _framed(_with_texts(found, rows), "start", options)
     if not parts:
         raise ValueError("no detector can run")
-    return dictionary.union_of(parts)
+    return parts
+
+
+def detected(docs: DataFrame, options: DetectOptions, names: DataFrame | None = None, models: dict | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Spans of all detectors before filters and merges (columns of regex_detect.SPAN)."""
+    return dictionary.union_of(list(detectors(docs, options, names, models, id_col, text_col).values()))
 
 
 def _with_texts(found: DataFrame, rows: DataFrame) -> DataFrame:
@@ -63,14 +72,14 @@ def _framed(found: DataFrame, order: str, options: DetectOptions) -> DataFrame:
 
 
 def finish(found: DataFrame, options: DetectOptions) -> DataFrame:
-    """Score filter, retyping, adjacent merge, overlap merge, type filter: one row each entity of each (id, h)."""
+    """Score filter, retyping, adjacent merge, overlap merge, type filter: one row each entity of each (id, h), with ``h``."""
     kept = spans.disambiguate(found.where(F.col("score") >= options.scoring.min_score), options)
     detector = F.when(F.col("source") == "ner", 0).when(F.col("source") == "regex", 1).otherwise(2)
     rank = F.struct((F.col("pass") != "raw").alias("p"), detector.alias("d"), F.col("seq"))
     key = F.struct("id", "h").alias("id")
     kept = kept.select(key, rank.alias("seq"), "type", "text", "start", "end", "score", F.array("source").alias("sources"), "pre")
     merged = spans.merge_overlapping(spans.merge_adjacent(kept, 2))
-    out = merged.select("id.id", *OUT[1:])
+    out = merged.select("id.id", *OUT[1:], "id.h")
     return out.where(F.col("type").isin(*options.entity_types)) if options.entity_types else out
 
 
@@ -83,7 +92,7 @@ def detect_entities(docs: DataFrame, options: DetectOptions | None = None, names
     options = options or DetectOptions()
     if options.max_chars:
         docs = docs.withColumn(text_col, F.left(text_col, F.lit(options.max_chars)))
-    return finish(detected(docs, options, names, models, id_col, text_col), options)
+    return finish(detected(docs, options, names, models, id_col, text_col), options).select(*OUT)
 
 
 def detect_with_gateway(docs: DataFrame, options: DetectOptions | None = None, names: DataFrame | None = None, models: dict | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -95,17 +104,29 @@ def detect_with_gateway(docs: DataFrame, options: DetectOptions | None = None, n
     if not options.gateway_enabled:
         none = F.lit(None).cast("string")
         return detect_entities(docs, options, names, models, id_col, text_col).withColumns({"trigger": none, "trigger_match": none})
+    if options.max_chars:
+        docs = docs.withColumn(text_col, F.left(text_col, F.lit(options.max_chars)))
+    rows = decided(docs, options, names, id_col, text_col)
+    full = finish(detected(rows.where("trigger is not null"), options, names, models, id_col, text_col), options)
+    both = full.unionByName(quick(rows.where("trigger is null"), options, id_col, text_col))
+    # a trigger belongs to a row, which is told by id and text
+    triggers = rows.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_h"), "trigger", "trigger_match").dropDuplicates(["_id", "_h"])
+    return both.join(triggers, both["id"].eqNullSafe(triggers["_id"]) & (both["h"] == triggers["_h"])).select(*OUT, "trigger", "trigger_match")
+
+
+def decided(docs: DataFrame, options: DetectOptions, names: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` plus trigger and trigger_match: what the gateway decides of each row."""
     named = dictionary.detect(docs, names, options.max_name_words, id_col, text_col).select("id", "h", "text", "start") if names is not None else None
-    rows = gateway.decide(docs, options, named, id_col, text_col)
-    full = detect_entities(rows.where("trigger is not null"), options, names, models, id_col, text_col)
+    return gateway.decide(docs, options, named, id_col, text_col)
+
+
+def quick(docs: DataFrame, options: DetectOptions, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What rows get that the gateway lets pass: patterns on the raw text, filtered and retyped but not merged (columns of ``finish``)."""
     cheap = dataclasses.replace(options, passes=("raw",), detectors=("regex",))
-    quick = regex_detect.detect(rows.where("trigger is null"), cheap, id_col, text_col)
-    quick = spans.disambiguate(quick.where(F.col("score") >= options.scoring.min_score), options)
-    both = full.unionByName(quick.select("id", "type", "text", "start", "end", "score", F.array("source").alias("sources")))
-    if options.entity_types:
-        both = both.where(F.col("type").isin(*options.entity_types))
-    triggers = rows.select(F.col(id_col).alias("_id"), "trigger", "trigger_match").dropDuplicates(["_id"])
-    return both.join(triggers, both["id"].eqNullSafe(triggers["_id"])).drop("_id")
+    found = regex_detect.detect(docs, cheap, id_col, text_col)
+    found = spans.disambiguate(found.where(F.col("score") >= options.scoring.min_score), options)
+    found = found.select("id", "type", "text", "start", "end", "score", F.array("source").alias("sources"), "h")
+    return found.where(F.col("type").isin(*options.entity_types)) if options.entity_types else found
 
 
 def documents(entities: DataFrame, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
