@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .prefix import prefix_pairs
+
 UNDO_LEVELS = 50
 KEY = ["path", "type", "start", "end"]
 
@@ -48,7 +50,7 @@ def status(paths: DataFrame, with_entities: DataFrame, processed: DataFrame, rev
     for name, table, on in (("e", with_entities, "path"), ("p", processed, "path"), ("r", reviewed, "pdf")):
         rows = rows.join(table.select(F.col(table.columns[0]).alias(on)).distinct().withColumn(f"_{name}", F.lit(True)), on, "left")
     prefix = skipped.select(F.col(skipped.columns[0]).alias("prefix")).distinct()
-    out = rows.join(F.broadcast(prefix) if prefix.count() <= 10_000 else prefix, F.startswith(F.col("path"), F.col("prefix")), "left_semi").select("path").withColumn("_s", F.lit(True))
+    out = prefix_pairs(paths.select("path").distinct(), "path", prefix, "prefix").select("path").distinct().withColumn("_s", F.lit(True))
     rows = rows.join(out, "path", "left")
     done = F.coalesce(F.col("_e"), F.col("_p"), F.col("_r"), F.lit(False))
     return rows.select("path", "pdf", done.alias("done"), F.coalesce("_s", F.lit(False)).alias("skipped"))

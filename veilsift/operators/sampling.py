@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .prefix import prefix_pairs
+
 
 def order_key(*cols: Column | str, seed: int = 0) -> Column:
     """A reproducible pseudo-random order: md5 over seed and columns."""
@@ -122,6 +124,6 @@ def partition_report(report: DataFrame, bucket: Column) -> DataFrame:
 
 def paragraph_folder(documents: DataFrame, folders: DataFrame) -> DataFrame:
     """(doc, folder): the folder of just the document's name, else the first one that begins with it."""
-    pairs = documents.join(folders, F.startswith(F.col("folder"), F.col("doc")))
+    pairs = prefix_pairs(folders.select("folder"), "folder", documents.select("doc").distinct(), "doc")
     best = F.min_by("folder", F.struct((F.col("folder") != F.col("doc")).alias("other"), F.col("folder")))
     return documents.join(pairs.groupBy("doc").agg(best.alias("folder")), "doc", "left")

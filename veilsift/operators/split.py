@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import file_id
+from .ordering import running_total
 from .sampling import order_key
 
 
@@ -23,12 +24,10 @@ def file_stats(gold: DataFrame, types: list[str]) -> DataFrame:
 def random_split(files: DataFrame, dev_ratio: float, seed: int = 0) -> DataFrame:
     """(file, n, split): in md5 order files go to dev while the files before hold less than the ratio of records.
 
-    The running total is a window over one row for each file, after records have been counted.
+    The running total is a prefix sum over ranges of the order, so no task holds all files.
     """
-    order = Window.orderBy(order_key("file", seed=seed), "file")
-    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum("n").over(Window.partitionBy())
-    return files.select("file", "n", F.when(before < total * dev_ratio, "dev").otherwise("test").alias("split"))
+    summed = running_total(files.select("file", "n"), "n", [order_key("file", seed=seed), F.col("file")], "_before", "_total")
+    return summed.select("file", "n", F.when(F.col("_before") < F.col("_total") * dev_ratio, "dev").otherwise("test").alias("split"))
 
 
 def rarity(stats: DataFrame, rare: list[str]) -> DataFrame:

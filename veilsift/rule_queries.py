@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from . import options as O
 from . import sentences
 from .functions import text as T
-from .operators import dictionary, evaluate, gateway, gold, labeling, ner, sampling, scan, spans, split
+from .operators import dictionary, evaluate, gateway, gold, labeling, ner, ordering, sampling, scan, spans, split
 from .plans import detect as plan
 from .sources import readers
 
@@ -459,10 +459,8 @@ def scan_scores(spark, d):
 
 def natural_order(spark, d):
     rows = _keys(spark, d).select(F.concat(F.when(F.col("n") % 2 == 0, "File").otherwise("file"), F.col("n").cast("string"), F.lit(".txt")).alias("name"), "n")
-    from pyspark.sql import Window
-
-    order = Window.orderBy(readers.natural_key(F.col("name")))  # one row a file
-    return rows.select("name", F.row_number().over(order).cast("long").alias("place"))
+    placed = ordering.numbered(rows, [readers.natural_key(F.col("name"))])
+    return placed.select("name", (F.col("place") + 1).alias("place"))
 
 
 EXAMPLES = [
