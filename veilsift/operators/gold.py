@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import FLAGS, SPACE
@@ -181,6 +182,18 @@ def count_types(gold: DataFrame) -> DataFrame:
     return gold.select(F.explode("entities.type").alias("type")).groupBy("type").agg(F.count("*").alias("n"))
 
 
+def corrections_file(spark: SparkSession, path: str) -> DataFrame:
+    """(id, type, start, end) of a JSON file's ``remove_entities``; a file that is not there removes nothing."""
+    fields = "id string, type string, start int, end int"
+    try:
+        rows = spark.read.schema(f"remove_entities array<struct<{fields.replace(' ', ':').replace(',:', ', ')}>>").option("multiLine", True).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], fields)
+    return rows.select(F.inline("remove_entities"))
+
+
 def correct(spans: DataFrame, removals: DataFrame) -> DataFrame:
     """Spans without those listed exactly (id, type, start, end)."""
     return spans.join(removals.select("id", "type", "start", "end").distinct(), ["id", "type", "start", "end"], "left_anti")

@@ -1,8 +1,9 @@
 """Pattern detection with context rules.
 
 One Arrow function finds the matches of all patterns in both passes, each text scanned once a pattern
-and only for patterns that the text can hold (a digit, an at sign); rows after it carry short strings
-and not the text, and the context rules are column expressions over them.
+and only for patterns that the text can hold (a digit, an at sign), and looks for context words of all lists
+by one scan of a match's surroundings; rows after it carry short strings and flags and not the text,
+and the context rules are column expressions over them.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..options import BIRTH_WORDS, NEGATIVE_WORDS, ZIP_WORDS, DetectOptions
+from .keywords import Words
 
 SPAN = "id, h, pass, seq, type, text, raw_text, start, end, score, source, pre, post"
 
@@ -72,12 +74,54 @@ class Normalized:
         return self.there[i] + at - self.starts[i]
 
 
+class Context:
+    """Words around a match: whether its label's own, those against it, those of ZIP codes and of births are near."""
+
+    #: Characters around, or before, a match.
+    ZIP, NEGATIVE, BORN = 40, 25, 20
+
+    def __init__(self, options: DetectOptions):
+        self.window = options.context_window
+        self.labels = labels(options)
+        n = len(self.labels)
+        lists = [options.keywords.get(x, ()) for x in self.labels] + [NEGATIVE_WORDS.get(x, ()) for x in self.labels] + [ZIP_WORDS, BIRTH_WORDS]
+        self.words = Words(lists)
+        self.bits = {x: (1 << i, 1 << n + i, 1 << 2 * n, 1 << 2 * n + 1) for i, x in enumerate(self.labels)}
+
+    def _parts(self, pre: str, post: str) -> tuple[str, str, str, str]:
+        """The text that each of the four is sought in."""
+        w = self.window
+        last = lambda k: pre[-k:] if k else ""
+        return last(w) + " " + post[:w], last(self.NEGATIVE), last(self.ZIP) + " " + post[: self.ZIP], last(self.BORN)
+
+    def __call__(self, label: str, pre: str, post: str) -> int:
+        """Four bits: positive, negative, ZIP, born; ``pre`` and ``post`` hold what any of them may see."""
+        mine = self.bits[label]
+        text = f"{pre} {post}"
+        low = text.lower()
+        out = sum(1 << i for i, b in enumerate(mine) if self.words.always & b)
+        if len(low) != len(text):  # a letter that is longer in lower case: places don't tell
+            return out | sum(1 << i for i, (b, part) in enumerate(zip(mine, self._parts(pre, post), strict=True)) if self.words.mask(part.lower()) & b)
+        at, w = len(pre), self.window
+        for start, end, bits in self.words.hits(low):
+            if bits & mine[0] and start >= at - w and end <= at + 1 + w:
+                out |= 1
+            if bits & mine[1] and start >= at - self.NEGATIVE and end <= at:
+                out |= 2
+            if bits & mine[2] and start >= at - self.ZIP and end <= at + 1 + self.ZIP:
+                out |= 4
+            if bits & mine[3] and start >= at - self.BORN and end <= at:
+                out |= 8
+        return out
+
+
 class Finder:
     """Matches of all patterns of the options in a text, by pass."""
 
     DIGIT = re.compile(r"\d")
 
     def __init__(self, options: DetectOptions):
+        self.context = Context(options)
         self.window = max(40, options.context_window)
         self.passes = options.passes
         self.patterns = [(i, label, j, re.compile(p), self._needs(p)) for i, label in enumerate(labels(options)) for j, p in enumerate(options.patterns[label])]
@@ -108,7 +152,7 @@ class Finder:
         return [(i, label, j, k, m) for i, label, j, p, needs in self.patterns if has[needs] for k, m in enumerate(p.finditer(text))]
 
     def __call__(self, text: str) -> Iterator[tuple]:
-        """(pass, seq, label, text, raw_text, start, end, pre, post, near_pre, near_post) of each match."""
+        """(pass, seq, label, text, raw_text, start, end, pre, post, before, after, near) of each match; before and after are one character."""
         w = self.window
         has = self.holds(text)  # normalisation adds no digit or sign
         if not any(has[needs] for *_, needs in self.patterns):
@@ -123,7 +167,7 @@ class Finder:
                 start, end = (s, e) if name == "raw" else (known.original(s), known.original(e - 1) + 1)
                 yield (
                     name, [i, j, k], label, m[0], text[start:end], start, end, text[max(0, start - w) : start], text[end : end + w],
-                    scanned[max(0, s - w) : s], scanned[e : e + w],
+                    scanned[s - 1 : s] if s else "", scanned[e : e + 1], self.context(label, scanned[max(0, s - w) : s], scanned[e : e + w]),
                 )
 
 
@@ -138,8 +182,8 @@ def _found(rows: DataFrame, options: DetectOptions) -> DataFrame:
     from pyspark.sql.types import StructType
 
     kind = rows.schema["id"].dataType.simpleString()
-    names = ["pass", "seq", "label", "text", "raw_text", "start", "end", "pre", "post", "near_pre", "near_post"]
-    types = {"seq": "array<int>", "start": "int", "end": "int"}
+    names = ["pass", "seq", "label", "text", "raw_text", "start", "end", "pre", "post", "before", "after", "near"]
+    types = {"seq": "array<int>", "start": "int", "end": "int", "near": "int"}
     ddl = f"id {kind}, h long, " + ", ".join(f"`{n}` {types.get(n, 'string')}" for n in names)
     schema = to_arrow_schema(StructType.fromDDL(ddl))
 
@@ -164,30 +208,22 @@ def by_label(values: dict[str, Column], default: Column) -> Column:
 
 
 def rules(found: DataFrame, options: DetectOptions) -> DataFrame:
-    """Context rules over rows with label, text, near_pre, near_post: type and score, or no row."""
-    w = options.context_window
-    pre, post = F.col("near_pre"), F.col("near_post")
-    context = F.lower(F.concat(F.right(pre, F.lit(w)), F.lit(" "), F.left(post, F.lit(w))))
-    zip_context = F.lower(F.concat(F.right(pre, F.lit(40)), F.lit(" "), F.left(post, F.lit(40))))
-    before = F.lower(F.right(pre, F.lit(25)))
-    positive = by_label({x: T.contains_any(context, options.keywords.get(x, ())) for x in labels(options)}, F.lit(False))
-    negative = by_label({x: T.contains_any(before, k) for x, k in NEGATIVE_WORDS.items()}, F.lit(False))
-    rows = found.withColumn("positive", positive).withColumn("negative", negative)
+    """Context rules over rows with label, text, before, after and near (bits of Context): type and score, or no row."""
+    near = lambda bit: F.col("near").bitwiseAND(bit) != 0
+    rows = found.withColumn("positive", near(1)).withColumn("negative", near(2))
     text, positive = F.col("text"), F.col("positive")
     nine = text.rlike(T.FLAGS + r"\A\d{9}\z")
     digits = F.length(F.regexp_replace(text, T.FLAGS + r"\D", ""))
-    by_digit = F.right(pre, F.lit(1)).rlike(r"\p{Nd}|[²³¹⁰⁴-⁹₀-₉]") | F.left(post, F.lit(1)).rlike(
-        r"\p{Nd}|[²³¹⁰⁴-⁹₀-₉]"
-    )
-    born = T.contains_any(F.lower(F.right(pre, F.lit(20))), BIRTH_WORDS)
+    digit = r"\p{Nd}|[²³¹⁰⁴-⁹₀-₉]"
+    by_digit = F.col("before").rlike(digit) | F.col("after").rlike(digit)
     s = options.scoring
     valid = by_label(
         {
             "ACCOUNT_NUMBER": ~F.col("negative") & ~T.is_ssn_format(text) & ~nine & (positive | (digits >= s.account_min_digits)),
             "PHONE_NUMBER": ~F.col("negative") & ~by_digit,
             "SSN": ~F.col("negative") & (positive | ~nine),
-            "ADDRESS": ~(T.is_zip_like(text) | T.is_postal_4(text)) | T.contains_any(zip_context, ZIP_WORDS),
-            "DATE": born,
+            "ADDRESS": ~(T.is_zip_like(text) | T.is_postal_4(text)) | near(4),
+            "DATE": near(8),
         },
         F.lit(True),
     )

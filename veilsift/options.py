@@ -7,6 +7,8 @@ import json
 from dataclasses import dataclass, field
 from pathlib import Path
 
+from . import keyword_lists
+
 # Patterns, keywords and scores decide the results, so they stand here as they must be.
 SSN_DASH, SSN_SPACE, SSN_DOT, NINE = r"\b\d{3}-\d{2}-\d{4}\b", r"\b\d{3} \d{2} \d{4}\b", r"\b\d{3}\.\d{2}\.\d{4}\b", r"\b\d{9}\b"
 DATES = (r"\b\d{4}-\d{2}-\d{2}\b", r"\b\d{1,2}/\d{1,2}/\d{4}\b", r"\b[A-Z][a-z]{2,8} \d{1,2},? \d{4}\b")
@@ -175,7 +177,7 @@ class GatewayTest:
 
 @dataclass(frozen=True)
 class DetectOptions:
-    """What a detection run does. ``profile("constants")`` and ``profile("config")`` are the two built-in ones."""
+    """What a detection run does; ``profile`` gives the built-in ones: constants, config and lists."""
 
     patterns: dict[str, tuple[str, ...]] = field(default_factory=lambda: PATTERNS["config"])
     keywords: dict[str, tuple[str, ...]] = field(default_factory=lambda: KEYWORDS["config"])
@@ -268,6 +270,9 @@ def profile(name: str) -> DetectOptions:
             address_filter=None,
             gateway=(),
         )
+    if name == "lists":  # the larger lists of context words, and the longer lists of patterns
+        patterns = PATTERNS["config"] | {"PHONE_NUMBER": PHONE_LIST, "DATE": DATE_LIST, "ACCOUNT_NUMBER": PATTERNS["constants"]["ACCOUNT_NUMBER"]}
+        return DetectOptions(patterns=patterns, keywords=keyword_lists.LISTS, scoring=Scoring(account_no_context_score=0.40, account_min_digits=10))
     raise ValueError(f"no profile {name!r}")
 
 

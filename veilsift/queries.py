@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from . import rule_queries
 from .functions import text as T
-from .operators import dictionary, evaluate, gateway, gold, regex_detect, sampling, scan, spans, split
+from .keyword_lists import LISTS as KEYWORD_LISTS
+from .operators import dictionary, evaluate, gateway, gold, keywords, regex_detect, sampling, scan, spans, split
 from .options import BIRTH_WORDS, NEGATIVE_WORDS, ZIP_WORDS, DetectOptions, profile
 from .plans import detect as plan
 from .sources import readers
@@ -144,6 +145,12 @@ FROM h
 """
 
 
+def document_keywords(spark, d):
+    """Types whose context words a document holds."""
+    rows = keywords.present(_t(spark, d, "documents"), KEYWORD_LISTS)
+    return rows.select("id", F.array_join("types", ",").alias("types"))
+
+
 def text_normalize(spark, d):
     n = T.normalize_text(F.col("text"))
     return _t(spark, d, "documents").select("doc_id", F.length(n).cast("long").alias("n"), F.md5(n).alias("digest"))
@@ -292,12 +299,12 @@ def context_snippets(spark, d):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     each = [
-        detect_entities, detect_entities_constants, gateway_detect, text_normalize, luhn_numbers, address_score, consecutive_digits, first_match_scan, document_scan,
+        detect_entities, detect_entities_constants, gateway_detect, text_normalize, luhn_numbers, address_score, consecutive_digits, first_match_scan, document_scan, document_keywords,
         merge_overlapping, merge_adjacent, eval_pairs, eval_matches, eval_metrics, eval_misses, latency_quantiles, index_filter, page_buckets,
         index_marginals, stratified_sample, random_split, split_rarity, split_balanced, gold_validate, gold_fix, gold_corrections, label_map,
         dictionary_words, dictionary_names, context_snippets,
     ]
-    return {q.__name__: q for q in each} | rule_queries.queries() | {"patterns_constants": _patterns("constants"), "patterns_config": _patterns("config")}
+    return {q.__name__: q for q in each} | rule_queries.queries() | {"patterns_constants": _patterns("constants"), "patterns_config": _patterns("config"), "patterns_lists": _patterns("lists")}
 
 
 _INDEX_SQL = """i AS (
@@ -322,6 +329,10 @@ def oracle_sql() -> dict[str, str]:
     return rule_queries.oracle_sql() | {
         "patterns_constants": _patterns_sql("constants"),
         "patterns_config": _patterns_sql("config"),
+        "patterns_lists": _patterns_sql("lists"),
+        "document_keywords": "SELECT doc_id AS id, array_to_string(list_filter(["
+        + ", ".join(f"CASE WHEN {_any_sql('t', w)} THEN '{k}' END" for k, w in KEYWORD_LISTS.items())
+        + "], lambda v: v IS NOT NULL), ',') AS types FROM (SELECT doc_id, lower(text) AS t FROM documents)",
         "text_normalize": r"""
             SELECT doc_id, length(n)::BIGINT AS n, md5(n) AS digest FROM (SELECT doc_id, regexp_replace(
               CASE WHEN ends_with(text, '-' || chr(10)) THEN replace(left(text, length(text) - 2), '-' || chr(10), '') || '-' || chr(10)
