@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 SPACE = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: Unicode classes, and a dot that stops at \n alone.
 FLAGS = "(?Ud)"
-#: Runs that normalisation makes shorter; a lone white space character only changes its kind.
-RUN = rf"(?:{SPACE}|-\n(?=[\s\S])){{2,}}|-\n(?=[\s\S])"
 
 
 def normalize_text(text: Column) -> Column:
@@ -21,74 +19,6 @@ def normalize_text(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"-\n(?=[\s\S])", ""), f"{FLAGS}{SPACE}+", " ")
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """array<struct<start,end,text>> of all matches, left to right."""
-    found = F.regexp_extract_all(text, F.lit(FLAGS + pattern), F.lit(0))
-    between = F.split(text, FLAGS + pattern, -1)
-    pairs = F.zip_with(found, F.slice(between, F.lit(1), F.size(found)), lambda m, b: F.struct(m.alias("m"), F.length(b).alias("b")))
-    empty = F.array().cast("array<struct<start:int,end:int,text:string>>")
-    walked = F.aggregate(
-        pairs,
-        F.struct(empty.alias("out"), F.lit(0).alias("at")),
-        lambda acc, x: F.struct(
-            F.array_append(
-                acc["out"],
-                F.struct(
-                    (acc["at"] + x["b"]).alias("start"), (acc["at"] + x["b"] + F.length(x["m"])).alias("end"), x["m"].alias("text")
-                ),
-            ).alias("out"),
-            (acc["at"] + x["b"] + F.length(x["m"])).alias("at"),
-        ),
-    )
-    return F.when(text.rlike(FLAGS + pattern), walked["out"]).otherwise(empty)
-
-
-def runs(text: Column) -> Column:
-    """What normalisation changes, as array<struct<at, drop, keep, space>>.
-
-    ``at``: offset of the run in the normalised text; ``drop``: characters lost in it; ``keep``: 1 if
-    a space is left, whose original offset is ``space``.
-    """
-    found = matches(text, RUN)
-
-    def shape(x):
-        kept = F.regexp_replace(x["text"], r"-\n(?=[\s\S])", "")
-        # a run's last "-\n" may have its following character outside of the run
-        body = F.when(
-            F.substring(x["text"], -2, 2).eqNullSafe("-\n") & (x["end"] < F.length(text)), F.substring(kept, F.lit(1), F.length(kept) - 2)
-        ).otherwise(kept)
-        first = F.length(F.regexp_extract(x["text"], r"^(?:-\n)*", 0))
-        return F.struct(
-            x["start"].alias("start"), (x["end"] - x["start"]).alias("size"),
-            (F.length(body) > 0).cast("int").alias("keep"), (x["start"] + first).alias("space"),
-        )
-
-    shaped = F.transform(found, shape)
-    empty = F.array().cast("array<struct<at:int,drop:int,keep:int,space:int>>")
-    return F.aggregate(
-        shaped,
-        F.struct(empty.alias("out"), F.lit(0).alias("lost")),
-        lambda acc, x: F.struct(
-            F.array_append(
-                acc["out"],
-                F.struct(
-                    (x["start"] - acc["lost"]).alias("at"), (x["size"] - x["keep"]).alias("drop"), x["keep"].alias("keep"), x["space"].alias("space")
-                ),
-            ).alias("out"),
-            (acc["lost"] + x["size"] - x["keep"]).alias("lost"),
-        ),
-    )["out"]
-
-
-def original(offset: Column, changed: Column) -> Column:
-    """Original offset of the normalised character at ``offset``, by ``runs``."""
-    at_space = F.filter(changed, lambda r: (r["at"] == offset) & (r["keep"] == 1))
-    lost = F.aggregate(
-        F.filter(changed, lambda r: F.when(r["keep"] == 1, r["at"] < offset).otherwise(r["at"] <= offset)), F.lit(0), lambda a, r: a + r["drop"]
-    )
-    return F.when(F.size(at_space) > 0, F.element_at(at_space, 1)["space"]).otherwise(offset + lost)
-
-
 def is_zip_like(text: Column) -> Column:
     return text.rlike(r"\A\d{5}(?:-\d{4})?\z")
 
@@ -160,11 +90,6 @@ TOKEN = r"[A-Za-z0-9À-ɏ]+(?:[-'][A-Za-z0-9À-ɏ]+)*"
 # End of the fixed value.
 
 
-def tokens(text: Column) -> Column:
-    """array<struct<start,end,text>> of name tokens."""
-    return matches(text, TOKEN)
-
-
 def clean_label_text(text: Column) -> Column:
     return F.btrim(F.regexp_replace(text, f"{FLAGS}{SPACE}+", " "))
 

@@ -10,7 +10,9 @@ import re
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from .regex_detect import keyed
 
 #: A dictionary is broadcast up to this many names; beyond it the join is shuffled.
 BROADCAST_NAMES = 2_000_000
+#: Bits of the sketch of first words: so many a word, and blocks of 64 in all at most (8 MB), beyond which it denies less.
+WORD_BITS, MOST_BLOCKS = 16, 1 << 20
 SCORE = 0.85
 #: Normalised tokens that a task remembers.
 MEMO_TOKENS = 200_000
@@ -100,25 +104,77 @@ def _broadcast_matches(rows: DataFrame, names: DataFrame, max_words: int) -> Dat
     return rows.mapInArrow(run, f"id {kind}, h long, pos int, n int, start int, end int, text string")
 
 
-def candidates(rows: DataFrame, names: DataFrame, max_words: int, ascii_only: bool = False) -> DataFrame:
+class FirstWords:
+    """A sketch of words in 64-bit blocks: a word has three bits in one block. It denies no word that was put in."""
+
+    BITS = 3
+
+    def __init__(self, blocks: np.ndarray):
+        self.blocks = blocks
+
+    @classmethod
+    def of(cls, words: DataFrame, column: str) -> FirstWords:
+        """From a column of words, blocks being made by partial aggregation: only they come to the driver, at most MOST_BLOCKS."""
+        n = 1 << max(4, min((words.count() * WORD_BITS // 64).bit_length(), MOST_BLOCKS.bit_length() - 1))
+        h = F.xxhash64(column)
+        bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 40 + 6 * i).bitwiseAND(63).cast("int")) for i in range(cls.BITS)]
+        each = words.select(h.bitwiseAND(n - 1).alias("block"), reduce(lambda a, b: a.bitwiseOR(b), bits).alias("mask"))
+        blocks = np.zeros(n, np.uint64)
+        for r in each.groupBy("block").agg(F.bit_or("mask").alias("mask")).collect():
+            blocks[r["block"]] = r["mask"] & 0xFFFFFFFFFFFFFFFF
+        return cls(blocks)
+
+    def holds(self, word: str) -> bool:
+        h = xxhash.xxh64_intdigest(word.encode(), 42)  # what Spark's xxhash64 gives
+        mask = 0
+        for i in range(self.BITS):
+            mask |= 1 << (h >> 40 + 6 * i & 63)
+        return int(self.blocks[h & len(self.blocks) - 1]) & mask == mask
+
+
+def candidates(rows: DataFrame, names: DataFrame, max_words: int) -> DataFrame:
     """(id, h, pos, n, start, end) of (id, h, t) rows: every n-gram of tokens that is a name, the longest one at each position.
 
-    For dictionaries that fit no task: tokens are exploded, those that begin a name are kept by a join,
-    and only there longer n-grams are formed.
+    For dictionaries that fit no task: a sketch of first words goes to every task in their place, and only tokens that it does not
+    deny leave it, with the words after them. What it lets by wrongly falls in the join with the first words.
     """
-    each = rows.select("id", "h", F.posexplode(T.tokens(F.col("t"))).alias("pos", "w"))
-    each = each.select("id", "h", "pos", "w.start", "w.end", T.normalize_name(F.col("w.text"), ascii_only).alias("word"))
-    order = Window.partitionBy("id", "h").orderBy("pos")
-    tail = [F.struct(F.lead("word", n).over(order).alias("word"), F.lead("end", n).over(order).alias("end")) for n in range(max_words)]
-    each = each.select("id", "h", "pos", "start", "word", F.array(*tail).alias("tail"))
     begin = names.where(F.col("n_words") <= max_words).groupBy(F.substring_index("name", " ", 1).alias("word")).agg(F.max("n_words").alias("most"))
-    each = each.join(begin, "word")
-    sizes = F.sequence(F.lit(1), F.least("most", F.lit(max_words)))
-    grams = each.select("id", "h", "pos", "start", "tail", F.explode(sizes).alias("n"))
-    grams = grams.where(F.element_at("tail", F.col("n"))["word"].isNotNull()).select(
-        "id", "h", "pos", "n", "start", F.element_at("tail", F.col("n"))["end"].alias("end"),
-        F.array_join(F.transform(F.slice("tail", F.lit(1), F.col("n")), lambda x: x["word"]), " ").alias("name"),
-    )
+    sent = rows.sparkSession.sparkContext.broadcast(FirstWords.of(begin, "word").blocks)
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch, token, memo = FirstWords(sent.value), re.compile(T.TOKEN), {}
+
+        def known(raw: str) -> tuple[str, bool]:
+            if raw not in memo:
+                if len(memo) > MEMO_TOKENS:
+                    memo.clear()
+                word = T.normalized_name(raw)
+                memo[raw] = word, sketch.holds(word)
+            return memo[raw]
+
+        for b in batches:
+            at, out = [], []
+            for i, text in enumerate(b.column(2).to_pylist()):
+                found = [known(x) for x in token.findall(text or "")]
+                if not any(hit for _, hit in found):
+                    continue
+                spans = [m.span() for m in token.finditer(text)]
+                for pos, (_, hit) in enumerate(found):
+                    if hit:
+                        at.append(i)
+                        out.append((pos, spans[pos][0], [w for w, _ in found[pos : pos + max_words]], [e for _, e in spans[pos : pos + max_words]]))
+            if out:
+                types = [pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32())]
+                columns = [pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(at)) for i in (0, 1)), *columns], ["id", "h", "pos", "start", "words", "ends"])
+
+    each = rows.select("id", "h", "t").mapInArrow(run, f"id {kind}, h long, pos int, start int, words array<string>, ends array<int>")
+    each = each.withColumn("word", F.col("words")[0]).join(begin, "word")
+    grams = each.select("id", "h", "pos", "start", "words", "ends", F.explode(F.sequence(F.lit(1), F.least("most", F.size("words")))).alias("n"))
+    grams = grams.select(
+        "id", "h", "pos", "n", "start", F.element_at("ends", F.col("n")).alias("end"), F.array_join(F.slice("words", F.lit(1), F.col("n")), " ").alias("name")
+    )
     hit = grams.join(names.select("name"), "name", "left_semi")
     return hit.groupBy("id", "h", "pos").agg(F.max_by(F.struct("n", "start", "end"), "n").alias("m")).select("id", "h", "pos", "m.*")
 
@@ -145,18 +201,18 @@ def greedy(found: DataFrame) -> DataFrame:
     return lone.select("id", "h", F.explode(taken).alias("t")).select("id", "h", "t.*")
 
 
-def matches(rows: DataFrame, names: DataFrame, max_words: int | None = None, ascii_only: bool = False) -> DataFrame:
+def matches(rows: DataFrame, names: DataFrame, max_words: int | None = None) -> DataFrame:
     """(id, h, start, end, text) of names in (id, h, t) rows; ``max_words`` is by default the longest name's."""
     most = max_words or longest(names)
     if names.count() <= BROADCAST_NAMES:
         return _broadcast_matches(rows, names, most).select("id", "h", "start", "end", "text")
-    taken = greedy(candidates(rows, names, most, ascii_only))
+    taken = greedy(candidates(rows, names, most))
     return taken.join(rows.distinct(), ["id", "h"]).select("id", "h", "start", "end", F.substring("t", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
 
 
-def detect(docs: DataFrame, names: DataFrame, max_words: int | None = None, id_col: str = "doc_id", text_col: str = "text", ascii_only: bool = False) -> DataFrame:
+def detect(docs: DataFrame, names: DataFrame, max_words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """PERSON spans (id, h, type, text, start, end, score, source); the text is the original's slice."""
-    found = matches(keyed(docs, id_col, text_col), names, max_words, ascii_only)
+    found = matches(keyed(docs, id_col, text_col), names, max_words)
     return found.select("id", "h", F.lit("PERSON").alias("type"), "text", "start", "end", F.lit(SCORE).alias("score"), F.lit("dictionary").alias("source"))
 
 

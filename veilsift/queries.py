@@ -282,7 +282,7 @@ def label_map(spark, d):
 def dictionary_words(spark, d):
     docs = _t(spark, d, "documents")
     names = dictionary.dictionary(_t(spark, d, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{7,}"), F.lit(0))).alias("name")), ascii_only=True)
-    return dictionary.detect(docs, names, 1, ascii_only=True).groupBy("id").agg(F.count("*").alias("n"), F.sum("start").alias("starts"))
+    return dictionary.detect(docs, names, 1).groupBy("id").agg(F.count("*").alias("n"), F.sum("start").alias("starts"))
 
 
 def dictionary_names(spark, d):
