@@ -11,12 +11,15 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..options import NameLists
+from ..sources import readers
 from .regex_detect import keyed
 
 #: A dictionary is broadcast up to this many names; beyond it the join is shuffled.
@@ -37,6 +40,23 @@ def dictionary(names: DataFrame, stopwords: DataFrame | None = None, column: str
     return out.select("name", F.size(F.split("name", " ")).alias("n_words"))
 
 
+def from_lists(spark: SparkSession, lists: NameLists) -> DataFrame | None:
+    """The dictionary of the options' name lists; None if they name no names. Lists are read by Spark, whatever their size."""
+    paths = [p for p in (lists.first_names, lists.last_names) if p]
+    if not paths:
+        return None
+    rows = union_of([_words(spark, p) for p in paths])
+    return dictionary(rows, _words(spark, lists.stopwords) if lists.stopwords else None)
+
+
+def _words(spark: SparkSession, path: str) -> DataFrame:
+    """(name) of a list file: an array of a ``.json``, else lines that are neither blank nor begin with #."""
+    if path.endswith(".json"):
+        whole = spark.read.format("text").option("wholetext", True).load(path)
+        return whole.select(F.explode(F.from_json("value", "array<string>")).alias("name"))
+    return readers.id_list(spark, path, comments=True).select(F.col("value").alias("name"))
+
+
 def longest(names: DataFrame) -> int:
     """Words of the longest name."""
     return names.agg(F.max("n_words")).first()[0] or 1
@@ -228,13 +248,21 @@ def checksum(paths: list[str]) -> str:
     return h.hexdigest()
 
 
+def _nfkc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    import unicodedata
+
+    for s in batches:
+        yield s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x).strip())
+
+
 def filter_names(names: DataFrame, frequencies: DataFrame, cutoff: float) -> tuple[DataFrame, DataFrame]:
     """(kept, removed) of valid names by their largest word frequency over languages.
 
     ``frequencies``: (name, zipf). Kept: distinct, sorted, below the cutoff or unknown. Removed: by
     frequency downward, unknown last.
     """
-    valid = names.select("name").where(F.col("name").rlike(r"^[A-Za-z][A-Za-z'-]*$") & F.length("name").between(2, 25)).distinct()
+    names = names.select(F.pandas_udf(_nfkc, "string")("name").alias("name"))
+    valid = names.where(F.col("name").rlike(r"^[A-Za-z][A-Za-z'-]*[A-Za-z]\z") & F.length("name").between(2, 25)).distinct()
     top = frequencies.groupBy(F.lower("name").alias("low")).agg(F.max("zipf").alias("zipf"))
     rows = valid.join(top, F.lower("name") == F.col("low"), "left").select("name", "zipf")
     common = F.coalesce(F.col("zipf") >= cutoff, F.lit(False))

@@ -23,7 +23,10 @@ ROUNDS, STAGES = 3, 5
 
 
 def select_records(gold: DataFrame, ids: DataFrame | None = None, files: DataFrame | None = None, limit: int | None = None) -> DataFrame:
-    """Records whose id is listed, or else whose file is."""
+    """Records whose id is listed, or else whose file is; the first ``limit`` of them.
+
+    First in the file where ``gold`` tells lines (file, n, as the JSON lines reader gives them with places), else by id.
+    """
     if ids is None and files is None:
         raise ValueError("neither ids nor files are given")
     hit = F.lit(False)
@@ -37,7 +40,8 @@ def select_records(gold: DataFrame, ids: DataFrame | None = None, files: DataFra
         rows = rows.join(listed, file_id(rows["id"], True) == listed["_file"], "left")
         hit = hit | F.col("_file").isNotNull()
     rows = rows.where(hit).select(*gold.columns)
-    return rows.orderBy("id").limit(limit) if limit else rows
+    order = ["file", "n"] if {"file", "n"} <= set(gold.columns) else ["id"]
+    return rows.orderBy(*order).limit(limit) if limit else rows
 
 
 def mode_of(kind: Column, setting: str = "hybrid") -> Column:

@@ -37,11 +37,11 @@ def first_match(text: Column, threshold: float = 0.0) -> Column:
 
 def scan_documents(paragraphs: DataFrame, threshold: float = 0.0, max_paragraphs: int | None = None) -> DataFrame:
     """doc, contains_pii, match, paragraph (1-based, in path order), total_paragraphs of (doc, path, text) rows."""
-    order = Window.partitionBy("doc").orderBy("path")
-    rows = paragraphs.withColumn("n", F.row_number().over(order))
+    # the text is matched where it is read; only the match goes on
+    rows = paragraphs.select("doc", "path", first_match(F.col("text"), threshold).alias("m"))
+    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("doc").orderBy("path")))
     if max_paragraphs:
         rows = rows.where(F.col("n") <= max_paragraphs)
-    rows = rows.withColumn("m", first_match(F.col("text"), threshold))
     hit = F.struct("n", "path", "m")
     return rows.groupBy("doc").agg(
         F.count("*").alias("total_paragraphs"), F.min_by(hit, F.when(F.col("m").isNotNull(), F.col("n"))).alias("first"),

@@ -175,6 +175,15 @@ class GatewayTest:
     threshold: int | None = None
 
 
+@dataclass(frozen=True)
+class NameLists:
+    """Files of names and of words that are none: ``.txt`` or ``.json`` as ``list_file`` reads them."""
+
+    first_names: str | None = None
+    last_names: str | None = None
+    stopwords: str | None = None
+
+
 @dataclass(frozen=True)
 class DetectOptions:
     """What a detection run does; ``profile`` gives the built-in ones: constants, config and lists."""
@@ -196,6 +205,7 @@ class DetectOptions:
     max_chars: int | None = None
     #: Words of the longest name looked for; None: as many as the longest name has.
     max_name_words: int | None = 3
+    name_lists: NameLists = NameLists()
 
     def __post_init__(self):
         unknown = {"dict" if d == "dictionary" else d for d in self.detectors} - set(DETECTORS)
@@ -306,10 +316,12 @@ def entity_types(options: DetectOptions) -> list[str]:
     return sorted({*options.patterns, *options.keywords, *options.scores})
 
 
-def list_file(path: str, *, config_dir: str | None = None, roots: tuple[str, ...] = (".", "src")) -> list[str]:
-    """A word or pattern list: ``.txt`` without blank and ``#`` lines, or a ``.json`` array."""
+def list_file(path: str, *, config_dir: str | None = None, roots: tuple[str, ...] = (".", "src"), missing_ok: bool = False) -> list[str]:
+    """A word or pattern list: ``.txt`` without blank and ``#`` lines, or a ``.json`` array; a gazetteer (``missing_ok``) that is absent is empty."""
     tried = [Path(path)] if Path(path).is_absolute() else [Path(r) / path for r in ((config_dir,) if config_dir else ()) + roots]
     found = next((p for p in tried if p.exists()), None)
+    if found is None and missing_ok:
+        return []
     if found is None:
         raise FileNotFoundError(f"{path}: not in {[str(p) for p in tried]}")
     if found.suffix == ".txt":
@@ -350,6 +362,9 @@ def from_mapping(data: dict, config_dir: str | None = None) -> DetectOptions:
         changes["gateway"] = tuple(GatewayTest(**t) for t in tests)
     if "context_window" in data:
         changes["context_window"] = data["context_window"]
+    if "name_lists" in data:
+        given = {k: v["source"] if isinstance(v, dict) else v for k, v in (data["name_lists"] or {}).items() if v}
+        changes["name_lists"] = NameLists(**{k: str(Path(config_dir or ".") / v) if not Path(v).is_absolute() else v for k, v in given.items()})
     detection = data.get("detection") or {}
     if "detector_order" in detection:
         changes["detectors"] = tuple("dict" if d == "dictionary" else d for d in detection["detector_order"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 GOLD = "id string, path string, text string, entities array<struct<type:string,start:int,end:int,text:string>>"
@@ -43,20 +43,41 @@ def text_files(spark: SparkSession, path: str, glob: str = "*.txt", max_chars: i
     return rows.select(F.col("_metadata.file_path").alias("path"), text.alias("text"))
 
 
-def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of JSON lines (gzip by suffix); blank and broken lines are passed over."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+def lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, n, value): the lines of text files between \\n, numbered from 1 in each file.
 
+    Files are read in splits. A line's place in its split, which one task reads from front to end, and the number of lines
+    in the splits before it give its number, so only one count a split is gathered and no file is read as a whole.
+    """
+    rows = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), "value", F.monotonically_increasing_id().alias("_at")
+    )
+    splits = rows.groupBy("file", "_block").agg(F.count("*").alias("_lines"), F.min("_at").alias("_first"))
+    before = F.sum("_lines").over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select(F.col("file").alias("_file"), F.col("_block").alias("_start"), "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    placed = rows.join(splits, (F.col("file") == F.col("_file")) & (F.col("_block") == F.col("_start")))
+    return placed.select("file", (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("n"), "value")
 
-def json_lines_checked(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """(n, value, row): numbered lines; ``row`` is null where the line is no JSON of the schema.
 
-    Line numbers need the whole file in one task, so this is for hand-made files.
+def json_lines(spark: SparkSession, path: str, schema: str, places: bool = False) -> DataFrame:
+    """Rows of JSON lines (gzip by suffix); blank and broken lines are passed over.
+
+    With ``places`` also ``file`` and ``n``, the file and the line's number in it: an order that outlives any shuffle.
     """
-    rows = spark.read.format("text").option("wholetext", True).load(path)
-    lines = rows.select(F.posexplode(F.split("value", "\n")).alias("i", "value")).select((F.col("i") + 1).alias("n"), F.rtrim("value").alias("value"))
-    parsed = F.from_json("value", f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
-    return lines.where(F.btrim("value") != "").withColumn("row", parsed).withColumn("row", F.when(F.col("row._bad").isNull(), F.col("row")))
+    if not places:
+        return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    return _parsed(lines(spark, path), schema).where("row is not null").select("row.*", "file", "n")
+
+
+def json_lines_checked(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(n, value, row, file): numbered lines that are not blank; ``row`` is null where the line is no JSON of the schema."""
+    return _parsed(lines(spark, path), schema).select("n", "value", "row", "file")
+
+
+def _parsed(numbered: DataFrame, schema: str) -> DataFrame:
+    kept = numbered.withColumn("value", F.rtrim("value")).where(F.btrim("value") != "")
+    row = F.from_json("value", f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    return kept.withColumn("row", row).withColumn("row", F.when(F.col("row._bad").isNull(), F.col("row").dropFields("_bad")))
 
 
 def id_list(spark: SparkSession, path: str, comments: bool = False) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,42 @@ def error_dumps(rows: DataFrame, path: str, most: int, kind: str) -> None:
     capped(rows, "type", most).write.mode("overwrite").partitionBy("type").json(f"{path}/{kind}")
 
 
+def append_dumps(rows: DataFrame, path: str, most: int, batch: int = 0, every: int = 0, whole_records: bool = False) -> None:
+    """Rows (type, place, start, end, ...) of one batch below ``path/rows/batch=B/of=T``, at most ``most`` a type over all batches so far.
+
+    Counts by type lie beside the rows, so a later batch goes on where the last one stopped, and a batch that is written again
+    takes its own place. With ``whole_records`` a record is taken whole as long as the cap was not reached before it, so the
+    last one can go over it. With ``every`` the cap begins anew after so many records (places) and nothing is carried over.
+    """
+    spark = rows.sparkSession
+    fields = "type string, n long"
+    window = F.floor(F.col("place") / every) if every else F.lit(0)
+    before = None
+    if batch and not every:
+        known = spark.read.schema(f"{fields}, batch int").parquet(f"{path}/counts").where(F.col("batch") < batch)
+        before = known.groupBy("type").agg(F.sum("n").alias("_before"))
+    left = F.lit(most)
+    rows = rows.withColumn("_window", window)
+    if before is not None:
+        rows = rows.join(before, "type", "left")
+        left = F.lit(most) - F.coalesce("_before", F.lit(0))
+    order = Window.partitionBy("type", "_window").orderBy("place", "start", "end")
+    ranked = rows.withColumn("_left", left).withColumn("_n", F.row_number().over(order))
+    # the first rows of a type are enough to know where the cap is reached
+    head = ranked.where(F.col("_n") <= most)
+    if whole_records:
+        last = head.where(F.col("_n") == F.col("_left")).select("type", "_window", F.col("place").alias("_last"))
+        ranked = rows.withColumn("_left", left).join(last, ["type", "_window"], "left")
+        kept = ranked.where((F.col("_left") > 0) & (F.col("_last").isNull() | (F.col("place") <= F.col("_last"))))
+    else:
+        kept = head.where(F.col("_n") <= F.col("_left"))
+    out = kept.drop("_n", "_left", "_last", "_window", "_before")
+    target = f"{path}/rows/batch={batch}"
+    out.withColumn("of", F.col("type")).write.mode("overwrite").partitionBy("of").json(target)
+    written = spark.read.schema("type string").json(target)
+    written.groupBy("type").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/counts/batch={batch}")
+
+
 def gold_export(store: DataFrame, path: str | None = None, plain: bool = False) -> DataFrame:
     """Annotated records, path-sorted: those with entities, or all of them with ``plain``; suggestions stay out."""
     rows = store if plain else store.where(F.size("entities") > 0)
