@@ -289,7 +289,8 @@ def dictionary_names(spark, d):
     """Longest n-grams first, over names of one to three words."""
     words = _t(spark, d, "benchmark").select(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0)).alias("w")).where("size(w) > 4")
     names = words.select(F.explode(F.array(F.col("w")[0], F.array_join(F.slice("w", 2, 2), " "), F.array_join(F.slice("w", 2, 3), " "))).alias("name"))
-    return dictionary.detect(_t(spark, d, "documents"), dictionary.dictionary(names))
+    found = dictionary.detect(_t(spark, d, "documents"), dictionary.dictionary(names), 3)
+    return found.select("id", "type", "text", F.col("start").alias("start_"), F.col("end").alias("end_"), "score", "source")
 
 
 def context_snippets(spark, d):
@@ -406,6 +407,30 @@ def oracle_sql() -> dict[str, str]:
         "index_marginals": f"""
             WITH {_INDEX_SQL} SELECT 'producer' AS "column", producer AS value, count(*) AS n FROM i GROUP BY producer
             UNION ALL SELECT 'size_bucket', size_bucket, count(*) FROM i GROUP BY size_bucket""",
+        "stratified_sample": f"""
+            WITH RECURSIVE {_INDEX_SQL}, c AS (SELECT producer, size_bucket, count(*) AS n FROM i GROUP BY ALL),
+            o AS (SELECT *, row_number() OVER (ORDER BY producer NULLS FIRST, size_bucket) AS place, count(*) OVER () AS strata, sum(n) OVER () AS total FROM c),
+            s AS (SELECT *, row_number() OVER (ORDER BY n DESC, place) - 1 AS turn, greatest(1, round_even(n::DOUBLE / total::DOUBLE * 100, 0))::BIGINT AS share FROM o),
+            l AS (SELECT *, 100 - sum(share) OVER () AS lack FROM s),
+            a AS (SELECT *, share + CASE WHEN lack > turn THEN least((lack - turn - 1) // strata + 1, n - share) ELSE 0 END AS up FROM l),
+            f AS (SELECT list(up ORDER BY place) AS shares, greatest(max(-lack), 0) AS over_ FROM a
+              UNION ALL SELECT list_transform(shares, lambda x, k: CASE WHEN k = list_position(shares, list_max(shares)) THEN x - 1 ELSE x END), over_ - 1 FROM f WHERE over_ > 0 AND list_max(shares) > 1),
+            t AS (SELECT shares FROM f ORDER BY over_ LIMIT 1),
+            r AS (SELECT i.line, i.producer, i.size_bucket, row_number() OVER (PARTITION BY i.producer, i.size_bucket ORDER BY md5('0:' || i.line), i.line) AS k, least(t.shares[a.place], a.n) AS take, a.total
+              FROM i JOIN a ON i.producer IS NOT DISTINCT FROM a.producer AND i.size_bucket IS NOT DISTINCT FROM a.size_bucket, t)
+            SELECT line, producer, size_bucket FROM r WHERE k <= take OR total <= 100""",
+        "dictionary_names": rf"""
+            WITH RECURSIVE w AS (SELECT regexp_extract_all(text, '[A-Za-z]{{3,}}') AS w FROM benchmark),
+            n AS (SELECT DISTINCT lower(unnest([w[1], array_to_string(w[2:3], ' '), array_to_string(w[2:4], ' ')])) AS name FROM w WHERE len(w) > 4),
+            x AS (SELECT doc_id AS id, text AS t, regexp_extract_all(text, '{_TOKEN}') AS m, string_split_regex(text, '{_TOKEN}') AS b FROM documents),
+            y AS (SELECT id, t, list_transform(m, lambda v: lower(v)) AS m, list_transform(m, lambda v: length(v)) AS len, list_transform(b, lambda v: length(v)) AS gap, unnest(range(1, len(m) + 1)) AS i FROM x),
+            g AS (SELECT *, unnest([3, 2, 1]) AS k FROM y),
+            h AS (SELECT id, t, i, k, coalesce(list_sum(gap[1:i]), 0) + coalesce(list_sum(len[1:i - 1]), 0) AS s, coalesce(list_sum(gap[i + 1:i + k - 1]), 0) + list_sum(len[i:i + k - 1]) AS size
+              FROM g JOIN n ON n.name = array_to_string(m[i:i + k - 1], ' ') WHERE i + k - 1 <= len(m)),
+            c AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY id, i ORDER BY k DESC) = 1),
+            nx AS (SELECT c.*, d.i AS next FROM c ASOF LEFT JOIN (SELECT id, i FROM c) d ON c.id = d.id AND c.i + c.k <= d.i),
+            f AS (SELECT * FROM nx QUALIFY row_number() OVER (PARTITION BY id ORDER BY i) = 1 UNION ALL SELECT nx.* FROM f JOIN nx ON nx.id = f.id AND nx.i = f.next)
+            SELECT id, 'PERSON' AS type, substr(t, s::INT + 1, size::INT) AS text, s::INT AS start_, (s + size)::INT AS end_, 0.85::DOUBLE AS score, 'dictionary' AS source FROM f""",
         "random_split": """
             WITH f AS (SELECT (doc_id % 40)::VARCHAR AS file, count(*) AS n FROM documents GROUP BY 1)
             SELECT file, n, CASE WHEN coalesce(sum(n) OVER (ORDER BY md5('5:' || file), file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
