@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import logging
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -157,6 +159,88 @@ def token_model(load: Callable[[], tuple[Callable, Callable]]) -> Provider:
     return make
 
 
+# The types that a language model is asked for, those that its answer may hold, and the score of a type without one.
+ASKED_TYPES = ("PERSON", "SSN", "PHONE_NUMBER", "EMAIL", "ADDRESS", "DATE", "ACCOUNT_NUMBER", "LOCATION")
+ANSWERED_TYPES = (*ASKED_TYPES, "BIRTHDATE")
+ANSWER_SCORE, ANSWER_SECONDS, ANSWER_TOKENS, TEMPERATURE = 0.75, 120, 2048, 0.1
+# End of the fixed values.
+
+
+def question(types: tuple[str, ...] | None = None) -> str:
+    """What a language model is told to do with a text."""
+    wanted = [t for t in ASKED_TYPES if not types or t in types]
+    return (
+        "List the personal data in the text that follows. Answer with one JSON array and nothing else. Its objects have the keys "
+        f'"type" (one of {", ".join(wanted)}), "text" (the words as they stand in the text), "start" and "end" (offsets in characters from 0, '
+        "the end not included). Answer [] if there is none."
+    )
+
+
+def answered(answer: str, text: str, types: tuple[str, ...] | None = None) -> list[tuple[str, int, int, float]]:
+    """Spans of the first JSON array in an answer; what has no known type, no usable offsets or lies out of bounds is passed over."""
+    found = re.search(r"(?s)\[.*?\]", answer or "")
+    try:
+        items = json.loads(found[0]) if found else []
+    except ValueError:
+        return []
+    out = []
+    for x in items:
+        if not isinstance(x, dict) or x.get("type") not in ANSWERED_TYPES or (types and x["type"] not in types):
+            continue
+        start, end = x.get("start"), x.get("end")
+        if start is None or end is None:
+            words = x.get("text")
+            start = text.find(words) if isinstance(words, str) else -1
+            end = start + len(words or "")
+        if all(isinstance(i, int) and not isinstance(i, bool) for i in (start, end)) and 0 <= start < end <= len(text):
+            out.append((x["type"], start, end, round(SCORES.get(x["type"], ANSWER_SCORE), 2)))
+    return out
+
+
+def _posted(url: str, body: dict, headers: dict[str, str]) -> dict:
+    from urllib.request import Request, urlopen
+
+    request = Request(url, json.dumps(body).encode(), {"Content-Type": "application/json"} | headers)
+    with urlopen(request, timeout=ANSWER_SECONDS) as reply:
+        return json.loads(reply.read())
+
+
+def _asking(ask: Callable[[str], str], types: tuple[str, ...] | None) -> Provider:
+    def make():
+        def run(text: str) -> list[tuple[str, int, int, float]]:
+            try:
+                return answered(ask(text), text, types)
+            except Exception as e:  # no answer, a refusal, or too many calls: the text has no span
+                log.warning("a language model gave no answer: %s", e)
+                return []
+
+        return lambda texts: [run(t) if t else [] for t in texts]
+
+    return make
+
+
+def local_language_model(url: str, model: str, types: tuple[str, ...] | None = None) -> Provider:
+    """A model behind a local server that completes prompts (``/api/generate``); texts are asked about one by one, from the tasks."""
+
+    def ask(text: str) -> str:
+        body = {"model": model, "prompt": f"{question(types)}\n\n{text}\n\nJSON array:", "stream": False, "options": {"temperature": TEMPERATURE, "num_predict": ANSWER_TOKENS}}
+        return _posted(f"{url.rstrip('/')}/api/generate", body, {}).get("response", "")
+
+    return _asking(ask, types)
+
+
+def hosted_language_model(url: str, model: str, key: str, types: tuple[str, ...] | None = None) -> Provider:
+    """A model behind a chat service (``/chat/completions``) with a key."""
+
+    def ask(text: str) -> str:
+        messages = [{"role": "system", "content": question(types)}, {"role": "user", "content": text}]
+        body = {"model": model, "messages": messages, "temperature": TEMPERATURE, "max_tokens": ANSWER_TOKENS}
+        choices = _posted(f"{url.rstrip('/')}/chat/completions", body, {"Authorization": f"Bearer {key}"}).get("choices") or [{}]
+        return choices[0].get("message", {}).get("content", "")
+
+    return _asking(ask, types)
+
+
 # Names of profiles, old names among them, and the profile that an unknown name gets.
 PROFILES = {"fast": "spacy-fast", "accurate": "spacy-accurate"}
 DEFAULT_PROFILE = "spacy-fast"

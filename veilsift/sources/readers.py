@@ -131,7 +131,10 @@ def file_corpus(spark: SparkSession, path: str, probe: Callable[[bytes], dict] |
                 out.append([got.get(n) for n in names])
             yield pd.concat([b[["path", "bytes", "mtime_epoch", "pdf_id"]].reset_index(drop=True), pd.DataFrame(out, columns=names).astype(object)], axis=1)
 
-    base = rows.select("path", F.col("length").alias("bytes"), F.col("modificationTime").cast("double").alias("mtime_epoch"), F.sha1("content").alias("pdf_id"), "content")
+    base = rows.select("path", F.col("length").alias("bytes"), F.col("modificationTime").cast("double").alias("mtime_epoch"), "content")
+    # a file whose content can't be read is told by its path, size and time
+    told = T.stat_hash(F.col("path"), F.col("bytes"), F.col("mtime_epoch"))
+    base = base.withColumn("pdf_id", F.coalesce(T.file_hash(F.col("content")), told))
     probed = base.mapInPandas(run, f"path string, bytes long, mtime_epoch double, pdf_id string, {known}")
     score = T.scan_score(
         F.coalesce("has_text_ops", F.lit(False)), F.coalesce("image_xobject_count", F.lit(0)), F.coalesce("large_image_count", F.lit(0)), F.col("bytes"), F.col("page_count")
