@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 from collections.abc import Callable, Iterable, Iterator
 
@@ -22,6 +23,16 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Hand memory that a task has freed back to the system: a worker lives on after it, and would keep the most it ever held."""
+    import ctypes
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not with every C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_rows(
     df: DataFrame,
     columns: list[str],
@@ -48,10 +59,13 @@ def map_rows(
                     part = batch.slice(at, batch_rows)
                     yield {name: part.column(i).to_numpy() if name in arrays else part.column(i).to_pylist() for i, name in enumerate(columns)}
 
-        for out in function(pieces()):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow
-            )
+        out = None
+        try:
+            for out in function(pieces()):
+                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+        finally:
+            del out
+            give_back()
 
     return df.select(*columns).mapInArrow(run, schema)
 

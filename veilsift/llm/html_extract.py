@@ -353,5 +353,9 @@ def main_text(pages: DataFrame, score: dict, id_col: str = "page_id", body_col:
 
 
 def report(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars of every page."""
+    """page_id, url, text, n_chars of every page.
+
+    Rows in are rows out, whatever their ids; of runs with equal sums the first is taken. Only page_id, url and html are read,
+    so further columns clash with nothing; null and empty pages have an empty text, and an empty table gives none.
+    """
     return main_text(pages, fit(pages))

@@ -58,6 +58,10 @@ def letters(word: str) -> str:
     return low if not low or low.isalpha() else "".join(c for c in low if c.isalpha())
 
 
+#: Languages that are learnt at most.
+MOST_LANGS = 256
+
+
 def gram_places(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(word number, hashed place) of all n-grams of the words, with one mark before and after each."""
     if not words:
@@ -84,12 +88,13 @@ def fit(docs: DataFrame, usable: Column | None = None, train_rows: int = TRAIN_R
     """(languages, log scores by place and language, scripts by language) from rows with text and lang.
 
     Of each language about ``train_rows / number of languages`` rows are taken, by md5 of the id (or of the text where that is null), and all
-    rows where it has fewer: so a rare language is learnt at every size of the table. What comes to the
-    driver is bounded by 2**BITS places for each language. Without a row there is no language.
+    rows where it has fewer: so a rare language is learnt at every size of the table. The sample holds the MOST_LANGS most
+    frequent languages (ties: the first by name). What comes to the driver is bounded by 2**BITS places for each. Without a row there is no language.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.where(usable) if usable is not None else rows
-    n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
+    counted = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS)
+    n = {r["lang"]: r["n"] for r in counted.collect()}
     each = -(-train_rows // max(len(n), 1))
     least = [F.lit(x) for lang, k in sorted(n.items()) for x in (lang, int(min(1.0, each / k) * 2**52))]
     # rows without an id are told by their text
@@ -271,6 +276,10 @@ def label(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score and the spans of every document."""
+    """doc_id, held_out, lang_pred, score and the spans of every document.
+
+    Rows in are rows out, whatever their ids; a null id is not held out. Of languages with equally many words the first by
+    name is predicted. Only doc_id, text and lang are read, so further columns clash with nothing; an empty table gives none.
+    """
     model = fit(docs, usable=~held_out())
     return label(docs, model, with_spans=True).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "spans")

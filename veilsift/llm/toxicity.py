@@ -159,6 +159,10 @@ def score(docs: DataFrame, model, bits: int = BITS, id_col: str = "doc_id", text
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document."""
+    """doc_id, held_out, score, predicted of every document.
+
+    Rows in are rows out, whatever their ids; a null id is not held out, and equal texts score alike. Only doc_id and text are
+    read of ``docs``, doc_id and toxic of ``labels``, so further columns clash with nothing; an empty table gives none.
+    """
     model = fit(docs, labels, usable=~held_out())
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
