@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from . import options as O
 from . import sentences
 from .functions import text as T
-from .operators import dictionary, evaluate, gateway, gold, labeling, ner, ordering, sampling, scan, spans, split
+from .operators import dictionary, evaluate, gateway, gold, keywords, labeling, ner, ordering, sampling, scan, spans, split
 from .plans import detect as plan
 from .sources import readers
 
@@ -478,7 +478,12 @@ def pattern_lists(spark, d):
 
 
 def type_names(spark, d):
-    return spark.createDataFrame([(x,) for x in O.entity_types(O.DetectOptions())], "type string")
+    """The types of the options, and how many documents hold a context word of each."""
+    options = O.DetectOptions()
+    docs = readers.table(spark, f"{d}/documents.parquet")
+    found = keywords.present(docs, options.keywords).select(F.explode("types").alias("type")).groupBy("type").agg(F.count("*").alias("n"))
+    types = spark.createDataFrame([(x,) for x in O.entity_types(options)], "type string")
+    return types.join(found, "type", "left").select("type", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -496,6 +501,7 @@ def oracle_sql() -> dict[str, str]:
     named = [(k, t[a:b], a, b) for k, t, found in NAMES for a, b in found]
     issues = [(k, code, "WARNING" if code in WARNINGS else "ERROR", -1 if i is None else i) for k, (_, found) in enumerate(LINES) for code, i in found]
     issue = f"({_cases_sql(len(LINES), issues, 'code, level, i')})"
+    held = lambda words: " OR ".join(f"contains(t, {_literal(w)})" for w in words)
     status = f"""s AS (SELECT 'p' || n % 10 || '/' || n AS path, 'p' || n % 10 AS pdf, n % 4 = 0 OR n = 1 OR n % 10 IN (2, 3) AS done,
       n % 10 = 5 OR (n % 10 = 9 AND starts_with(n::VARCHAR, '9')) AS skipped FROM {KEYS})"""
     lists = {"All": "TRUE", "Labeled": "done", "Unlabeled": "NOT done", "Skipped": "skipped", "Unskipped": "NOT skipped"}
@@ -576,5 +582,8 @@ def oracle_sql() -> dict[str, str]:
               + CASE WHEN n % 7 - 1 > 0 AND (n % 5 * 400000) / (n % 7 - 1) > 500000 THEN 0.1 ELSE 0 END) END::DOUBLE, 2) AS score FROM {KEYS}""",
         "natural_order": f"SELECT CASE WHEN n % 2 = 0 THEN 'File' ELSE 'file' END || n || '.txt' AS name, row_number() OVER (ORDER BY n) AS place FROM {KEYS}",
         "pattern_lists": f"SELECT id, ({bits})::BIGINT AS bits FROM ({_cases_sql(len(EXAMPLES), list(enumerate(EXAMPLES)), 't')})",
-        "type_names": "SELECT unnest([" + ", ".join(f"'{x}'" for x in sorted({*O.PATTERNS["config"], *O.KEYWORDS["config"], *O.SCORES})) + "]) AS type",
+        "type_names": " UNION ALL ".join(
+            f"SELECT '{x}' AS type, " + (f"count_if({held(O.KEYWORDS['config'][x])})" if O.KEYWORDS["config"].get(x) else "0::BIGINT") + "::BIGINT AS n FROM " + ("(SELECT lower(text) AS t FROM documents)" if O.KEYWORDS["config"].get(x) else "(SELECT 1)")
+            for x in sorted({*O.PATTERNS["config"], *O.KEYWORDS["config"], *O.SCORES})
+        ),
     }
