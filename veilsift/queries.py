@@ -6,6 +6,7 @@ arithmetic on keys; derivations are the same in both languages.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -66,22 +67,28 @@ e AS (
 )"""
 
 
+def _names(spark, d) -> DataFrame:
+    """A dictionary of names of one to three words, from the words of ``benchmark``."""
+    words = _t(spark, d, "benchmark").select(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0)).alias("w")).where("size(w) > 4")
+    names = words.select(F.explode(F.array(F.col("w")[0], F.array_join(F.slice("w", 2, 2), " "), F.array_join(F.slice("w", 2, 3), " "))).alias("name"))
+    return dictionary.dictionary(names)
+
+
 def detect_entities(spark, d):
-    return plan.detect_entities(_t(spark, d, "documents"), DetectOptions(detectors=("regex",)))
+    """Patterns in both passes and names, through all filters and merges."""
+    return plan.detect_entities(_t(spark, d, "documents"), DetectOptions(detectors=("regex", "dict")), _names(spark, d))
 
 
 def detect_entities_constants(spark, d):
-    return plan.detect_entities(_t(spark, d, "documents"), profile("constants"))
+    return plan.detect_entities(_t(spark, d, "documents"), dataclasses.replace(profile("constants"), detectors=("regex", "dict")), _names(spark, d))
 
 
 def gateway_detect(spark, d):
-    return plan.detect_with_gateway(_t(spark, d, "documents"), DetectOptions(detectors=("regex",)))
+    return plan.detect_with_gateway(_t(spark, d, "documents"), DetectOptions(detectors=("regex", "dict")), _names(spark, d))
 
 
 def _patterns(name: str):
     def query(spark, d):
-        import dataclasses
-
         options = dataclasses.replace(profile(name), passes=("raw",))
         return regex_detect.detect(_t(spark, d, "documents"), options).select("id", "type", "text", F.col("start").alias("start_"), F.col("end").alias("end_"), "score")
 
@@ -287,9 +294,7 @@ def dictionary_words(spark, d):
 
 def dictionary_names(spark, d):
     """Longest n-grams first, over names of one to three words."""
-    words = _t(spark, d, "benchmark").select(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0)).alias("w")).where("size(w) > 4")
-    names = words.select(F.explode(F.array(F.col("w")[0], F.array_join(F.slice("w", 2, 2), " "), F.array_join(F.slice("w", 2, 3), " "))).alias("name"))
-    found = dictionary.detect(_t(spark, d, "documents"), dictionary.dictionary(names), 3)
+    found = dictionary.detect(_t(spark, d, "documents"), _names(spark, d), 3)
     return found.select("id", "type", "text", F.col("start").alias("start_"), F.col("end").alias("end_"), "score", "source")
 
 
