@@ -22,8 +22,8 @@ from ..options import NameLists
 from ..sources import readers
 from .regex_detect import keyed
 
-#: A dictionary is broadcast up to this many names; beyond it the join is shuffled.
-BROADCAST_NAMES = 2_000_000
+#: A dictionary is broadcast up to this many names and bytes; beyond it the join is shuffled.
+BROADCAST_NAMES, BROADCAST_BYTES = 2_000_000, 64 << 20
 #: Bits of the sketch of first words: so many a word, and blocks of 64 in all at most (8 MB), beyond which it denies less.
 WORD_BITS, MOST_BLOCKS = 16, 1 << 20
 SCORE = 0.85
@@ -223,8 +223,9 @@ def greedy(found: DataFrame) -> DataFrame:
 
 def matches(rows: DataFrame, names: DataFrame, max_words: int | None = None) -> DataFrame:
     """(id, h, start, end, text) of names in (id, h, t) rows; ``max_words`` is by default the longest name's."""
-    most = max_words or longest(names)
-    if names.count() <= BROADCAST_NAMES:
+    size = names.agg(F.count("*").alias("n"), F.sum(F.octet_length("name")).alias("bytes"), F.max("n_words").alias("words")).first()
+    most = max_words or size["words"] or 1
+    if size["n"] <= BROADCAST_NAMES and (size["bytes"] or 0) <= BROADCAST_BYTES:
         return _broadcast_matches(rows, names, most).select("id", "h", "start", "end", "text")
     taken = greedy(candidates(rows, names, most))
     return taken.join(rows.distinct(), ["id", "h"]).select("id", "h", "start", "end", F.substring("t", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .prefix import prefix_pairs
 
 
+#: Strata whose shares are broadcast.
+BROADCAST_STRATA = 100_000
+
+
 def order_key(*cols: Column | str, seed: int = 0) -> Column:
     """A reproducible pseudo-random order: md5 over seed and columns."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string") if isinstance(c, str) else c, F.lit("")) for c in cols]))
@@ -95,7 +99,7 @@ def stratified_sample(rows: DataFrame, strata: list[str], n: int, id_col: str, s
     schema = ", ".join(f"`_{s}` {rows.schema[s].dataType.simpleString()}" for s in strata) + ", _take int"
     plan = spark.createDataFrame([(*k, v) for k, v in share.items()], schema)
     on = [rows[s].eqNullSafe(plan[f"_{s}"]) for s in strata]
-    ranked = rows.join(F.broadcast(plan), on).withColumn(
+    ranked = rows.join(F.broadcast(plan) if len(share) <= BROADCAST_STRATA else plan, on).withColumn(
         "_n", F.row_number().over(Window.partitionBy(*strata).orderBy(order_key(id_col, seed=seed), id_col))
     )
     return ranked.where("_n <= _take").select(*rows.columns)
