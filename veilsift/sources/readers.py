@@ -14,6 +14,9 @@ INDEX = (
     "image_xobject_count int, large_image_count int, likely_scanned boolean, scan_score double, errors array<string>, processing_time_seconds double, pdf_id string"
 )
 
+#: Splits whose counts are broadcast by the reader of numbered lines.
+BROADCAST_SPLITS = 50_000
+
 
 def table(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet table; one that lies in fewer row groups than there are cores is dealt out to all of them.
@@ -55,7 +58,9 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     splits = rows.groupBy("file", "_block").agg(F.count("*").alias("_lines"), F.min("_at").alias("_first"))
     before = F.sum("_lines").over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
     splits = splits.select(F.col("file").alias("_file"), F.col("_block").alias("_start"), "_first", F.coalesce(before, F.lit(0)).alias("_before"))
-    placed = rows.join(splits, (F.col("file") == F.col("_file")) & (F.col("_block") == F.col("_start")))
+    # there are no more splits than files and tasks
+    few = len(rows.inputFiles()) + rows._jdf.queryExecution().toRdd().getNumPartitions() <= BROADCAST_SPLITS
+    placed = rows.join(F.broadcast(splits) if few else splits, (F.col("file") == F.col("_file")) & (F.col("_block") == F.col("_start")))
     return placed.select("file", (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("n"), "value")
 
 
