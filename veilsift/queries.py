@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import rule_queries
+from . import io_queries, rule_queries
 from .functions import text as T
 from .keyword_lists import LISTS as KEYWORD_LISTS
 from .operators import dictionary, evaluate, gateway, gold, keywords, regex_detect, sampling, scan, spans, split
@@ -310,7 +310,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         index_marginals, stratified_sample, random_split, split_rarity, split_balanced, gold_validate, gold_fix, gold_corrections, label_map,
         dictionary_words, dictionary_names, context_snippets,
     ]
-    return {q.__name__: q for q in each} | rule_queries.queries() | {"patterns_constants": _patterns("constants"), "patterns_config": _patterns("config"), "patterns_lists": _patterns("lists")}
+    return {q.__name__: q for q in each} | rule_queries.queries() | io_queries.queries() | {"patterns_constants": _patterns("constants"), "patterns_config": _patterns("config"), "patterns_lists": _patterns("lists")}
 
 
 _INDEX_SQL = """i AS (
@@ -332,7 +332,7 @@ def oracle_sql() -> dict[str, str]:
     island = "sum(CASE WHEN start_ >= coalesce(reach, -1) THEN 1 ELSE 0 END) OVER (PARTITION BY id, type ORDER BY start_, end_, seq)"
     labels = ", ".join(f"'{x}'" for x in [*gold.LABELS, "OTHER"])
     label_cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in gold.LABELS.items())
-    return rule_queries.oracle_sql() | {
+    return rule_queries.oracle_sql() | io_queries.oracle_sql() | {
         "patterns_constants": _patterns_sql("constants"),
         "patterns_config": _patterns_sql("config"),
         "patterns_lists": _patterns_sql("lists"),
