@@ -155,9 +155,27 @@ def evaluation_report(spark, d):
     return out.metrics.select("type", "tp", "fn", "fp")
 
 
+def external_rows(spark, d):
+    """The first rows of one locale of an outside data set."""
+    n = F.col("doc_id")
+    locale = F.element_at(F.array(F.lit("US"), F.lit("GB"), F.lit("AU")), (n % 3 + 1).cast("int"))
+    rows = _documents(spark, d).select(n.alias("id"), F.col("lang").alias("language"), locale.alias("locale"), F.md5("text").alias("digest"))
+    return readers.external_dataset(rows, "GB", 50).select("id", "locale", "digest")
+
+
+def appended_rows(spark, d):
+    """Rows that two runs append to one file of JSON lines."""
+    path = f"{own_folder(spark, 'append')}/rows"
+    rows = _documents(spark, d).select("doc_id", "lang")
+    for part in (rows.where("doc_id % 2 = 0"), rows.where("doc_id % 2 = 1")):
+        writers.append_json_lines(part, path)
+    return readers.json_lines(spark, path, "doc_id long, lang string")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     each = [
         json_lines_gzip, json_lines_errors, json_lines_places, id_lists, result_documents, dump_caps, dump_whole_records, extraction_ledger, autosave_store, retype_numbers, evaluation_report,
+        external_rows, appended_rows,
     ]
     return {q.__name__: q for q in each}
 
@@ -174,6 +192,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT ({lines})::BIGINT AS last, ({lines})::BIGINT AS lines, ({lines})::BIGINT AS numbers, (count(*) + count_if(doc_id % 7 = 0))::BIGINT AS filled,
               count_if(doc_id % 7 = 0)::BIGINT AS broken FROM documents""",
         "json_lines_places": "SELECT lang, count(*) AS n, count(*) AS places, sum(doc_id)::BIGINT AS ids FROM documents GROUP BY lang",
+        "external_rows": "SELECT doc_id AS id, 'GB' AS locale, md5(text) AS digest FROM documents WHERE lang = 'en' AND doc_id % 3 = 1 ORDER BY doc_id LIMIT 50",
+        "appended_rows": "SELECT doc_id, lang FROM documents",
         "id_lists": "SELECT doc_id FROM documents WHERE doc_id % 3 = 0",
         "result_documents": "SELECT l_orderkey AS id, 'p' AS profile, count(*) AS n, sum(2 * (l_partkey % 97) + 5)::BIGINT AS places FROM lineitem GROUP BY l_orderkey",
         "dump_caps": f"SELECT * FROM ({_ERRORS}) QUALIFY row_number() OVER (PARTITION BY type ORDER BY place, start_, end_) <= {CAP}",

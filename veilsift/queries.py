@@ -264,7 +264,7 @@ def split_balanced(spark, d):
         F.sum(F.when(F.col("type").isNull(), F.col("n"))).alias("n"), F.map_from_entries(F.collect_list(F.when(F.col("type").isNotNull(), F.struct("type", "n")))).alias("c")
     )
     rows = wide.join(split.rarity(stats, ["PLACE"]), "file").orderBy("file").collect()  # a row a file
-    dev, test, _ = split.balanced_split([(r["file"], r["n"], dict(r["c"]), r["rarity"]) for r in rows], 0.3, ["PLACE"], 5)
+    dev, test, _ = split.balanced_split([(r["file"], r["n"], dict(r["c"]), round(r["rarity"], 9)) for r in rows], 0.3, ["PLACE"], 5)
     return spark.createDataFrame([(f, "dev") for f in dev] + [(f, "test") for f in test], "file string, split string")
 
 
@@ -444,6 +444,20 @@ def oracle_sql() -> dict[str, str]:
             WITH {_RECORDS_SQL}, c AS (SELECT (n % 40)::VARCHAR AS file, type, count(*) AS k FROM e GROUP BY 1, 2),
             w AS (SELECT type, 1.0::DOUBLE / (sum(k)::BIGINT + 1) * CASE type WHEN 'PLACE' THEN 5 ELSE 1 END AS w FROM c GROUP BY type)
             SELECT file, round(sum(k * w), 9) AS rarity FROM c JOIN w USING (type) GROUP BY file""",
+        "split_balanced": f"""
+            WITH RECURSIVE {_RECORDS_SQL}, c AS (SELECT (n % 40)::VARCHAR AS file, type, count(*) AS k FROM e GROUP BY 1, 2),
+            w AS (SELECT type, 1.0::DOUBLE / (sum(k)::BIGINT + 1) * CASE type WHEN 'PLACE' THEN 5 ELSE 1 END AS w FROM c GROUP BY type),
+            q AS (SELECT file, round(sum(k * w), 9) AS rarity FROM c JOIN w USING (type) GROUP BY file),
+            o AS (SELECT f.file, f.n, coalesce(c.k, 0) AS k, row_number() OVER (ORDER BY coalesce(rarity, 0) DESC, f.file DESC) AS i
+              FROM (SELECT (n % 40)::VARCHAR AS file, count(*) AS n FROM r GROUP BY 1) f LEFT JOIN q ON q.file = f.file LEFT JOIN c ON c.file = f.file AND c.type = 'PLACE'),
+            s AS (SELECT 0::BIGINT AS i, 0::BIGINT AS dn, 0::BIGINT AS tn, 0::BIGINT AS dk, 0::BIGINT AS tk, NULL::VARCHAR AS file, FALSE AS dev, 0::BIGINT AS n, 0::BIGINT AS k
+              UNION ALL SELECT i, CASE WHEN d THEN dn + n ELSE dn END, CASE WHEN d THEN tn ELSE tn + n END, CASE WHEN d THEN dk + k ELSE dk END, CASE WHEN d THEN tk ELSE tk + k END, file, d, n, k
+              FROM (SELECT o.*, dn, tn, dk, tk,
+                100 * abs((dn + o.n)::DOUBLE / (dn + tn + o.n) - 0.3::DOUBLE) + CASE WHEN tk < 5 THEN 50 ELSE 0 END + CASE WHEN dk + tk + o.k > 0 THEN 10 * abs((dk + o.k)::DOUBLE / (dk + tk + o.k) - 0.3::DOUBLE) ELSE 0 END
+                <= 100 * abs(dn::DOUBLE / (dn + tn + o.n) - 0.3::DOUBLE) + CASE WHEN tk + o.k < 5 THEN 50 ELSE 0 END + CASE WHEN dk + tk + o.k > 0 THEN 10 * abs(dk::DOUBLE / (dk + tk + o.k) - 0.3::DOUBLE) ELSE 0 END AS d
+                FROM s JOIN o ON o.i = s.i + 1)),
+            moved AS (SELECT file FROM s WHERE dev AND k > 0 AND (SELECT arg_max(tk, i) FROM s) < 5 ORDER BY n, i LIMIT 1)
+            SELECT file, CASE WHEN dev AND file NOT IN (SELECT file FROM moved) THEN 'dev' ELSE 'test' END AS split FROM s WHERE file IS NOT NULL""",
         "gold_validate": rf"""
             WITH {_RECORDS_SQL}, k AS (
               SELECT id, unnest([
