@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import spans
-from .options import DetectOptions, EvalOptions, LuhnRetype
+from .functions import text as T
+from .operators import dictionary, evaluate, spans
+from .options import DetectOptions, EvalOptions, LuhnRetype, NameLists, SampleOptions, SplitOptions, ValidateOptions
 from .plans import runs
 from .sources import ledger, readers, writers
 from .sources.shared import own_folder
@@ -172,10 +173,74 @@ def appended_rows(spark, d):
     return readers.json_lines(spark, path, "doc_id long, lang string")
 
 
+def first_records(spark, d):
+    """The first selected records in the order of their files, which is neither that of ids nor of the table."""
+    path = f"{own_folder(spark, 'gold')}/records"
+    rows = _documents(spark, d).select(F.col("doc_id").cast("string").alias("id"), "lang", "doc_id")
+    dealt = rows.repartitionByRange(4, F.desc("doc_id")).sortWithinPartitions(F.desc("doc_id"))
+    dealt.select("id", "lang").write.json(path)
+    records = readers.json_lines(spark, path, "id string, lang string", places=True)
+    ids = rows.where("doc_id % 3 <> 1").select("id")
+    return evaluate.select_records(records, ids, limit=25).select("id", "lang")
+
+
+def name_list_files(spark, d):
+    """The dictionary of name lists that come as files."""
+    folder = own_folder(spark, "names")
+    words = readers.table(spark, f"{d}/benchmark.parquet").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0))).alias("w"))
+    words.select(F.explode(F.array(F.col("w"), F.concat(F.lit("# "), F.col("w")), F.lit(""))).alias("value")).write.text(f"{folder}/first.txt")
+    stop = words.where(F.lower(F.left("w", F.lit(1))) == "b").select(F.lower("w").alias("w")).distinct().groupBy().agg(F.to_json(F.collect_list("w")).alias("value"))
+    stop.write.text(f"{folder}/stop.json")
+    return dictionary.from_lists(spark, NameLists(first_names=f"{folder}/first.txt", stopwords=f"{folder}/stop.json"))
+
+
+def _counted(spark, table: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame(list(table.items()), "what string, n long")
+
+
+def sample_report(spark, d):
+    """Counts of a sampling run by its options: what is kept by size, and how many are chosen."""
+    n = F.col("doc_id")
+    index = _documents(spark, d).select(
+        n.alias("line"), F.concat(F.lit("/c/"), n.cast("string")).alias("path"), (F.col("n_chars") * 400).alias("bytes"), F.md5("text").alias("pdf_id"),
+        F.when(n % 23 != 0, (n % 30).cast("int")).alias("page_count"), T.size_bucket(F.col("n_chars") * 400).alias("size_bucket"), F.lit("Word").alias("producer"),
+        F.lit(None).cast("string").alias("creator"), (n % 4 == 0).alias("likely_scanned"), (n % 5 != 0).alias("has_text_ops"),
+    )
+    _, report = runs.sample(index, SampleOptions(n=40, min_pages=2, max_pages=25, size_buckets=("tiny", "normal")))
+    return _counted(spark, {"kept": report["total_kept"], "chosen": report["n_selected"]} | {f"size {k}": v for k, v in report["by_size"].items()} | {f"scanned {k}": v for k, v in report["by_scanned"].items()})
+
+
+def _annotated(spark, d) -> DataFrame:
+    n = F.col("doc_id")
+    one = lambda kind, a, b: F.struct(F.lit(kind).alias("type"), a.cast("int").alias("start"), b.cast("int").alias("end"))
+    ents = F.array(one("PERSON", n % 11, n % 11 + n % 3), one("PLACE", n % 2, n % 2 + 1))
+    return _documents(spark, d).select(F.concat(F.lit("FILE="), (n % 40).cast("string"), F.lit("/"), n.cast("string")).alias("id"), F.lit("abcdefghijklmnop").alias("text"), ents.alias("entities"), "doc_id")
+
+
+def split_report(spark, d):
+    """Counts of a random split by its options."""
+    _, report = runs.split_gold(_annotated(spark, d), ["PERSON", "PLACE"], SplitOptions(dev_ratio=0.3, seed=5), balanced=False)
+    out = {"files": report["meta"]["total_files"], "records": report["meta"]["total_records"]}
+    for s, part in report["splits"].items():
+        out |= {f"{s} files": part["files"], f"{s} records": part["records"], **{f"{s} {k}": v for k, v in part["counts"].items()}}
+    return _counted(spark, out)
+
+
+def validate_report(spark, d):
+    """Counts of a validation run over JSON lines of which some are broken."""
+    path = f"{own_folder(spark, 'check')}/records"
+    good = F.to_json(F.struct("id", "text", "entities"))
+    rows = _annotated(spark, d).select(F.explode(F.array_compact(F.array(good, F.when(F.col("doc_id") % 9 == 0, F.lit("{broken"))))).alias("value"))
+    rows.write.text(path)
+    _, report = runs.validate(readers.lines(spark, path), ValidateOptions(types=("PERSON",)))
+    s = report["summary"]
+    return _counted(spark, {"records": s["total_records"], "entities": s["total_entities"], "with issues": s["records_with_errors"], "exit code": report["exit_code"]} | s["error_counts"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     each = [
         json_lines_gzip, json_lines_errors, json_lines_places, id_lists, result_documents, dump_caps, dump_whole_records, extraction_ledger, autosave_store, retype_numbers, evaluation_report,
-        external_rows, appended_rows,
+        external_rows, appended_rows, first_records, name_list_files, sample_report, split_report, validate_report,
     ]
     return {q.__name__: q for q in each}
 
@@ -194,6 +259,28 @@ def oracle_sql() -> dict[str, str]:
         "json_lines_places": "SELECT lang, count(*) AS n, count(*) AS places, sum(doc_id)::BIGINT AS ids FROM documents GROUP BY lang",
         "external_rows": "SELECT doc_id AS id, 'GB' AS locale, md5(text) AS digest FROM documents WHERE lang = 'en' AND doc_id % 3 = 1 ORDER BY doc_id LIMIT 50",
         "appended_rows": "SELECT doc_id, lang FROM documents",
+        "first_records": "SELECT doc_id::VARCHAR AS id, lang FROM documents WHERE doc_id % 3 <> 1 ORDER BY doc_id DESC LIMIT 25",
+        "name_list_files": """
+            SELECT DISTINCT lower(w) AS name, 1::INT AS n_words FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]{3,}')) AS w FROM benchmark) WHERE NOT starts_with(lower(w), 'b')""",
+        "sample_report": """
+            WITH i AS (SELECT doc_id, n_chars * 400 AS bytes, CASE WHEN doc_id % 23 <> 0 THEN doc_id % 30 END AS pages,
+              CASE WHEN n_chars * 400 < 204800 THEN 'tiny' WHEN n_chars * 400 < 5242880 THEN 'normal' ELSE 'huge' END AS size,
+              row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS k FROM documents WHERE n_chars > 0),
+            f AS (SELECT *, CASE WHEN doc_id % 4 = 0 THEN 'true' ELSE 'false' END AS scanned FROM i WHERE k = 1 AND pages BETWEEN 2 AND 25 AND size <> 'huge')
+            SELECT 'kept' AS what, count(*) AS n FROM f UNION ALL SELECT 'chosen', least(count(*), 40) FROM f UNION ALL SELECT 'size ' || size, count(*) FROM f GROUP BY size
+            UNION ALL SELECT 'scanned ' || scanned, count(*) FROM f GROUP BY scanned""",
+        "split_report": """
+            WITH f AS (SELECT (doc_id % 40)::VARCHAR AS file, count(*) AS n FROM documents GROUP BY 1),
+            s AS (SELECT file, n, CASE WHEN coalesce(sum(n) OVER (ORDER BY md5('5:' || file), file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              < (SELECT sum(n) FROM f) * 0.3 THEN 'dev' ELSE 'test' END AS split FROM f)
+            SELECT 'files' AS what, count(*) AS n FROM s UNION ALL SELECT 'records', sum(n)::BIGINT FROM s
+            UNION ALL SELECT split || ' files', count(*) FROM s GROUP BY split UNION ALL SELECT split || k, sum(n)::BIGINT FROM s, (VALUES (' records'), (' PERSON'), (' PLACE')) AS v(k) GROUP BY split, k""",
+        "validate_report": """
+            WITH x AS (SELECT doc_id, doc_id % 3 AS size FROM documents),
+            c AS (SELECT 'INVALID_TYPE' AS what, count(*) AS n FROM x UNION ALL SELECT 'BAD_OFFSETS', count_if(size = 0) FROM x UNION ALL SELECT 'SHORT_SPAN', count_if(size = 1) FROM x
+              UNION ALL SELECT 'JSON_PARSE_ERROR', count_if(doc_id % 9 = 0) FROM x)
+            SELECT what, n::BIGINT AS n FROM c WHERE n > 0 UNION ALL SELECT 'records', count(*) FROM x UNION ALL SELECT 'entities', 2 * count(*) FROM x
+            UNION ALL SELECT 'with issues', count(*) FROM x UNION ALL SELECT 'exit code', 1""",
         "id_lists": "SELECT doc_id FROM documents WHERE doc_id % 3 = 0",
         "result_documents": "SELECT l_orderkey AS id, 'p' AS profile, count(*) AS n, sum(2 * (l_partkey % 97) + 5)::BIGINT AS places FROM lineitem GROUP BY l_orderkey",
         "dump_caps": f"SELECT * FROM ({_ERRORS}) QUALIFY row_number() OVER (PARTITION BY type ORDER BY place, start_, end_) <= {CAP}",
