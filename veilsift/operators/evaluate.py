@@ -19,7 +19,7 @@ GROUP_GAP, GROUP_SPAN = 30, 120
 #: Characters of a bin of the interval join.
 BIN = 128
 #: Rounds of matching without an exchange, and how often they are begun before the rest is folded.
-ROUNDS, STAGES = 3, 5
+ROUNDS, STAGES = 1, 15
 
 
 def select_records(gold: DataFrame, ids: DataFrame | None = None, files: DataFrame | None = None, limit: int | None = None) -> DataFrame:
@@ -118,7 +118,7 @@ def _mutual(cands: DataFrame) -> DataFrame:
     """The greedy one-to-one choice of (id, type, g_idx, p_idx, rank), smallest rank first, ``cands`` being dealt by id and type.
 
     ROUNDS rounds run without an exchange; then what is left is written and counted. Nearly all is
-    settled in the first; what forms chains, each link better than the one before, takes a round a
+    settled in the first, so the others are small; what forms chains, each link better than the one before, takes a round a
     link, so after STAGES such stages the rest of a type's spans is folded in order, in one row.
     """
     taken = None
