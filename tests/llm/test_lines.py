@@ -100,6 +100,18 @@ def test_batches_and_deletions(spark, tmp_path):
     assert rows_of(index.clean(frame(spark, docs))) == brute(docs)
 
 
+def test_a_broken_batch_is_written_over(spark, tmp_path):
+    docs = [(i, f"{LINE}\nline {i} that stands alone here") for i in range(6)]
+    folder = f"file://{tmp_path}/index"
+    index = lines.LineIndex(spark, folder, shards=3).insert(frame(spark, docs[:4]))
+    # a run that died after the references of its batch, which hold other keys than the next run's
+    index.references().withColumn("id", F.col("id") + 100).write.parquet(index._path("references", 2))
+    again = lines.LineIndex(spark, folder, shards=3)
+    assert again.batch == 1 and rows_of(again.clean(frame(spark, docs))) == brute(docs, docs[:4])
+    again.insert(frame(spark, docs[4:]))
+    assert again.batch == 2 and rows_of(again.clean(frame(spark, docs))) == brute(docs)
+
+
 def test_a_full_shard_is_made_anew(spark):
     first = [(i, "\n".join(f"line {k} which is shared by three" for k in range(5))) for i in range(3)]
     more = [(i, "\n".join(f"line {k} which is shared by three" for k in range(900))) for i in range(10, 13)]
