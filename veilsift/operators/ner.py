@@ -16,6 +16,9 @@ from ..options import ENTITY_TYPES, SCORES
 log = logging.getLogger(__name__)
 SPANS = "array<struct<type:string,start:int,end:int,score:double>>"
 
+#: Texts that a model gets at once.
+PIECE = 1024
+
 # Labels of known models and the types they stand for.
 GENERAL_LABELS = {"PERSON": ("PERSON", 0.80), "GPE": ("LOCATION", 0.75), "LOC": ("LOCATION", 0.75), "FAC": ("LOCATION", 0.75)}
 TOKEN_LABELS = {
@@ -45,7 +48,7 @@ def provider(name: str) -> Provider:
 def detect(docs: DataFrame, models: dict[str, Provider], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, h, model, seq, type, start, end, score, text); a model that fails on a text yields no span there.
 
-    A model gets a batch of texts at once; only where that fails it gets them one by one.
+    A model gets PIECE texts at once, equal ones once; only where that fails it gets them one by one.
     """
     from .regex_detect import keyed
 
@@ -55,8 +58,12 @@ def detect(docs: DataFrame, models: dict[str, Provider], id_col: str = "doc_id",
 
         def run(batches: Iterator[pd.Series], make=make, name=name) -> Iterator[pd.Series]:
             model = make()
-            for texts in batches:
-                yield pd.Series([[{"type": k, "start": s, "end": e, "score": float(p)} for k, s, e, p in x] for x in called(model, name, [t or "" for t in texts])])
+            for batch in batches:
+                for at in range(0, len(batch), PIECE):
+                    texts = [t or "" for t in batch.iloc[at : at + PIECE]]
+                    each = list(dict.fromkeys(texts))
+                    found = dict(zip(each, called(model, name, each), strict=True))
+                    yield pd.Series([[{"type": k, "start": s, "end": e, "score": float(p)} for k, s, e, p in found[t]] for t in texts])
 
         spans = F.pandas_udf(SPANS)(_typed(run))(F.col("t"))
         parts.append(base.select("id", "h", "t", F.lit(name).alias("model"), F.posexplode(spans).alias("seq", "s")))

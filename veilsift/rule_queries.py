@@ -24,7 +24,7 @@ KEYS = "(SELECT c_custkey AS n FROM customer)"
 
 
 def _keys(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("n"))
+    return readers.dealt(spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("n")))
 
 
 def _cases(spark: SparkSession, d: str, m: int, cases: list[tuple], ddl: str) -> DataFrame:

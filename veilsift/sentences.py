@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .sources import readers
+
 #: Slots: an expression of the key n, and its length.
 SLOTS = {
     "ssn": ("concat(lpad(concat('', 100 + n % 800), 3, '0'), '-', lpad(concat('', 10 + n % 80), 2, '0'), '-', lpad(concat('', 1000 + n % 9000), 4, '0'))", 11),
@@ -97,7 +99,7 @@ def view_sql() -> str:
 
 def view(spark: SparkSession, d: str) -> DataFrame:
     """(doc_id, k, text)."""
-    rows = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("n"))
+    rows = readers.dealt(spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("n")))
     return rows.select(F.col("n").alias("doc_id"), F.expr(f"n % {len(SENTENCES)}").alias("k"), F.expr(text_sql()).alias("text"))
 
 

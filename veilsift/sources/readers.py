@@ -16,6 +16,8 @@ INDEX = (
 
 #: Splits whose counts are broadcast by the reader of numbered lines.
 BROADCAST_SPLITS = 50_000
+#: Keys in a task, where rows are made from keys.
+KEYS_A_TASK = 8192
 
 
 def table(spark: SparkSession, path: str) -> DataFrame:
@@ -39,6 +41,15 @@ def table(spark: SparkSession, path: str) -> DataFrame:
     return rows if groups >= cores else rows.repartition(cores)
 
 
+def dealt(keys: DataFrame, most: int | None = None) -> DataFrame:
+    """``keys`` in parts of about ``most`` rows at most, and in as many as there are cores at least, wherever they lie.
+
+    For narrow rows from which far larger ones are made: a file of keys is so small that one task would read it, and so make all of them.
+    """
+    parts = -(-keys.count() // (most or KEYS_A_TASK))
+    return keys.repartition(max(keys.sparkSession.sparkContext.defaultParallelism, parts))
+
+
 def text_files(spark: SparkSession, path: str, glob: str = "*.txt", max_chars: int | None = None) -> DataFrame:
     """(path, text) of all files below a folder, each as one text, cut at ``max_chars`` where given."""
     rows = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
