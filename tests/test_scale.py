@@ -27,3 +27,31 @@ def test_a_model_gets_equal_texts_once(spark, monkeypatch, piece):
     rows = spark.createDataFrame([(i, "same text" if i < 4 else "other") for i in range(5)], "doc_id long, text string").coalesce(1)
     got = {r["id"]: r["end"] for r in ner.detect(rows, {"m": lambda: model}).collect()}
     assert got == ({i: 2 for i in range(5)} if piece > 2 else {i: 1 for i in range(5)})
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spans_take_their_context_where_texts_are_read(spark):
+    """No join in the whole plan: texts meet neither spans nor triggers again, and nothing of their number goes through the driver."""
+    queries = rule_queries.queries()
+    for name in ("sentence_gateway", "model_entities"):
+        plan = _plan(queries[name](spark, D)).replace("BroadcastHashJoin [k#", "")  # cases of a key
+        assert "Join" not in plan, name
+
+
+def test_gateway_keeps_rows_that_are_repeated_or_have_no_id(spark):
+    import dataclasses
+
+    from veilsift.operators import dictionary
+    from veilsift.options import DetectOptions
+    from veilsift.plans import detect as plan
+
+    rows = [(1, "mail a@ex.org or a@ex.org"), (1, "mail a@ex.org or a@ex.org"), (None, "mail b@ex.org"), (None, "Anna mails c@ex.org"), (2, "Anna"), (2, None), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    names = dictionary.dictionary(spark.createDataFrame([("anna",)], "name string"))
+    options = dataclasses.replace(DetectOptions(), detectors=("regex", "dict"))
+    got = sorted((str(r["id"]), r["text"], r["start"], r["trigger"], r["trigger_match"]) for r in plan.detect_with_gateway(docs, options, names).collect())
+    mails = [("1", "a@ex.org", 5, None, None)] * 2 + [("1", "a@ex.org", 17, None, None)] * 2
+    assert got == sorted([*mails, ("None", "b@ex.org", 5, None, None), ("None", "Anna", 0, "name", "Anna"), ("None", "c@ex.org", 11, "name", "Anna"), ("2", "Anna", 0, "name", "Anna")], key=lambda x: (x[0], x[1], x[2]))

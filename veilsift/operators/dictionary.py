@@ -17,10 +17,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import tasks
 from ..functions import text as T
 from ..options import NameLists
 from ..sources import readers
-from .regex_detect import keyed
+from .regex_detect import around, keyed
 
 #: A dictionary is broadcast up to this many names and bytes; beyond it the join is shuffled.
 BROADCAST_NAMES, BROADCAST_BYTES = 2_000_000, 64 << 20
@@ -103,25 +104,29 @@ class Matcher:
                 free = i + n
 
 
-def _broadcast_matches(rows: DataFrame, names: DataFrame, max_words: int) -> DataFrame:
-    """(id, h, pos, n, start, end, text) of (id, h, t) rows by a dictionary that goes to every task."""
-    known = frozenset(r["name"] for r in names.select("name").collect())
-    shared = rows.sparkSession.sparkContext.broadcast(known)
+def _shared(rows: DataFrame, names: DataFrame):
+    """A dictionary that goes to every task."""
+    return rows.sparkSession.sparkContext.broadcast(frozenset(r["name"] for r in names.select("name").collect()))
+
+
+def _broadcast_matches(rows: DataFrame, names: DataFrame, max_words: int, window: int) -> DataFrame:
+    """(id, h, start, end, text, pre, post) of (id, h, t) rows by a dictionary that goes to every task."""
+    shared = _shared(rows, names)
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match = Matcher(shared.value, max_words)
-        for b in batches:
+        for b in tasks.pieces(batches):
             at, out = [], []
             for i, text in enumerate(b.column(2).to_pylist()):
-                for pos, n, start, end in match(text or ""):
+                for _, _, start, end in match(text or ""):
                     at.append(i)
-                    out.append((pos, n, start, end, text[start:end]))
+                    out.append((start, end, text[start:end], text[max(0, start - window) : start], text[end : end + window]))
             if out:
-                columns = [pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), [pa.int32()] * 4 + [pa.string()], strict=True)]
-                yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(at)) for i in (0, 1)), *columns], ["id", "h", "pos", "n", "start", "end", "text"])
+                columns = [pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), [pa.int32()] * 2 + [pa.string()] * 3, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(at)) for i in (0, 1)), *columns], ["id", "h", "start", "end", "text", "pre", "post"])
 
-    return rows.mapInArrow(run, f"id {kind}, h long, pos int, n int, start int, end int, text string")
+    return rows.mapInArrow(run, f"id {kind}, h long, start int, end int, text string, pre string, post string")
 
 
 class FirstWords:
@@ -173,7 +178,7 @@ def candidates(rows: DataFrame, names: DataFrame, max_words: int) -> DataFrame:
                 memo[raw] = word, sketch.holds(word)
             return memo[raw]
 
-        for b in batches:
+        for b in tasks.pieces(batches):
             at, out = [], []
             for i, text in enumerate(b.column(2).to_pylist()):
                 found = [known(x) for x in token.findall(text or "")]
@@ -221,20 +226,55 @@ def greedy(found: DataFrame) -> DataFrame:
     return lone.select("id", "h", F.explode(taken).alias("t")).select("id", "h", "t.*")
 
 
-def matches(rows: DataFrame, names: DataFrame, max_words: int | None = None) -> DataFrame:
-    """(id, h, start, end, text) of names in (id, h, t) rows; ``max_words`` is by default the longest name's."""
+def _bounds(names: DataFrame, max_words: int | None) -> tuple[bool, int]:
+    """Whether the dictionary can go to every task, and the most words that a name may have (by default the longest's)."""
     size = names.agg(F.count("*").alias("n"), F.sum(F.octet_length("name")).alias("bytes"), F.max("n_words").alias("words")).first()
-    most = max_words or size["words"] or 1
-    if size["n"] <= BROADCAST_NAMES and (size["bytes"] or 0) <= BROADCAST_BYTES:
-        return _broadcast_matches(rows, names, most).select("id", "h", "start", "end", "text")
+    return size["n"] <= BROADCAST_NAMES and (size["bytes"] or 0) <= BROADCAST_BYTES, max_words or size["words"] or 1
+
+
+def matches(rows: DataFrame, names: DataFrame, max_words: int | None = None, window: int = 0) -> DataFrame:
+    """(id, h, start, end, text, pre, post) of names in (id, h, t) rows, with ``window`` characters before and after; ``max_words`` is by default the longest name's."""
+    few, most = _bounds(names, max_words)
+    if few:
+        return _broadcast_matches(rows, names, most, window)
     taken = greedy(candidates(rows, names, most))
-    return taken.join(rows.distinct(), ["id", "h"]).select("id", "h", "start", "end", F.substring("t", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
+    pre, post = around(F.col("t"), F.col("start"), F.col("end"), window)
+    text = F.substring("t", F.col("start") + 1, F.col("end") - F.col("start"))
+    return taken.join(rows.distinct(), ["id", "h"]).select("id", "h", "start", "end", text.alias("text"), pre.alias("pre"), post.alias("post"))
+
 
+def detect(docs: DataFrame, names: DataFrame, max_words: int | None = None, id_col: str = "doc_id", text_col: str = "text", window: int | None = None) -> DataFrame:
+    """PERSON spans (id, h, type, text, start, end, score, source); the text is the original's slice.
 
-def detect(docs: DataFrame, names: DataFrame, max_words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """PERSON spans (id, h, type, text, start, end, score, source); the text is the original's slice."""
-    found = matches(keyed(docs, id_col, text_col), names, max_words)
-    return found.select("id", "h", F.lit("PERSON").alias("type"), "text", "start", "end", F.lit(SCORE).alias("score"), F.lit("dictionary").alias("source"))
+    With ``window`` also pre and post, so many characters before and after, cut where the text is read.
+    """
+    found = matches(keyed(docs, id_col, text_col), names, max_words, window or 0)
+    context = ["pre", "post"] if window else []
+    return found.select("id", "h", F.lit("PERSON").alias("type"), "text", "start", "end", F.lit(SCORE).alias("score"), F.lit("dictionary").alias("source"), *context)
+
+
+def with_first(docs: DataFrame, names: DataFrame, max_words: int | None = None, id_col: str = "doc_id", text_col: str = "text", name: str = "_named") -> DataFrame:
+    """``docs`` and the first name of each text as it stands there (null if it has none); a dictionary that fits a task is looked up in place."""
+    few, most = _bounds(names, max_words)
+    if not few:
+        hits = detect(docs, names, max_words, id_col, text_col)
+        hits = hits.groupBy(F.col("id").alias("_id"), F.col("h").alias("_h")).agg(F.min_by("text", "start").alias(name))
+        return docs.join(hits, docs[id_col].eqNullSafe(hits["_id"]) & (F.xxhash64(docs[text_col]) == hits["_h"]), "left").drop("_id", "_h")
+    shared = _shared(docs, names)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        match = Matcher(shared.value, most)
+        for texts in batches:
+            first = []
+            for at in range(0, len(texts), tasks.PIECE):
+                for t in texts.slice(at, tasks.PIECE).to_pylist():
+                    hit = next(match(t or ""), None)
+                    first.append(t[hit[2] : hit[3]] if hit else None)
+            yield pa.array(first, pa.string())
+        tasks.give_back()
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return docs.withColumn(name, F.arrow_udf("string")(run)(F.col(text_col)))
 
 
 def checksum(paths: list[str]) -> str:

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import tasks
 from ..functions import text as T
 from ..options import DetectOptions, GatewayTest
 
@@ -93,6 +94,7 @@ class AddressSignals:
             find = signals.finder()
             for texts in batches:
                 yield pd.DataFrame([find(t or "") for t in texts], columns=["score", "signals"])
+            tasks.give_back()
 
         run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
         udf = F.pandas_udf("struct<score:int,signals:array<string>>")(run)
@@ -112,8 +114,8 @@ def tests_of(options: DetectOptions) -> tuple[GatewayTest, ...]:
 def decide(docs: DataFrame, options: DetectOptions, named: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` plus trigger (of the first test that hits: digits, name or address; null if none) and trigger_match.
 
-    ``named``: (id, h, text, start) of dictionary hits; without it that test never hits. The match is the first run
-    of digits, the first name as it stands in the text, or the address score and its signals.
+    ``named``: (id, h, text, start) of dictionary hits; without it that test never hits, unless ``docs`` bring the first
+    name as a column _named (dictionary.with_first). The match is the first run of digits, the first name as it stands in the text, or the address score and its signals.
     """
     rows = docs
     tests = [t for t in tests_of(options) if t.enabled]
@@ -125,7 +127,7 @@ def decide(docs: DataFrame, options: DetectOptions, named: DataFrame | None = No
         hits = named.groupBy(F.col("id").alias("_id"), F.col("h").alias("_h")).agg(F.min_by("text", "start").alias("_named"))
         on = rows[id_col].eqNullSafe(hits["_id"]) & (F.xxhash64(rows[text_col]) == hits["_h"])
         rows = rows.join(hits, on, "left").drop("_id", "_h")
-    else:
+    elif "_named" not in docs.columns:
         rows = rows.withColumn("_named", F.lit(None).cast("string"))
     if any(t.name == "address_signals" for t in tests):
         rows = AddressSignals().scored(rows, text_col)

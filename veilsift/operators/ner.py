@@ -8,7 +8,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..options import ENTITY_TYPES, SCORES
@@ -45,9 +45,11 @@ def provider(name: str) -> Provider:
     return _PROVIDERS[name]
 
 
-def detect(docs: DataFrame, models: dict[str, Provider], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def detect(docs: DataFrame, models: dict[str, Provider], id_col: str = "doc_id", text_col: str = "text", more: dict[str, Column] | None = None) -> DataFrame:
     """(id, h, model, seq, type, start, end, score, text); a model that fails on a text yields no span there.
 
+    ``more``: further columns of a span, told by start, end and the whole text t, so that texts need not go along.
+
     A model gets PIECE texts at once, equal ones once; only where that fails it gets them one by one.
     """
     from .regex_detect import keyed
@@ -71,8 +73,8 @@ def detect(docs: DataFrame, models: dict[str, Provider], id_col: str = "doc_id",
     for p in parts[1:]:
         rows = rows.unionByName(p)
     return rows.select(
-        "id", "h", "model", "seq", "s.type", "s.start", "s.end", "s.score", F.substring("t", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("text")
-    )
+        "id", "h", "model", "seq", "s.type", "s.start", "s.end", "s.score", F.substring("t", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("text"), "t"
+    ).select("id", "h", "model", "seq", "type", "start", "end", "score", "text", *[c.alias(k) for k, c in (more or {}).items()])
 
 
 def called(model, name: str, texts: list[str]) -> list[list[tuple]]:

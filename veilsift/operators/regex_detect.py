@@ -8,6 +8,7 @@ and the context rules are column expressions over them.
 
 from __future__ import annotations
 
+import dataclasses
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -17,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import tasks
 from ..functions import text as T
 from ..options import BIRTH_WORDS, NEGATIVE_WORDS, ZIP_WORDS, DetectOptions
 from .keywords import Words
@@ -171,13 +173,13 @@ class Finder:
                 )
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     """(id, h, t): a row is told by its id and a hash of its text, so rows with one id and other texts stay apart."""
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"), *more)
 
 
 def _found(rows: DataFrame, options: DetectOptions) -> DataFrame:
-    """Matches of (id, h, t) rows."""
+    """Matches of (id, h, t, raw_only) rows; where raw_only holds, on the raw text alone."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -188,11 +190,11 @@ def _found(rows: DataFrame, options: DetectOptions) -> DataFrame:
     schema = to_arrow_schema(StructType.fromDDL(ddl))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = Finder(options)
-        for b in batches:
+        finders = {False: Finder(options), True: Finder(dataclasses.replace(options, passes=("raw",)))}
+        for b in tasks.pieces(batches):
             at, out = [], []
-            for i, text in enumerate(b.column(2).to_pylist()):
-                for row in find(text):
+            for i, (text, raw_only) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
+                for row in finders[raw_only](text):
                     at.append(i)
                     out.append(row)
             if out:
@@ -237,13 +239,14 @@ def rules(found: DataFrame, options: DetectOptions) -> DataFrame:
     )
 
 
-def detect(docs: DataFrame, options: DetectOptions, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Spans of all passes, one row each, offsets in the original text (columns of SPAN).
+def detect(docs: DataFrame, options: DetectOptions, id_col: str = "doc_id", text_col: str = "text", raw_only: Column | None = None) -> DataFrame:
+    """Spans of all passes, one row each, offsets in the original text (columns of SPAN); rows for which ``raw_only`` holds get the raw pass alone.
 
     The normalised pass runs on texts that normalisation changes; on others it finds the same spans.
     A null or empty text has no span.
     """
     if not labels(options):
         raise ValueError("no label to detect")
-    rows = keyed(docs, id_col, text_col).where(F.length("t") > 0)
+    only = F.lit(False) if raw_only is None else raw_only
+    rows = keyed(docs, id_col, text_col, only.alias("raw_only")).where(F.length("t") > 0)
     return rules(_found(rows, options), options).withColumn("source", F.lit("regex")).select(*SPAN.split(", "))

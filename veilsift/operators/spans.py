@@ -9,14 +9,14 @@ from ..functions import text as T
 from ..options import RETYPE_ACCOUNT_WORDS, AddressFilter, DetectOptions, Scoring
 
 
-def agreement_boost(spans: DataFrame, scoring: Scoring = Scoring()) -> DataFrame:
-    """Spans (id, model, type, start, end, score, seq) that overlap one of another model and the same type score higher, once.
+def agreement_boost(spans: DataFrame, scoring: Scoring = Scoring(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """Spans (id, model, type, start, end, score, seq) that overlap one of another model and the same type score higher, once; columns ``keep`` stay too.
 
     Spans are taken in the order of ``seq``. A span whose only partners have been boosted already
     stays as it is; so the fold runs over each (id, type) group that overlaps, in its order.
     """
     islands = _islands(spans, ["id", "type"])
-    items = F.sort_array(F.collect_list(F.struct("seq", "model", "start", "end", "score")))
+    items = F.sort_array(F.collect_list(F.struct("seq", "model", "start", "end", "score", *keep)))
     grouped = islands.groupBy("id", "type", "island").agg(items.alias("x"))
     idx = F.sequence(F.lit(0), F.size("x") - 1)
 
@@ -32,7 +32,7 @@ def agreement_boost(spans: DataFrame, scoring: Scoring = Scoring()) -> DataFrame
     hit = F.aggregate(idx, F.array().cast("array<int>"), step)
     out = grouped.withColumn("hit", hit).select("id", "type", "hit", F.posexplode("x").alias("i", "s"))
     score = F.when(F.array_contains("hit", F.col("i")), F.least(F.lit(scoring.max_score), F.col("s.score") + scoring.multi_model_boost)).otherwise(F.col("s.score"))
-    return out.select("id", "s.seq", "s.model", "type", "s.start", "s.end", score.alias("score"))
+    return out.select("id", "s.seq", "s.model", "type", "s.start", "s.end", score.alias("score"), *[f"s.{c}" for c in keep])
 
 
 def _islands(spans: DataFrame, keys: list[str]) -> DataFrame:
