@@ -55,3 +55,20 @@ def test_gateway_keeps_rows_that_are_repeated_or_have_no_id(spark):
     got = sorted((str(r["id"]), r["text"], r["start"], r["trigger"], r["trigger_match"]) for r in plan.detect_with_gateway(docs, options, names).collect())
     mails = [("1", "a@ex.org", 5, None, None)] * 2 + [("1", "a@ex.org", 17, None, None)] * 2
     assert got == sorted([*mails, ("None", "b@ex.org", 5, None, None), ("None", "Anna", 0, "name", "Anna"), ("None", "c@ex.org", 11, "name", "Anna"), ("2", "Anna", 0, "name", "Anna")], key=lambda x: (x[0], x[1], x[2]))
+
+
+def test_the_gateway_tests_run_once_a_branch(spark):
+    """A filter on the trigger does not run Python functions again: two of them a branch of patterns and one of names."""
+    plan = _plan(rule_queries.queries()["sentence_gateway"](spark, D))
+    assert plan.count("EvalPython [") == 4
+
+
+def test_first_name_of_a_text(monkeypatch):
+    from veilsift.operators import dictionary
+
+    match = dictionary.Matcher(frozenset({"anna", "anna li po", "bo"}), 3)
+    for head in (1, 2, 3, 128):
+        monkeypatch.setattr(dictionary, "HEAD", head)
+        for text in ("", "none", "a b c Anna Li Po", "Anna Li x", "x Bo", "x y z Bo Anna", "ANNA", "Li Po Anna li, po"):
+            hit = next(match(text), None)
+            assert match.first_place(text) == (hit and hit[2:]), (head, text)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,8 @@ BROADCAST_NAMES, BROADCAST_BYTES = 2_000_000, 64 << 20
 #: Bits of the sketch of first words: so many a word, and blocks of 64 in all at most (8 MB), beyond which it denies less.
 WORD_BITS, MOST_BLOCKS = 16, 1 << 20
 SCORE = 0.85
+#: Tokens that are looked at before a text is read whole for its first name.
+HEAD = 128
 #: Normalised tokens that a task remembers.
 MEMO_TOKENS = 200_000
 
@@ -75,6 +78,7 @@ class Matcher:
             words = name.split(" ")
             if len(words) <= max_words:
                 self.first[words[0]] = max(self.first.get(words[0], 0), len(words))
+        self.most = max(self.first.values(), default=1)
         self.memo: dict[str, str] = {}
 
     def _norm(self, token: str) -> str:
@@ -85,6 +89,17 @@ class Matcher:
             known = self.memo[token] = T.normalized_name(token)
         return known
 
+    def first_place(self, text: str) -> tuple[int, int] | None:
+        """(start, end) of the first name; a text that has one early is not read further."""
+        head = list(islice(self.TOKEN.finditer(text), HEAD + self.most - 1))
+        words = [self._norm(m[0]) for m in head]
+        for i, w in enumerate(words[:HEAD]):
+            for n in range(min(self.first.get(w, 0), len(words) - i), 0, -1):
+                if " ".join(words[i : i + n]) in self.names:
+                    return head[i].start(), head[i + n - 1].end()
+        hit = next(self(text), None) if len(head) > HEAD else None
+        return hit and hit[2:]
+
     def __call__(self, text: str) -> Iterator[tuple[int, int, int, int]]:
         """(position, words, start, end) of names, the longest at each place, none within another."""
         memo, norm, first = self.memo, self._norm, self.first
@@ -254,7 +269,10 @@ def detect(docs: DataFrame, names: DataFrame, max_words: int | None = None, id_c
 
 
 def with_first(docs: DataFrame, names: DataFrame, max_words: int | None = None, id_col: str = "doc_id", text_col: str = "text", name: str = "_named") -> DataFrame:
-    """``docs`` and the first name of each text as it stands there (null if it has none); a dictionary that fits a task is looked up in place."""
+    """``docs`` and the first name of each text as it stands there (null if it has none); a dictionary that fits a task is looked up in place.
+
+    The function is called nondeterministic, so that no filter on what it gives runs it a second time.
+    """
     few, most = _bounds(names, max_words)
     if not few:
         hits = detect(docs, names, max_words, id_col, text_col)
@@ -268,13 +286,13 @@ def with_first(docs: DataFrame, names: DataFrame, max_words: int | None = None,
             first = []
             for at in range(0, len(texts), tasks.PIECE):
                 for t in texts.slice(at, tasks.PIECE).to_pylist():
-                    hit = next(match(t or ""), None)
-                    first.append(t[hit[2] : hit[3]] if hit else None)
+                    hit = match.first_place(t or "")
+                    first.append(t[hit[0] : hit[1]] if hit else None)
             yield pa.array(first, pa.string())
         tasks.give_back()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return docs.withColumn(name, F.arrow_udf("string")(run)(F.col(text_col)))
+    return docs.withColumn(name, F.arrow_udf("string")(run).asNondeterministic()(F.col(text_col)))
 
 
 def checksum(paths: list[str]) -> str:

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tasks
@@ -86,8 +86,8 @@ class AddressSignals:
 
         return run
 
-    def scored(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
-        """``docs`` plus address_score and address_signals; a null text has none."""
+    def scored(self, docs: DataFrame, text_col: str = "text", where: Column | None = None) -> DataFrame:
+        """``docs`` plus address_score and address_signals; a null text has none, nor one for which ``where`` doesn't hold."""
         signals = self
 
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -97,8 +97,9 @@ class AddressSignals:
             tasks.give_back()
 
         run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-        udf = F.pandas_udf("struct<score:int,signals:array<string>>")(run)
-        rows = docs.withColumn("_address", udf(F.col(text_col)))
+        udf = F.pandas_udf("struct<score:int,signals:array<string>>")(run).asNondeterministic()  # no filter on it runs it again
+        text = F.col(text_col) if where is None else F.when(where, F.col(text_col))
+        rows = docs.withColumn("_address", udf(text))
         return rows.withColumns({"address_score": F.col("_address.score"), "address_signals": F.col("_address.signals")}).drop("_address")
 
 
@@ -129,17 +130,21 @@ def decide(docs: DataFrame, options: DetectOptions, named: DataFrame | None = No
         rows = rows.join(hits, on, "left").drop("_id", "_h")
     elif "_named" not in docs.columns:
         rows = rows.withColumn("_named", F.lit(None).cast("string"))
-    if any(t.name == "address_signals" for t in tests):
-        rows = AddressSignals().scored(rows, text_col)
     trigger, match = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for test in reversed(tests):
+    # tests in order; a row that one has stopped is not looked at by those after it
+    rows = rows.withColumns({"_trigger": trigger, "_match": match})
+    for test in tests:
+        still = F.col("_trigger").isNull()
         if test.name == "consecutive_digits":
             least = test.threshold or 5
             hit, what = T.has_consecutive_digits(text, least), F.try_element_at(T.find_consecutive_digits(text, least), F.lit(1))
         elif test.name == "name_dictionary":
             hit, what = F.col("_named").isNotNull(), F.col("_named")
         else:
+            rows = AddressSignals().scored(rows, text_col, still)
             hit = F.col("address_score") >= (test.threshold or 4)
             what = F.concat(F.lit("address_signals("), F.col("address_score").cast("string"), F.lit("): "), F.array_join("address_signals", ","))
-        trigger, match = F.when(hit, F.lit(TRIGGERS[test.name])).otherwise(trigger), F.when(hit, what).otherwise(match)
-    return rows.withColumn("trigger", trigger).withColumn("trigger_match", match).drop("_named", "address_score", "address_signals")
+        rows = rows.withColumn("_hit", still & F.coalesce(hit, F.lit(False)))
+        rows = rows.withColumns({"_trigger": F.when(F.col("_hit"), F.lit(TRIGGERS[test.name])).otherwise(F.col("_trigger")), "_match": F.when(F.col("_hit"), what).otherwise(F.col("_match"))})
+        rows = rows.drop("address_score", "address_signals")
+    return rows.withColumnsRenamed({"_trigger": "trigger", "_match": "trigger_match"}).drop("_named", "_hit")
