@@ -72,3 +72,23 @@ def test_first_name_of_a_text(monkeypatch):
         for text in ("", "none", "a b c Anna Li Po", "Anna Li x", "x Bo", "x y z Bo Anna", "ANNA", "Li Po Anna li, po"):
             hit = next(match(text), None)
             assert match.first_place(text) == (hit and hit[2:]), (head, text)
+
+
+def test_exact_matching_writes_nothing_and_equals_the_greedy_order(spark, monkeypatch):
+    import random
+
+    from veilsift.operators import evaluate
+
+    rng = random.Random(5)
+    spans = lambda n: [(str(rng.randrange(4)), i, rng.choice(["SSN", "EMAIL", "ADDRESS"]), s := rng.randrange(4), s + rng.randrange(3)) for i in range(n)]
+    gold, pred = spans(60), spans(50)
+    want = set()
+    for g in gold:
+        for p in pred:
+            if (g[0], *g[2:]) == (p[0], *p[2:]) and not any(w[:2] == (g[0], g[2]) and (w[2] == g[1] or w[3] == p[1]) for w in want):
+                want.add((g[0], g[2], g[1], p[1]))
+                break
+    monkeypatch.setattr(evaluate.shared, "cut", lambda df: pytest.fail("written"))
+    frames = (spark.createDataFrame(x, "id string, idx int, type string, start int, end int") for x in (gold, pred))
+    got = [tuple(r)[:4] for r in evaluate.match(*frames, "exact").collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 10

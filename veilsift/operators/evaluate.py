@@ -100,7 +100,10 @@ def match(gold: DataFrame, pred: DataFrame, setting: str = "hybrid", least: int
     A candidate that is the best of its gold span and of its prediction is what the greedy order takes before
     any other of the two, so all such are taken at once, what they touch goes, and the rest is looked at again.
     Afterwards an ADDRESS prediction of at most 120 characters takes further unmatched gold spans around its own.
+    Where all types are exact, only spans of equal places meet, and the greedy order pairs the n-th gold span of a place with its n-th prediction.
     """
+    if setting == "exact":
+        return _exact(gold, pred)
     rank = F.struct(
         (-F.col("overlap")).alias("a"), (F.col("g.start") - F.col("g.end")).alias("b"), F.col("g.start").alias("c"),
         F.col("g.idx").alias("g"), F.col("p.idx").alias("p"),
@@ -109,11 +112,24 @@ def match(gold: DataFrame, pred: DataFrame, setting: str = "hybrid", least: int
     cands = shared.cut(cands)
     ones = _mutual(cands.select("id", "type", F.col("g.idx").alias("g_idx"), F.col("p.idx").alias("p_idx"), "rank"))
     out = ones.select("id", "type", F.col("g_idx").cast("int").alias("g_idx"), F.col("p_idx").cast("int").alias("p_idx"), F.lit(True).alias("primary"))
-    if not group_addresses or setting == "exact":
+    if not group_addresses:
         return out
     return out.unionByName(_grouped(cands, ones))
 
 
+def _exact(gold: DataFrame, pred: DataFrame) -> DataFrame:
+    """Matches of spans that are equal in id, type, start and end, the n-th by idx of either side: one exchange of each, nothing written.
+
+    ``idx`` tells the spans of an id and type apart, as everywhere here.
+    """
+    place = ["id", "type", "start", "end"]
+    sides = [rows.select(*place, F.lit(k).alias("_side"), F.col("idx").cast("int").alias("idx")) for k, rows in enumerate((gold, pred))]
+    both = sides[0].unionByName(sides[1]).where(" AND ".join(f"`{c}` IS NOT NULL" for c in place)).repartition(*place)
+    both = both.withColumn("_n", F.row_number().over(Window.partitionBy(*place, "_side").orderBy("idx")))
+    each = both.groupBy(*place, "_n").agg(*[F.max(F.when(F.col("_side") == k, F.col("idx"))).alias(c) for k, c in enumerate(("g_idx", "p_idx"))])
+    return each.where("g_idx IS NOT NULL AND p_idx IS NOT NULL").select("id", "type", "g_idx", "p_idx", F.lit(True).alias("primary"))
+
+
 def _mutual(cands: DataFrame) -> DataFrame:
     """The greedy one-to-one choice of (id, type, g_idx, p_idx, rank), smallest rank first, ``cands`` being dealt by id and type.
 
