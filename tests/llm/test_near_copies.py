@@ -65,6 +65,31 @@ def _found(got, met):
         assert root == i - i % 2 or (root == i and i - i % 2 not in met)
 
 
+def test_the_count_of_shared_positions_loses_no_near_pair(monkeypatch):
+    rng = np.random.default_rng(4)
+    most = near_copies.allowed_bits(0.8, near_copies.DEVIATIONS)
+    p = rng.integers(0, 2**63, near_copies.WORDS, dtype=np.uint64)
+    rows = []
+    for k in range(400):  # near ones have their bits spread over as many positions as can be
+        bits = np.unpackbits(p.view(np.uint8))
+        at = rng.permutation(128)[: 60 + k % 60] * 4 if k < 200 else rng.permutation(512)[:256]
+        bits[at] ^= 1
+        rows.append(np.packbits(bits).view(np.uint64))
+    fp = np.stack(rows)
+    true = np.array([sum((int(x) ^ int(y)).bit_count() for x, y in zip(r, p, strict=True)) for r in fp])
+    shared = [sum(f"{int(x):016x}"[i] == f"{int(y):016x}"[i] for x, y in zip(r, p, strict=True) for i in range(16)) for r in fp]
+    assert near_copies.shared_positions(fp, p).tolist() == shared
+    kept = near_copies.retained(fp, p, most)
+    assert set(np.flatnonzero(true <= most)) <= set(kept) and min(shared[i] for i in kept) == 128 - most
+    assert len(kept) < 230  # of those 200 at random next to none
+    looked = []
+    count = np.bitwise_count
+    monkeypatch.setattr(near_copies.np, "bitwise_count", lambda x: looked.append(len(x)) or count(x))
+    d = near_copies._distances(fp, p, most)
+    assert looked == [400, len(kept)]  # bits are counted of what the count retains
+    assert (d[kept] == true[kept]).all() and (np.delete(d, kept) == near_copies.FAR).all()
+
+
 def test_families_block_by_block():
     ids, sets = list(range(9)), [near_copies.shingle_hashes(" ".join(_words(0, 60) + _words(k // 3 + 1, 8) + [f"e{k}"])) for k in range(9)]
     fp = np.stack([np.frombuffer(near_copies.fingerprint_of(x), np.uint64) for x in sets])
