@@ -92,3 +92,46 @@ def test_exact_matching_writes_nothing_and_equals_the_greedy_order(spark, monkey
     frames = (spark.createDataFrame(x, "id string, idx int, type string, start int, end int") for x in (gold, pred))
     got = [tuple(r)[:4] for r in evaluate.match(*frames, "exact").collect()]
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 10
+
+
+def test_detection_merges_by_windows(spark):
+    plan = _plan(rule_queries.queries()["sentence_entities_constants"](spark, D))
+    assert "Aggregate" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_merged_spans_equal_a_plain_fold(spark):
+    import random
+
+    from veilsift.operators import spans
+
+    rng = random.Random(3)
+    rows = []
+    for n in range(400):
+        start = rng.randrange(40)
+        rows.append((rng.choice(["a", "b", None]), n, rng.choice("XY"), f"t{n}", start, start + rng.randrange(1, 6), rng.randrange(9) / 8, [rng.choice("pqr")], rng.choice(["  ", " x"])))
+    df = spark.createDataFrame(rows, "id string, seq int, type string, text string, start int, end int, score double, sources array<string>, pre string")
+    union = lambda a, b: a + [x for x in b if x not in a]
+    want = []
+    for doc in ("a", "b", None):
+        last = None
+        for _, seq, kind, text, start, end, score, sources, pre in sorted((r for r in rows if r[0] == doc), key=lambda r: (r[4], r[1])):
+            gap = start - last[5] if last else 0
+            if last and last[2] == kind and gap <= 2 and (gap <= 0 or not pre[-gap:].strip()):
+                last[5:] = [end, max(last[6], score), union(last[7], sources)]
+            else:
+                want.append(last := [doc, seq, kind, text, start, end, score, sources])
+    key = lambda r: (str(r[0]), *r[1:7])
+    adjacent = [[r[c] for c in ("id", "seq", "type", "text", "start", "end", "score", "sources")] for r in spans.merge_adjacent(df, 2).collect()]
+    assert sorted(adjacent, key=key) == sorted(want, key=key)
+    want = []
+    for doc in ("a", "b", None):
+        for kind in "XY":
+            last = None
+            for _, _, _, text, start, end, score, sources, _ in sorted((r for r in rows if r[0] == doc and r[2] == kind), key=lambda r: (r[4], r[5], r[1])):
+                if last and start < last[4]:
+                    last[4:] = [max(last[4], end), max(last[5], score), union(last[6], sources)]
+                else:
+                    want.append(last := [doc, kind, text, start, end, score, sources])
+    merged = [[r[c] for c in ("id", "type", "text", "start", "end", "score", "sources")] for r in spans.merge_overlapping(df).collect()]
+    key = lambda r: (str(r[0]), *r[1:6])
+    assert sorted(merged, key=key) == sorted(want, key=key)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import reduce
-from itertools import islice
+from itertools import accumulate, islice
 
 import numpy as np
 import pandas as pd
@@ -70,6 +70,7 @@ class Matcher:
     """Greedy matching of normalised names in a text."""
 
     TOKEN = re.compile(T.TOKEN)
+    PARTS = re.compile(f"({T.TOKEN})")
 
     def __init__(self, names, max_words: int):
         self.names = names
@@ -103,19 +104,21 @@ class Matcher:
     def __call__(self, text: str) -> Iterator[tuple[int, int, int, int]]:
         """(position, words, start, end) of names, the longest at each place, none within another."""
         memo, norm, first = self.memo, self._norm, self.first
-        words = [memo[t] if t in memo else norm(t) for t in self.TOKEN.findall(text)]
+        # what lies between tokens and the tokens themselves, in turn: their lengths tell places without a second scan
+        parts = self.PARTS.split(text)
+        words = [memo[t] if t in memo else norm(t) for t in parts[1::2]]
         places = [i for i, w in enumerate(words) if w in first]
         if not places:
             return
-        found, free = None, 0
+        ends, free = None, 0
         for i in places:
             if i < free:
                 continue
             most = min(first[words[i]], len(words) - i)
             n = next((n for n in range(most, 0, -1) if " ".join(words[i : i + n]) in self.names), 0)
             if n:
-                found = found or [m.span() for m in self.TOKEN.finditer(text)]
-                yield i, n, found[i][0], found[i + n - 1][1]
+                ends = ends or list(accumulate(map(len, parts)))
+                yield i, n, ends[2 * i], ends[2 * (i + n) - 1]
                 free = i + n
 
 

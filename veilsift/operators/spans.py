@@ -37,11 +37,16 @@ def agreement_boost(spans: DataFrame, scoring: Scoring = Scoring(), keep: tuple[
 
 def _islands(spans: DataFrame, keys: list[str]) -> DataFrame:
     """Numbers runs of overlapping spans within the keys."""
+    return _numbered(spans, keys).drop("new")
+
+
+def _numbered(spans: DataFrame, keys: list[str]) -> DataFrame:
+    """``spans`` with the number of their run of overlapping ones, ``island``, and whether they begin it, ``new``."""
     order = Window.partitionBy(*keys).orderBy("start", "end", "seq")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     return spans.withColumn("new", (F.col("start") >= F.coalesce(reach, F.lit(-1))).cast("int")).withColumn(
         "island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ).drop("new")
+    )
 
 
 def trim(spans: DataFrame, text: Column) -> DataFrame:
@@ -113,31 +118,33 @@ def disambiguate(spans: DataFrame, options: DetectOptions) -> DataFrame:
     return rows.select(*[c for c in rows.columns if c not in ("type", "score")], kind.alias("type"), score.alias("score"))
 
 
-def merge_adjacent(spans: DataFrame, max_gap: int = 2) -> DataFrame:
+def merge_adjacent(spans: DataFrame, max_gap: int = 2, keys: tuple[str, ...] = ("id",)) -> DataFrame:
     """Joins a span to the one just before it (by start) if types agree and at most ``max_gap`` white space lies between.
 
     Columns id, seq, type, text, start, end, score, sources and ``pre``, the text before a span. The
-    end is the last one's, the text the first's.
+    end is the last one's, the text the first's. Spans of a document agree in ``keys``.
     """
-    order = Window.partitionBy("id").orderBy("start", "seq")
+    order = Window.partitionBy(*keys).orderBy("start", "seq")
     near = F.col("start") - F.lag("end").over(order)
     blank = F.right(F.col("pre"), near).rlike(f"{T.FLAGS}\\A{T.SPACE}*\\z")
     joined = (F.lag("type").over(order) == F.col("type")) & (near <= max_gap) & ((near <= 0) | blank)
     rows = spans.withColumn("new", (~F.coalesce(joined, F.lit(False))).cast("int"))
     rows = rows.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    place = F.struct("start", "seq")
-    return rows.groupBy("id", "island").agg(
-        F.min_by("seq", place).alias("seq"), F.min_by("type", place).alias("type"), F.min_by("text", place).alias("text"),
-        F.min("start").alias("start"), F.max_by("end", place).alias("end"), F.max("score").alias("score"),
-        F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("start", "seq", "sources"))), lambda x: x["sources"]))).alias("sources"),
-    ).drop("island")
-
-
-def merge_overlapping(spans: DataFrame) -> DataFrame:
-    """Joins overlapping spans of one type (touching is no overlap): largest end and score, all sources."""
-    rows = _islands(spans, ["id", "type"])
-    place = F.struct("start", "end", "seq")
-    return rows.groupBy("id", "type", "island").agg(
-        F.min_by("text", place).alias("text"), F.min("start").alias("start"), F.max("end").alias("end"), F.max("score").alias("score"),
-        F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("start", "end", "seq", "sources"))), lambda x: x["sources"]))).alias("sources"),
-    ).drop("island")
+    return _joined(rows, [*keys, "island"], ["start", "seq"], F.last).select(*keys, "seq", "type", "text", "start", "end", "score", "sources")
+
+
+def merge_overlapping(spans: DataFrame, keys: tuple[str, ...] = ("id",)) -> DataFrame:
+    """Joins overlapping spans of one type (touching is no overlap): largest end and score, all sources. Spans of a document agree in ``keys``."""
+    rows = _numbered(spans, [*keys, "type"])
+    return _joined(rows, [*keys, "type", "island"], ["start", "end", "seq"], F.max).select(*keys, "type", "text", "start", "end", "score", "sources")
+
+
+def _joined(rows: DataFrame, island: list[str], place: list[str], end) -> DataFrame:
+    """The first row of each island (``new`` is 1), with ``end`` over the ends, the largest score and all sources in their order.
+
+    By windows, which take the rows as they are sorted and hold one island; an aggregate of lists keeps an object a
+    group and sorts all rows again on both of its sides.
+    """
+    whole = Window.partitionBy(*island).orderBy(*place).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumns({"end": end("end").over(whole), "score": F.max("score").over(whole), "sources": F.collect_list("sources").over(whole)})
+    return rows.where("new = 1").withColumn("sources", F.array_distinct(F.flatten("sources")))

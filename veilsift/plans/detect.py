@@ -14,6 +14,8 @@ from ..options import DETECTORS, DetectOptions
 
 LOG = logging.getLogger(__name__)
 OUT = ["id", "type", "text", "start", "end", "score", "sources"]
+#: White space that may lie between adjacent spans.
+GAP = 2
 
 
 def detectors(
@@ -87,10 +89,12 @@ def finish(found: DataFrame, options: DetectOptions, apart: Column | None = None
     rank = F.struct((F.col("pass") != "raw").alias("p"), detector.alias("d"), F.col("seq"))
     # a span that is merged with none is alone under its key
     lone = [] if apart is None else [F.when(apart, F.monotonically_increasing_id()).alias("lone")]
-    key = F.struct("id", "h", *lone).alias("id")
-    kept = kept.select(key, rank.alias("seq"), "type", "text", "start", "end", "score", F.array("source").alias("sources"), "pre")
-    merged = spans.merge_overlapping(spans.merge_adjacent(kept, 2))
-    out = merged.select("id.id", *OUT[1:], "id.h")
+    # the hash comes first: a sort by a number compares few rows in full
+    keys = ("h", "id", *(["lone"] if lone else []))
+    pre = F.right("pre", F.lit(GAP)).alias("pre")
+    kept = kept.select("id", "h", *lone, rank.alias("seq"), "type", "text", "start", "end", "score", F.array("source").alias("sources"), pre)
+    merged = spans.merge_overlapping(spans.merge_adjacent(kept, GAP, keys), keys)
+    out = merged.select(*OUT, "h")
     return out.where(F.col("type").isin(*options.entity_types)) if options.entity_types else out
 
 
