@@ -94,6 +94,19 @@ def test_exact_matching_writes_nothing_and_equals_the_greedy_order(spark, monkey
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 10
 
 
+def test_spans_are_merged_as_they_lie(spark, monkeypatch):
+    """One exchange by the document from the rows to the merged spans, in parts that grow in number; no list is aggregated, which sorts all rows again."""
+    from veilsift import queries
+    from veilsift.sources import readers
+
+    for name in ("merge_overlapping", "merge_adjacent"):
+        plan = _plan(queries.queries()[name](spark, D))
+        assert plan.count("Exchange hashpartitioning") == 1 and "Aggregate" not in plan, name
+    monkeypatch.setattr(readers, "ROWS_A_TASK", 500)
+    lines = spark.read.parquet(f"{D}/lineitem.parquet").count()
+    assert queries.queries()["merge_overlapping"](spark, D).rdd.getNumPartitions() == -(-lines // 500) > 4
+
+
 def test_detection_merges_by_windows(spark):
     plan = _plan(rule_queries.queries()["sentence_entities_constants"](spark, D))
     assert "Aggregate" not in plan and plan.count("Exchange hashpartitioning") == 1

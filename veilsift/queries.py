@@ -27,13 +27,15 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 def _spans(spark, d, shift: int = 0, step: int = 1) -> DataFrame:
     """(id, idx, seq, type, start, end, score, text) from lineitem; ``shift`` moves ends, ``step`` thins."""
-    x = _t(spark, d, "lineitem").where(F.col("l_linenumber") % step == 0)
+    x = _t(spark, d, "lineitem")
+    # the count is read from the files' footers; each order's lines lie in one part from here to the merges
+    x = readers.by_key(x.where(F.col("l_linenumber") % step == 0).withColumn("id", F.col("l_orderkey").cast("string")), x.count(), "id")
     start = (F.col("l_partkey") % 97 * 3 + F.when(F.lit(shift > 0), F.col("l_suppkey") % 3).otherwise(0)).cast("int")
     kind = F.when(F.col("l_returnflag") == "A", "SSN").when(F.col("l_returnflag") == "N", "PERSON").otherwise("EMAIL")
-    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    order = Window.partitionBy("id").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     n = F.row_number().over(order).cast("int")
     return x.select(
-        F.col("l_orderkey").cast("string").alias("id"), n.alias("idx"), n.alias("seq"),
+        "id", n.alias("idx"), n.alias("seq"),
         kind.alias("type"), start.alias("start"), (start + 4 + (F.col("l_quantity").cast("int") % 9)).cast("int").alias("end"),
         F.lit(0.5).alias("score"), F.concat(F.lit("w"), F.col("l_linenumber").cast("string")).alias("text"),
     )

@@ -18,6 +18,8 @@ INDEX = (
 BROADCAST_SPLITS = 50_000
 #: Keys in a task, where rows are made from keys.
 KEYS_A_TASK = 8192
+#: Rows in a task, where rows of one key are sorted and merged together.
+ROWS_A_TASK = 200_000
 
 
 def table(spark: SparkSession, path: str) -> DataFrame:
@@ -50,6 +52,16 @@ def dealt(keys: DataFrame, most: int | None = None) -> DataFrame:
     return keys.repartition(max(keys.sparkSession.sparkContext.defaultParallelism, parts))
 
 
+def by_key(rows: DataFrame, count: int, *keys: str, most: int | None = None) -> DataFrame:
+    """``rows`` by ``keys`` in parts of about ``most`` rows; there are ``count`` of them at most.
+
+    For steps that sort: what a task holds stays the same however many rows there are, while a fixed number of parts
+    grows with them. Windows and groups over these keys and more take the rows as they lie.
+    """
+    parts = -(-count // (most or ROWS_A_TASK))
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, parts), *keys)
+
+
 def text_files(spark: SparkSession, path: str, glob: str = "*.txt", max_chars: int | None = None) -> DataFrame:
     """(path, text) of all files below a folder, each as one text, cut at ``max_chars`` where given."""
     rows = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
