@@ -148,3 +148,65 @@ def test_merged_spans_equal_a_plain_fold(spark):
     merged = [[r[c] for c in ("id", "type", "text", "start", "end", "score", "sources")] for r in spans.merge_overlapping(df).collect()]
     key = lambda r: (str(r[0]), *r[1:6])
     assert sorted(merged, key=key) == sorted(want, key=key)
+
+
+def _runs_on(texts, run_of, columns="id long, h long, t string"):
+    """What a task's function gives of one batch of ``texts``, made by ``run_of`` of a frame that only keeps it."""
+    import pyarrow as pa
+    from pyspark.sql.types import StructType
+
+    n = len(texts)
+    more = [pa.array([False] * n)] if "raw_only" in columns else []
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()), pa.array(texts), *more], columns.replace(" ", ",").split(",")[::3])
+
+    class Rows:
+        schema = StructType.fromDDL(columns)
+
+        def mapInArrow(self, run, ddl):
+            return run(iter([batch]))
+
+    return run_of(Rows())
+
+
+@pytest.mark.parametrize("detector", ["regex", "dict"])
+def test_a_task_holds_few_results_of_long_texts(spark, monkeypatch, detector):
+    """30 texts in one batch, of 2,000 spans each: as Python objects all of them are over 20 MB."""
+    import gc
+    import tracemalloc
+    from types import SimpleNamespace
+
+    from veilsift.functions import tasks
+    from veilsift.operators import dictionary, regex_detect
+    from veilsift.options import profile
+
+    alive = []
+    monkeypatch.setattr(tasks, "give_back", lambda: alive.append(sum(type(o) in (dictionary.Matcher, regex_detect.Finder) for o in gc.get_objects())))
+    monkeypatch.setattr(dictionary, "_shared", lambda rows, names: SimpleNamespace(value=frozenset(["ann"])))
+    if detector == "regex":
+        found = _runs_on(["mail ann@ex.org " * 2000] * 30, lambda rows: regex_detect._found(rows, profile("constants")), "id long, h long, t string, raw_only boolean")
+    else:
+        found = _runs_on(["with Ann at home " * 2000] * 30, lambda rows: dictionary._broadcast_matches(rows, None, 1, 40))
+    tracemalloc.start()
+    sizes, places = [], []
+    for b in found:
+        sizes.append(b.num_rows)
+        places.append((b.column("id")[0].as_py(), b.column("start")[0].as_py()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) == 60_000 and max(sizes) <= 4096 and places == sorted(places)
+    assert peak < 12e6
+    del b, found
+    assert alive[-1] == 0  # nothing that the task remembered is held when memory is given back
+
+
+def test_pieces_are_bounded_by_rows_and_bytes(monkeypatch):
+    import pyarrow as pa
+
+    from veilsift.functions import tasks
+
+    monkeypatch.setattr(tasks, "PIECE", 4)
+    monkeypatch.setattr(tasks, "PIECE_BYTES", 10)
+    texts = pa.array(["a" * 30, None, "bb", "é" * 4, "c" * 10, "d" * 11, "", *"efghi"])
+    assert list(tasks.cuts(texts)) == [(0, 1), (1, 3), (4, 1), (5, 1), (6, 4), (10, 2)]
+    assert list(tasks.cuts(texts.slice(4))) == [(0, 1), (1, 1), (2, 4), (6, 2)]
+    assert list(tasks.cuts(pa.array([], pa.string()))) == []

@@ -17,6 +17,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions import tasks
 from ..functions import text as T
@@ -87,7 +89,8 @@ class Matcher:
         if known is None:
             if len(self.memo) > MEMO_TOKENS:
                 self.memo.clear()
-            known = self.memo[token] = T.normalized_name(token)
+            known = T.normalized_name(token)
+            known = self.memo[token] = token if known == token else known  # one string for most
         return known
 
     def first_place(self, text: str) -> tuple[int, int] | None:
@@ -131,20 +134,19 @@ def _broadcast_matches(rows: DataFrame, names: DataFrame, max_words: int, window
     """(id, h, start, end, text, pre, post) of (id, h, t) rows by a dictionary that goes to every task."""
     shared = _shared(rows, names)
     kind = rows.schema["id"].dataType.simpleString()
+    ddl = f"id {kind}, h long, start int, end int, text string, pre string, post string"
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match = Matcher(shared.value, max_words)
-        for b in tasks.pieces(batches):
-            at, out = [], []
-            for i, text in enumerate(b.column(2).to_pylist()):
-                for _, _, start, end in match(text or ""):
-                    at.append(i)
-                    out.append((start, end, text[start:end], text[max(0, start - window) : start], text[end : end + window]))
-            if out:
-                columns = [pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), [pa.int32()] * 2 + [pa.string()] * 3, strict=True)]
-                yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(at)) for i in (0, 1)), *columns], ["id", "h", "start", "end", "text", "pre", "post"])
 
-    return rows.mapInArrow(run, f"id {kind}, h long, start int, end int, text string, pre string, post string")
+        def found(text: str | None) -> Iterator[tuple]:
+            for _, _, start, end in match(text or ""):
+                yield start, end, text[start:end], text[max(0, start - window) : start], text[end : end + window]
+
+        return tasks.results(batches, found, schema)
+
+    return rows.mapInArrow(run, ddl)
 
 
 class FirstWords:
@@ -184,6 +186,8 @@ def candidates(rows: DataFrame, names: DataFrame, max_words: int) -> DataFrame:
     begin = names.where(F.col("n_words") <= max_words).groupBy(F.substring_index("name", " ", 1).alias("word")).agg(F.max("n_words").alias("most"))
     sent = rows.sparkSession.sparkContext.broadcast(FirstWords.of(begin, "word").blocks)
     kind = rows.schema["id"].dataType.simpleString()
+    ddl = f"id {kind}, h long, pos int, start int, words array<string>, ends array<int>"
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, token, memo = FirstWords(sent.value), re.compile(T.TOKEN), {}
@@ -196,23 +200,18 @@ def candidates(rows: DataFrame, names: DataFrame, max_words: int) -> DataFrame:
                 memo[raw] = word, sketch.holds(word)
             return memo[raw]
 
-        for b in tasks.pieces(batches):
-            at, out = [], []
-            for i, text in enumerate(b.column(2).to_pylist()):
-                found = [known(x) for x in token.findall(text or "")]
-                if not any(hit for _, hit in found):
-                    continue
-                spans = [m.span() for m in token.finditer(text)]
-                for pos, (_, hit) in enumerate(found):
-                    if hit:
-                        at.append(i)
-                        out.append((pos, spans[pos][0], [w for w, _ in found[pos : pos + max_words]], [e for _, e in spans[pos : pos + max_words]]))
-            if out:
-                types = [pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32())]
-                columns = [pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(at)) for i in (0, 1)), *columns], ["id", "h", "pos", "start", "words", "ends"])
-
-    each = rows.select("id", "h", "t").mapInArrow(run, f"id {kind}, h long, pos int, start int, words array<string>, ends array<int>")
+        def grams(text: str | None) -> Iterator[tuple]:
+            found = [known(x) for x in token.findall(text or "")]
+            if not any(hit for _, hit in found):
+                return
+            spans = [m.span() for m in token.finditer(text)]
+            for pos, (_, hit) in enumerate(found):
+                if hit:
+                    yield pos, spans[pos][0], [w for w, _ in found[pos : pos + max_words]], [e for _, e in spans[pos : pos + max_words]]
+
+        return tasks.results(batches, grams, schema)
+
+    each = rows.select("id", "h", "t").mapInArrow(run, ddl)
     each = each.withColumn("word", F.col("words")[0]).join(begin, "word")
     grams = each.select("id", "h", "pos", "start", "words", "ends", F.explode(F.sequence(F.lit(1), F.least("most", F.size("words")))).alias("n"))
     grams = grams.select(
@@ -283,16 +282,19 @@ def with_first(docs: DataFrame, names: DataFrame, max_words: int | None = None,
         return docs.join(hits, docs[id_col].eqNullSafe(hits["_id"]) & (F.xxhash64(docs[text_col]) == hits["_h"]), "left").drop("_id", "_h")
     shared = _shared(docs, names)
 
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def firsts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         match = Matcher(shared.value, most)
         for texts in batches:
             first = []
-            for at in range(0, len(texts), tasks.PIECE):
-                for t in texts.slice(at, tasks.PIECE).to_pylist():
+            for at, n in tasks.cuts(texts):
+                for t in texts.slice(at, n).to_pylist():
                     hit = match.first_place(t or "")
                     first.append(t[hit[0] : hit[1]] if hit else None)
             yield pa.array(first, pa.string())
-        tasks.give_back()
+            tasks.give_back()
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return tasks.given_back(firsts(batches))
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return docs.withColumn(name, F.arrow_udf("string")(run).asNondeterministic()(F.col(text_col)))

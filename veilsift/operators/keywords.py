@@ -8,6 +8,10 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from ..functions import tasks
 
 
 class Words:
@@ -50,12 +54,17 @@ def present(docs: DataFrame, lists: dict[str, tuple[str, ...]], id_col: str = "d
     """
     names = list(lists)
 
+    kind = docs.schema[id_col].dataType.simpleString()
+    ddl = f"id {kind}, types array<string>"
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words([[w.lower() for w in lists[n]] for n in names])
-        for b in batches:
-            found = [words.mask(t.lower()) if t else 0 for t in b.column(1).to_pylist()]
-            types = pa.array([[n for i, n in enumerate(names) if m >> i & 1] for m in found], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([b.column(0), types], ["id", "types"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(run, f"id {kind}, types array<string>")
+        def held(text: str | None) -> Iterator[tuple]:
+            mask = words.mask(text.lower()) if text else 0
+            yield ([n for i, n in enumerate(names) if mask >> i & 1],)
+
+        return tasks.results(batches, held, schema, keys=1)
+
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(run, ddl)

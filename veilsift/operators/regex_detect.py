@@ -17,6 +17,8 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions import tasks
 from ..functions import text as T
@@ -150,8 +152,8 @@ class Finder:
     def holds(self, text: str) -> dict:
         return {"digit": self.DIGIT.search(text) is not None, "@": "@" in text, None: True}
 
-    def matches(self, text: str, has: dict) -> list[tuple]:
-        return [(i, label, j, k, m) for i, label, j, p, needs in self.patterns if has[needs] for k, m in enumerate(p.finditer(text))]
+    def matches(self, text: str, has: dict) -> Iterator[tuple]:
+        return ((i, label, j, k, m) for i, label, j, p, needs in self.patterns if has[needs] for k, m in enumerate(p.finditer(text)))
 
     def __call__(self, text: str) -> Iterator[tuple]:
         """(pass, seq, label, text, raw_text, start, end, pre, post, before, after, near) of each match; before and after are one character."""
@@ -180,9 +182,6 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFra
 
 def _found(rows: DataFrame, options: DetectOptions) -> DataFrame:
     """Matches of (id, h, t, raw_only) rows; where raw_only holds, on the raw text alone."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     kind = rows.schema["id"].dataType.simpleString()
     names = ["pass", "seq", "label", "text", "raw_text", "start", "end", "pre", "post", "before", "after", "near"]
     types = {"seq": "array<int>", "start": "int", "end": "int", "near": "int"}
@@ -191,15 +190,7 @@ def _found(rows: DataFrame, options: DetectOptions) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finders = {False: Finder(options), True: Finder(dataclasses.replace(options, passes=("raw",)))}
-        for b in tasks.pieces(batches):
-            at, out = [], []
-            for i, (text, raw_only) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
-                for row in finders[raw_only](text):
-                    at.append(i)
-                    out.append(row)
-            if out:
-                columns = [pa.array(c, type=schema.field(n).type) for n, c in zip(names, zip(*out, strict=True), strict=True)]
-                yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(at)).cast(schema.field(i).type) for i in (0, 1)), *columns], schema=schema)
+        return tasks.results(batches, lambda text, raw_only: finders[raw_only](text), schema)
 
     return rows.mapInArrow(run, ddl)
 
